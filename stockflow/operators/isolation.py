@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from stockflow.fixed_values import SEED
 from stockflow.functions.numbers import to_number
 from stockflow.operators.joins import join_lookup
-from stockflow.session import materialize
+from stockflow.session import materialize, spread
 
 TREES = 100
 SAMPLE = 256
 CHUNK_POINTS = 50_000
+TREES_PER_CALL = 10
 SCORE_DIGITS = 6
 _TREE_COLUMNS = (
     "feature array<int>, cut array<double>, low array<int>, high array<int>, length array<double>"
@@ -96,15 +97,25 @@ def _grow_forest(
     )
     limit = int(np.ceil(np.log2(max(sample, 2))))
 
-    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        values = pdf[features].sort_values(features).to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, crc32(repr([str(k) for k in key]).encode())])
-        tree = grow_tree(values, limit, rng)
-        names = [*groups, "__tree", "feature", "cut", "low", "high", "length"]
-        return pd.DataFrame([[*key, *[list(part) for part in zip(*tree, strict=True)]]], columns=names)
+    names = [*groups, "__tree", "feature", "cut", "low", "high", "length"]
 
-    schema = ", ".join(f"`{c}` {dict(dealt.dtypes)[c]}" for c in [*groups, "__tree"])
-    return dealt.groupBy(*groups, "__tree").applyInPandas(grow, f"{schema}, {_TREE_COLUMNS}")
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        grown = []
+        for number, rows in pdf.groupby("__tree"):
+            # Sorted, so that the order of arrival does not matter.
+            values = rows[features].sort_values(features).to_numpy(dtype=float)
+            name = repr([str(k) for k in key[:-1]])
+            rng = np.random.default_rng([seed, int(number), crc32(name.encode())])
+            nodes = grow_tree(values, limit, rng)
+            grown.append([*key[:-1], number, *map(list, zip(*nodes, strict=True))])
+        return pd.DataFrame(grown, columns=names)
+
+    # A few trees per call: each is quick, and a call has its own overhead.
+    blocks = dealt.withColumn("__block", F.floor(F.col("__tree") / TREES_PER_CALL))
+    kinds = dict(dealt.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*groups, "__tree"])
+    keys = [*groups, "__block"]
+    return spread(blocks, *keys).groupBy(*keys).applyInPandas(grow, f"{schema}, {_TREE_COLUMNS}")
 
 
 def _score(
@@ -122,8 +133,8 @@ def _score(
     chunked = sized.select(
         *groups, *features, "weight", "__rows", chunk_of.alias("__chunk")
     )
-    spread = join_lookup(forest, sizes.select(*groups, chunks.alias("__chunks")), groups)
-    spread = spread.withColumn(
+    replicas = join_lookup(forest, sizes.select(*groups, chunks.alias("__chunks")), groups)
+    replicas = replicas.withColumn(
         "__chunk", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))
     ).drop("__chunks")
 
@@ -147,7 +158,8 @@ def _score(
     columns = [*groups, *features, "weight"]
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", score double"
     keys = [*groups, "__chunk"]
-    return chunked.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(score, schema)
+    left, right = spread(chunked, *keys), spread(replicas, *keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
 
 
 def average_path(n: int) -> float:
@@ -164,12 +176,14 @@ def grow_tree(values: np.ndarray, limit: int, rng: np.random.Generator) -> list[
     todo = [(0, values, 0)]
     while todo:
         spot, rows, depth = todo.pop()
-        least, most = rows.min(axis=0), rows.max(axis=0)
-        splittable = np.flatnonzero(most > least)
-        if depth >= limit or len(rows) <= 1 or not len(splittable):
+        splittable: list[int] = []
+        if depth < limit and len(rows) > 1:
+            least, most = rows.min(axis=0), rows.max(axis=0)
+            splittable = [f for f in range(rows.shape[1]) if most[f] > least[f]]
+        if not splittable:
             nodes[spot] = (-1, 0.0, spot, spot, depth + average_path(len(rows)))
             continue
-        feature = int(rng.choice(splittable))
+        feature = splittable[int(rng.random() * len(splittable))]
         cut = rng.uniform(least[feature], most[feature])
         below = rows[:, feature] <= cut
         nodes[spot] = (feature, float(cut), len(nodes), len(nodes) + 1, 0.0)

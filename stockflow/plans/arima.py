@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stockflow.fixed_values import MODEL_ARIMA
 from stockflow.operators.joins import join_lookup
 from stockflow.operators.series import forecast_rows, holdout_split, store_series
+from stockflow.session import spread
 
 
 def arima_forecast(metrics: DataFrame, time: str = "event_timestamp") -> DataFrame:
@@ -27,7 +28,7 @@ def arima_forecast(metrics: DataFrame, time: str = "event_timestamp") -> DataFra
         fitted = next_value(train) if len(train) >= 2 else np.nan
         return pd.DataFrame({"store_location": [key[0]], "fitted": [fitted]})
 
-    fits = series.groupBy("store_location").applyInPandas(
+    fits = spread(series, "store_location").groupBy("store_location").applyInPandas(
         fit, "store_location string, fitted double"
     )
     joined = join_lookup(split, fits, ["store_location"], "left")

@@ -442,7 +442,7 @@ def route_questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return J.read_file_stream(spark, f"{folder}/events.parquet", A.EVENTS_SCHEMA)
+    return J.read_file_stream(spark, f"{folder}/events.parquet*", A.EVENTS_SCHEMA)
 
 
 @query
@@ -455,7 +455,7 @@ def stream_hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet", A.LINEITEM_SCHEMA)
+    lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet*", A.LINEITEM_SCHEMA)
     dimensions = [A.table(spark, folder, name) for name in ("part", "supplier", "nation")]
     events = A.lines_as_inventory(lines, *dimensions)
     unique = J.streamed_unique_events(events, new_location(spark, "unique"))

@@ -42,3 +42,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_location(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` ahead of per-group Python work.
+
+    The explicit number keeps adaptive execution from merging these small but
+    compute-heavy partitions; the grouping that follows needs no other shuffle.
+    """
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(configured, spark.sparkContext.defaultParallelism), *keys)
