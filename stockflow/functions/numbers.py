@@ -33,24 +33,23 @@ def float_text(value: Column) -> Column:
     )
 
 
+def _reversed_pairs(digits: Column) -> Column:
+    """Sixteen hex digits with the order of their eight bytes turned round."""
+    return F.concat(*[F.substring(digits, spot, 2) for spot in range(15, 0, -2)])
+
+
 def decode_little_endian(blob: Column) -> Column:
-    """Unsigned little-endian bytes (at most eight) to bigint."""
-    positions = F.sequence(F.lit(1), F.length(blob))
-    pairs = F.transform(positions, lambda i: F.hex(F.substring(blob, i, F.lit(1))))
-    digits = F.concat(F.lit("0"), F.array_join(F.reverse(pairs), ""))
-    # An empty blob has no positions to walk: it decodes to zero.
-    number = F.conv(digits, 16, 10).cast("decimal(20,0)").try_cast("bigint")
-    return F.when(F.length(blob) > 0, number).when(blob.isNotNull(), F.lit(0).cast("bigint"))
+    """Unsigned little-endian bytes to bigint; null where they exceed it."""
+    digits = F.rpad(F.hex(blob), 16, "0")
+    number = F.conv(_reversed_pairs(digits), 16, 10).cast("decimal(20,0)").try_cast("bigint")
+    # Bytes beyond the eighth count only if they are not zero.
+    beyond = F.ltrim(F.substr(F.hex(blob), F.lit(17)), F.lit("0"))
+    return F.when(beyond == "", number)
 
 
 def encode_little_endian(value: Column) -> Column:
     """Bigint to its eight little-endian bytes."""
-    digits = F.lpad(F.hex(value), 16, "0")
-    pairs = F.transform(
-        F.sequence(F.lit(15), F.lit(1), F.lit(-2)),
-        lambda i: F.substring(digits, i, F.lit(2)),
-    )
-    return F.unhex(F.array_join(pairs, ""))
+    return F.unhex(_reversed_pairs(F.lpad(F.hex(value), 16, "0")))
 
 
 def fingerprint(*columns: Column) -> Column:

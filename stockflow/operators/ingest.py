@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from stockflow.functions.text import batch_number
 from stockflow.operators.joins import join_lookup
 from stockflow.schemas import EVENT_KEY, INVENTORY
-from stockflow.session import materialize
 
 
 def new_rows(
@@ -21,16 +20,15 @@ def new_rows(
 ) -> DataFrame:
     """Incoming rows whose key is not stored yet; null key parts match nulls.
 
-    The stored side, which may be huge, is only filtered by the incoming keys
-    (broadcast if they fit) and never sorted or collected. Copies inside the
+    The stored side, which may be huge, is only filtered by the incoming keys:
+    as long as those fit a broadcast it is never shuffled. Copies inside the
     incoming batch stay unless ``dedupe_within`` is set.
     """
     if dedupe_within:
         incoming = incoming.dropDuplicates(keys)
-    arriving = materialize(incoming.select(*keys).distinct(), "arriving")
-    known = join_lookup(
-        existing.select(*keys), arriving, keys, "left_semi", null_safe=True, **lookup
-    ).distinct()
+    arriving = incoming.select(*keys).distinct()
+    stored = existing.select(*keys)
+    known = join_lookup(stored, arriving, keys, "left_semi", null_safe=True, **lookup).distinct()
     return join_lookup(incoming, known, keys, "left_anti", null_safe=True, **lookup)
 
 

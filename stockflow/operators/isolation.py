@@ -22,7 +22,7 @@ from stockflow.session import materialize, spread
 
 TREES = 100
 SAMPLE = 256
-CHUNK_POINTS = 50_000
+CHUNK_POINTS = (5_000, 200_000)
 TREES_PER_CALL = 10
 SCORE_DIGITS = 6
 _TREE_COLUMNS = (
@@ -39,7 +39,7 @@ def isolation_points(
     seed: int = SEED,
     trees: int = TREES,
     sample: int = SAMPLE,
-    chunk_points: int = CHUNK_POINTS,
+    chunk_points: tuple[int, int] = CHUNK_POINTS,
 ) -> DataFrame:
     """Distinct points of ``by + features`` with weight, score and flag.
 
@@ -125,10 +125,14 @@ def _score(
     groups: list[str],
     features: list[str],
     sample: int,
-    chunk_points: int,
+    chunk_points: tuple[int, int],
 ) -> DataFrame:
-    """Points with their score, in chunks of about ``chunk_points`` per task call."""
-    chunks = F.ceil(F.col("__points") / chunk_points).cast("int")
+    """Points with their score, in chunks whose size lies within ``chunk_points``:
+    small ones while they keep all cores busy, never more than fits a task."""
+    cores = sized.sparkSession.sparkContext.defaultParallelism
+    least, most = chunk_points
+    size = F.least(F.greatest(F.col("__points") / cores, F.lit(least)), F.lit(most))
+    chunks = F.ceil(F.col("__points") / size).cast("int")
     chunk_of = F.pmod(F.xxhash64(*features), chunks).cast("int")
     chunked = sized.select(
         *groups, *features, "weight", "__rows", chunk_of.alias("__chunk")

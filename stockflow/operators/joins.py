@@ -1,8 +1,9 @@
 """Equi-joins against a side that has one row per key.
 
-The big side may hold a third of its rows under one key, so it is never
-shuffled on the bare key: the lookup side is broadcast when its measured size
-allows, and otherwise both sides are shuffled on key plus salt.
+The big side may hold a third of its rows under one key. The lookup side is
+broadcast when its measured size allows; otherwise both sides are shuffled by
+key, and the keys that are frequent on the big side are spread over all
+partitions, their few lookup rows repeated for each.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import types as T
 
 from stockflow.session import materialize
 
-BROADCAST_BYTES = 16 * 1024 * 1024
-SALTS = 32
+BROADCAST_BYTES = 32 * 1024 * 1024
+FREQUENT_SHARE = 0.002
 _KEY = "__key"
 _SALT = "__salt"
 
@@ -33,6 +34,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
+def frequent_keys(df: DataFrame, keys: list[str], share: float = FREQUENT_SHARE) -> list[int]:
+    """Hashes of all keys with at least ``share`` of the rows (and maybe a few more).
+
+    One narrow pass with a bounded sketch per task; at most ``1 / share``
+    numbers reach the driver.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    return hashed.stat.freqItems(["h"], share).first()[0]
+
+
 def join_lookup(
     big: DataFrame,
     lookup: DataFrame,
@@ -41,7 +52,6 @@ def join_lookup(
     *,
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``big`` to ``lookup``, which must have one row per key.
 
@@ -54,24 +64,37 @@ def join_lookup(
         c for c in lookup.columns if c not in keys and how not in ("left_semi", "left_anti")
     ]
     on = list(keys)
+    if not fits:
+        big, lookup = _spread_frequent(big, lookup, keys)
+        on.append(_SALT)
     if null_safe:
         # Structs compare field by field with null equal to null.
-        big = big.withColumn(_KEY, F.struct(*keys))
-        lookup = lookup.withColumn(_KEY, F.struct(*keys)).drop(*keys)
+        big = big.withColumn(_KEY, F.struct(*on))
+        lookup = lookup.withColumn(_KEY, F.struct(*on)).drop(*on)
         on = [_KEY]
     if fits:
         lookup = F.broadcast(lookup)
-    else:
-        # The salt depends on the row and its input partition, so a recomputed
-        # task salts alike, and full copies of one row still spread out.
-        rest = [F.col(c) for c in big.columns if c not in (*keys, _KEY)]
-        spread = F.xxhash64(F.spark_partition_id(), *rest)
-        big = big.withColumn(_SALT, F.pmod(spread, F.lit(salts)).cast("int"))
-        lookup = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on.append(_SALT)
     return big.join(lookup, on, how).select(*columns)
 
 
+def _spread_frequent(
+    big: DataFrame, lookup: DataFrame, keys: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: 0 for ordinary keys, all values for frequent ones."""
+    frequent = frequent_keys(big, keys)
+    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.xxhash64(*keys).isin(frequent)
+    # The salt depends on the row and its input partition, so a recomputed
+    # task salts alike, and full copies of one row still spread out.
+    rest = [F.col(c) for c in big.columns if c not in keys]
+    own = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.lit(salts)).cast("int")
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return (
+        big.withColumn(_SALT, F.when(hot, own).otherwise(F.lit(0))),
+        lookup.withColumn(_SALT, F.explode(every)),
+    )
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` per key, by mergeable aggregation."""
     rest = [c for c in df.columns if c not in keys and c not in order]

@@ -17,6 +17,7 @@ SMALL = 20_000
 class Found(NamedTuple):
     value: float
     below: int  # rows strictly smaller than ``value``
+    equal: int  # rows equal to it
 
 
 def kth_smallest(
@@ -58,7 +59,7 @@ def kth_smallest(
                     interval = cell
                     break
                 below += cell[2]
-        return Found(interval[0], below)
+        return Found(interval[0], below, interval[2])
 
     return {rank: descend(rank) for rank in ranks(n)}
 

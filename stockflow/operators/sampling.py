@@ -10,6 +10,7 @@ from stockflow.functions.numbers import fingerprint
 from stockflow.operators.joins import join_lookup, latest_per_key
 from stockflow.operators.quantiles import kth_smallest
 from stockflow.schemas import EVENT_KEY
+from stockflow.session import materialize
 
 
 def sample_exact(
@@ -21,8 +22,8 @@ def sample_exact(
     """Exactly ``max(1, int(share * n))`` rows, chosen by md5 of seed and key.
 
     The cut-off fingerprint is found by counting, so no sort and no single
-    task sees all rows; only rows that tie with the cut-off are ranked, and
-    full copies among them as one row with a count.
+    task sees all rows. Should more rows tie with the cut-off than there is
+    room for, those are ranked, full copies as one row with a count.
     """
     columns = df.columns
     key = [F.col(k) if isinstance(k, str) else k for k in key or columns]
@@ -34,12 +35,14 @@ def sample_exact(
         wanted = max(1, int(share * n)) if n else 0
         return [wanted - 1] if n else []
 
-    found = kth_smallest(drawn, "__draw", last_rank)
+    found = kth_smallest(materialize(drawn.select("__draw"), "draws"), "__draw", last_rank)
     if not found:
         return df
-    cut, chosen_below = found[wanted - 1]
+    cut, n_below, n_equal = found[wanted - 1]
+    room = wanted - n_below
+    if room == n_equal:
+        return drawn.filter(F.col("__draw") <= int(cut)).select(*columns)
     below = drawn.filter(F.col("__draw") < int(cut))
-    room = wanted - chosen_below
     tied = drawn.filter(F.col("__draw") == int(cut)).groupBy(*columns).agg(F.count("*").alias("__n"))
     before = Window.orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
     left = F.lit(room) - F.coalesce(F.sum("__n").over(before), F.lit(0))
