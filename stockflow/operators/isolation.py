@@ -101,13 +101,13 @@ def _grow_forest(
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         grown = []
-        for number, rows in pdf.groupby("__tree"):
-            # Sorted, so that the order of arrival does not matter.
-            values = rows[features].sort_values(features).to_numpy(dtype=float)
+        # Sorted, so that the order of arrival does not matter.
+        for number, rows in pdf.sort_values(["__tree", *features]).groupby("__tree"):
+            values = rows[features].to_numpy(dtype=float)
             name = repr([str(k) for k in key[:-1]])
             rng = np.random.default_rng([seed, int(number), crc32(name.encode())])
             nodes = grow_tree(values, limit, rng)
-            grown.append([*key[:-1], number, *map(list, zip(*nodes, strict=True))])
+            grown.append([*key[:-1], number, *map(np.asarray, zip(*nodes, strict=True))])
         return pd.DataFrame(grown, columns=names)
 
     # A few trees per call: each is quick, and a call has its own overhead.

@@ -51,19 +51,20 @@ def _figures() -> list:
     ]
 
 
-def hourly_metrics(events: DataFrame) -> DataFrame:
+def hourly_metrics(events: DataFrame, keys: list[str] = PRODUCT_KEY) -> DataFrame:
     """Quantity, unweighted mean price and stock value per product, store,
     category and hour. Batch or streaming; events without ``ts`` drop out.
+    Leave the product out of ``keys`` for one row per store and category.
 
     Partial aggregation runs before the one shuffle, so a hot key reaches its
     reducer as one row per map task.
     """
     return (
         with_stock_value(events)
-        .groupBy(*PRODUCT_KEY, F.window("ts", "1 hour").alias("window"))
+        .groupBy(*keys, F.window("ts", "1 hour").alias("window"))
         .agg(*_figures())
         .select(
-            *PRODUCT_KEY,
+            *keys,
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
             *FIGURES,

@@ -21,9 +21,14 @@ def value_by_store(metrics: DataFrame) -> DataFrame:
 
 def turnover_over_time(metrics: DataFrame) -> DataFrame:
     """Turnover points by time, unknown times last."""
-    return metrics.select("event_timestamp", "turnover_rate").orderBy(
-        F.asc_nulls_last("event_timestamp")
-    )
+    return _by_time(metrics, "event_timestamp").select("event_timestamp", "turnover_rate")
+
+
+def _by_time(df: DataFrame, time: str) -> DataFrame:
+    # All columns follow as tie-breakers, so that the rows of one hot
+    # timestamp still split over several ranges.
+    ties = [c for c in df.columns if c != time]
+    return df.orderBy(F.asc_nulls_last(time), *ties)
 
 
 def stock_pivot(metrics: DataFrame, stores: list[str] | None = None) -> DataFrame:
@@ -59,8 +64,8 @@ def preview(events: DataFrame, order: list[str], rows: int = 10) -> DataFrame:
 
 
 def predicted_over_time(forecasts: DataFrame) -> DataFrame:
-    return forecasts.select("forecast_timestamp", "predicted_quantity").orderBy(
-        F.asc_nulls_last("forecast_timestamp")
+    return _by_time(forecasts, "forecast_timestamp").select(
+        "forecast_timestamp", "predicted_quantity"
     )
 
 

@@ -192,7 +192,7 @@ ORACLES["stock_metrics"] = chain(
     """,
 )
 
-ORACLES["moving_average_of_value"] = chain(
+ORACLES["moving_average"] = chain(
     EVENTS,
     HOURLY,
     CATEGORY,
@@ -204,7 +204,7 @@ ORACLES["moving_average_of_value"] = chain(
     """,
 )
 
-ORACLES["turnover"] = chain(
+ORACLES["turnover_rate"] = chain(
     EVENTS,
     HOURLY,
     CATEGORY,
@@ -258,7 +258,7 @@ ORACLES["publish_json"] = chain(
     """,
 )
 
-ORACLES["next_batch"] = r"""
+ORACLES["next_batch_number"] = r"""
 WITH ids AS (SELECT printf('P%03d-B%d', p_partkey, p_size) AS product_id FROM part)
 SELECT CAST(coalesce(max(try_cast(nullif(regexp_extract(product_id, 'B(\d+)$', 1), '')
        AS INTEGER)), 0) + 1 AS INTEGER) AS next_batch
@@ -291,8 +291,8 @@ OVERRIDDEN = (
      AND i.store_location = k.store_location
     """,
 )
-ORACLES["sample_of_lines"] = chain(LINES, SAMPLE, final="SELECT * FROM sampled")
-ORACLES["override_sampled"] = chain(LINES, SAMPLE, OVERRIDDEN, final="SELECT * FROM overridden")
+ORACLES["sample_exact"] = chain(LINES, SAMPLE, final="SELECT * FROM sampled")
+ORACLES["apply_overrides"] = chain(LINES, SAMPLE, OVERRIDDEN, final="SELECT * FROM overridden")
 ORACLES["overridden_rows"] = chain(
     LINES,
     SAMPLE,
@@ -552,7 +552,7 @@ ANOMALIES = (
     NUMERICAL,
 )
 
-ORACLES["zscore_flags"] = chain(*ANOMALIES, final="SELECT * FROM zscore")
+ORACLES["zscore_anomalies"] = chain(*ANOMALIES, final="SELECT * FROM zscore")
 ORACLES["flagged_per_group"] = chain(
     *ANOMALIES,
     final="""

@@ -40,9 +40,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+def query(name: str) -> Callable[[Query], Query]:
+    """Registers a function under ``name``."""
+
+    def register(run: Query) -> Query:
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -57,45 +62,45 @@ def timed(df: DataFrame, *columns: str) -> DataFrame:
 # --- metrics ----------------------------------------------------------------
 
 
-@query
+@query("parse_events")
 def parse_events(spark: SparkSession, folder: str) -> DataFrame:
     parsed = M.decode_messages(A.damaged_messages(A.inventory_events(spark, folder)))
     return timed(parsed, "ts")
 
 
-@query
+@query("hourly_metrics")
 def hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
     hourly = M.hourly_metrics(A.inventory_events(spark, folder))
     hourly = timed(hourly, "window_start", "window_end")
     return rounded(rounded(hourly, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query
+@query("flat_metrics")
 def flat_metrics(spark: SparkSession, folder: str) -> DataFrame:
     flat = M.flat_metrics(A.inventory_events(spark, folder))
     return rounded(rounded(flat, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query
+@query("flat_metrics_by_event")
 def flat_metrics_by_event(spark: SparkSession, folder: str) -> DataFrame:
     flat = M.flat_metrics_by_event(A.inventory_events(spark, folder))
     return rounded(rounded(flat, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query
+@query("category_stock")
 def category_stock(spark: SparkSession, folder: str) -> DataFrame:
     hourly = M.hourly_metrics(A.inventory_events(spark, folder))
     return rounded(M.category_stock(hourly), 2, "stock_value_by_category")
 
 
-@query
+@query("stock_metrics")
 def stock_metrics(spark: SparkSession, folder: str) -> DataFrame:
     table = M.stock_metrics(A.inventory_events(spark, folder))
     table = rounded(table, 2, "total_stock_value", "stock_value_by_category")
     return rounded(table, 8, "avg_price")
 
 
-@query
+@query("moving_average")
 def moving_average_of_value(spark: SparkSession, folder: str) -> DataFrame:
     hourly = M.hourly_metrics(A.inventory_events(spark, folder))
     hourly = hourly.withColumnRenamed("window_start", "event_timestamp").drop("window_end")
@@ -105,7 +110,7 @@ def moving_average_of_value(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("turnover_rate")
 def turnover(spark: SparkSession, folder: str) -> DataFrame:
     rated = turnover_rate(M.stock_metrics(A.inventory_events(spark, folder)))
     return rounded(rated, 12, "turnover_rate").select(
@@ -113,7 +118,7 @@ def turnover(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("post_processed_metrics")
 def post_processed_metrics(spark: SparkSession, folder: str) -> DataFrame:
     table = post_process(M.stock_metrics(A.inventory_lines(spark, folder)))
     table = rounded(table, 2, "total_stock_value", "stock_value_by_category")
@@ -124,7 +129,7 @@ def post_processed_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # --- ingestion --------------------------------------------------------------
 
 
-@query
+@query("ingest_new_rows")
 def ingest_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All order lines arrive; the finished ones are stored already."""
     lines = A.inventory_lines(spark, folder)
@@ -132,12 +137,12 @@ def ingest_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     return new_rows(lines.select(*INVENTORY.names), stored)
 
 
-@query
+@query("publish_json")
 def publish_json(spark: SparkSession, folder: str) -> DataFrame:
     return as_messages(A.inventory_lines(spark, folder))
 
 
-@query
+@query("next_batch_number")
 def next_batch(spark: SparkSession, folder: str) -> DataFrame:
     part = A.table(spark, folder, "part")
     batch_id = product_batch_id(F.col("p_partkey"), F.col("p_size"))
@@ -150,18 +155,18 @@ def _sampled_lines(spark: SparkSession, folder: str) -> DataFrame:
     return sample_exact(lines, key=key)
 
 
-@query
+@query("sample_exact")
 def sample_of_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _sampled_lines(spark, folder)
 
 
-@query
+@query("apply_overrides")
 def override_sampled(spark: SparkSession, folder: str) -> DataFrame:
     lines = A.inventory_lines(spark, folder).select(*INVENTORY.names)
     return apply_overrides(lines, outlier_overrides(_sampled_lines(spark, folder)))
 
 
-@query
+@query("overridden_rows")
 def overridden_rows(spark: SparkSession, folder: str) -> DataFrame:
     changed = override_sampled(spark, folder)
     return changed.filter((F.col("quantity") == 1000) & (F.col("price") == 5000.0))
@@ -170,32 +175,32 @@ def overridden_rows(spark: SparkSession, folder: str) -> DataFrame:
 # --- reports over metrics ---------------------------------------------------
 
 
-@query
+@query("value_by_store")
 def value_by_store(spark: SparkSession, folder: str) -> DataFrame:
     hourly = M.hourly_metrics(A.inventory_lines(spark, folder))
     return rounded(R.value_by_store(hourly), 1, "total_stock_value")
 
 
-@query
+@query("turnover_over_time")
 def turnover_over_time(spark: SparkSession, folder: str) -> DataFrame:
     rated = turnover_rate(M.stock_metrics(A.inventory_events(spark, folder)))
     return rounded(R.turnover_over_time(rated), 12, "turnover_rate")
 
 
-@query
+@query("stock_pivot")
 def stock_pivot(spark: SparkSession, folder: str) -> DataFrame:
     stores = ["S0", "S1", "S2", "S3", "S4"]
     pivot = R.stock_pivot(M.hourly_metrics(A.inventory_events(spark, folder)), stores)
     return rounded(pivot, 2, *stores)
 
 
-@query
+@query("quantity_price_points")
 def quantity_price_points(spark: SparkSession, folder: str) -> DataFrame:
     points = R.quantity_price_points(M.stock_metrics(A.inventory_lines(spark, folder)))
     return rounded(rounded(points, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query
+@query("raw_preview")
 def raw_preview(spark: SparkSession, folder: str) -> DataFrame:
     events = A.inventory_events(spark, folder).select(*INVENTORY.names)
     order = ["event_timestamp", "product_id", "store_location", "category", "quantity", "price"]
@@ -209,30 +214,30 @@ def _event_hours(spark: SparkSession, folder: str) -> DataFrame:
     return M.hourly_metrics(A.inventory_events(spark, folder))
 
 
-@query
+@query("store_series")
 def store_series(spark: SparkSession, folder: str) -> DataFrame:
     return timed(S.store_series(_event_hours(spark, folder), "window_start"), "event_timestamp")
 
 
-@query
+@query("global_series")
 def global_series(spark: SparkSession, folder: str) -> DataFrame:
     return timed(S.global_series(_event_hours(spark, folder), "window_start"), "event_timestamp")
 
 
-@query
+@query("series_extent")
 def series_extent(spark: SparkSession, folder: str) -> DataFrame:
     extent = S.series_extent(_event_hours(spark, folder), "window_start")
     return timed(extent, "first_timestamp", "last_timestamp")
 
 
-@query
+@query("holdout_split")
 def holdout_split(spark: SparkSession, folder: str) -> DataFrame:
     split = S.holdout_split(S.store_series(_event_hours(spark, folder), "window_start"))
     split = timed(split, "last_timestamp", "previous_timestamp")
     return rounded(split, 6, "fallback_quantity")
 
 
-@query
+@query("forecast_horizon")
 def forecast_horizon(spark: SparkSession, folder: str) -> DataFrame:
     days = S.horizon(_event_hours(spark, folder), time="window_start")
     days = days.select("*", *date_parts(F.col("forecast_timestamp")))
@@ -245,29 +250,29 @@ def _day_ahead(spark: SparkSession, folder: str) -> DataFrame:
     return S.attach_actuals(A.day_ahead_forecasts(hourly), A.observed_quantities(hourly), keys)
 
 
-@query
+@query("attach_actuals")
 def attach_actuals(spark: SparkSession, folder: str) -> DataFrame:
     return _day_ahead(spark, folder)
 
 
-@query
+@query("predicted_vs_actual")
 def predicted_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     return R.predicted_vs_actual(_day_ahead(spark, folder))
 
 
-@query
+@query("predicted_over_time")
 def predicted_over_time(spark: SparkSession, folder: str) -> DataFrame:
     return R.predicted_over_time(A.stand_in_forecasts(_event_hours(spark, folder)))
 
 
-@query
+@query("forecast_summary")
 def forecast_summary(spark: SparkSession, folder: str) -> DataFrame:
     both = A.stand_in_forecasts(_event_hours(spark, folder)).unionByName(_day_ahead(spark, folder))
     summary = R.forecast_summary(materialize(both, "forecasts"), "day-ahead")
     return rounded(summary, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-@query
+@query("decode_le_bytes")
 def decode_le_bytes(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
     stored = A.table(spark, folder, "lineitem").select(
@@ -276,19 +281,19 @@ def decode_le_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(decode_little_endian(F.col("actual_quantity")).alias("actual_quantity"))
 
 
-@query
+@query("arima_forecast")
 def arima(spark: SparkSession, folder: str) -> DataFrame:
     forecast = arima_forecast(_event_hours(spark, folder), "window_start")
     return timed(forecast, "forecast_timestamp", "event_timestamp")
 
 
-@query
+@query("gbt_forecast")
 def boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
     forecast = boosted_forecast(_event_hours(spark, folder), "window_start")
     return timed(forecast, "forecast_timestamp", "event_timestamp")
 
 
-@query
+@query("iforest_baseline_forecast")
 def outlier_filtered_baseline(spark: SparkSession, folder: str) -> DataFrame:
     table = post_process(M.stock_metrics(A.inventory_events(spark, folder)))
     table = table.withColumn("event_timestamp", F.to_timestamp("event_timestamp"))
@@ -296,7 +301,7 @@ def outlier_filtered_baseline(spark: SparkSession, folder: str) -> DataFrame:
     return timed(forecast, "forecast_timestamp", "event_timestamp")
 
 
-@query
+@query("trend_seasonal_forecast")
 def trend_and_season(spark: SparkSession, folder: str) -> DataFrame:
     forecast = trend_seasonal_forecast(_event_hours(spark, folder), "window_start")
     return timed(forecast, "forecast_timestamp", "event_timestamp")
@@ -313,12 +318,12 @@ def _numerical(spark: SparkSession, folder: str) -> DataFrame:
     return A.as_numerical(zscore_anomalies(_day_ahead(spark, folder)))
 
 
-@query
+@query("zscore_anomalies")
 def zscore_flags(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_zscore(spark, folder), 6, "score")
 
 
-@query
+@query("flagged_per_group")
 def flagged_per_group(spark: SparkSession, folder: str) -> DataFrame:
     scored = with_zscore(A.stand_in_forecasts(_event_hours(spark, folder)))
     return scored.groupBy("store_location", "category").agg(
@@ -327,22 +332,22 @@ def flagged_per_group(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("anomalies_by_store")
 def anomalies_by_store(spark: SparkSession, folder: str) -> DataFrame:
     return R.counts_by(_zscore(spark, folder), "store_location")
 
 
-@query
+@query("anomalies_by_category")
 def anomalies_by_category(spark: SparkSession, folder: str) -> DataFrame:
     return R.counts_by(_zscore(spark, folder), "category")
 
 
-@query
+@query("iforest_group_anomalies")
 def forest_flags_by_group(spark: SparkSession, folder: str) -> DataFrame:
     return grouped_anomalies(_day_ahead(spark, folder))
 
 
-@query
+@query("iforest_record_anomalies")
 def forest_flags_of_records(spark: SparkSession, folder: str) -> DataFrame:
     return record_anomalies(A.inventory_lines(spark, folder))
 
@@ -354,22 +359,22 @@ def _all_notifications(spark: SparkSession, folder: str) -> DataFrame:
     return N.all_notifications(_zscore(spark, folder), _numerical(spark, folder))
 
 
-@query
+@query("notifications_numerical")
 def notifications_numerical(spark: SparkSession, folder: str) -> DataFrame:
     return N.numerical_notifications(_numerical(spark, folder))
 
 
-@query
+@query("notifications_zscore")
 def notifications_zscore(spark: SparkSession, folder: str) -> DataFrame:
     return N.pipeline_notifications(_zscore(spark, folder))
 
 
-@query
+@query("notifications_all")
 def notifications_all(spark: SparkSession, folder: str) -> DataFrame:
     return _all_notifications(spark, folder)
 
 
-@query
+@query("category_backfill")
 def category_backfill(spark: SparkSession, folder: str) -> DataFrame:
     """Notifications of the old layout, and free texts that name no category."""
     texts = A.table(spark, folder, "conversations").select(
@@ -403,7 +408,7 @@ def _rollup_rows(spark: SparkSession, folder: str) -> DataFrame:
     return by_store.unionByName(overall)
 
 
-@query
+@query("rollup_marker_check")
 def rollup_marker_check(spark: SparkSession, folder: str) -> DataFrame:
     checks = {"zscore": _zscore(spark, folder), "rollup": _rollup_rows(spark, folder)}
     first, second = [
@@ -413,26 +418,27 @@ def rollup_marker_check(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second)
 
 
-@query
+@query("drill_down")
 def drill_down(spark: SparkSession, folder: str) -> DataFrame:
     key = ["model_name", "store_location", "forecast_timestamp"]
     return N.drill_down(_rollup_rows(spark, folder), key=key)
 
 
-@query
+@query("detail_lookup")
 def detail_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    pipeline, numerical = _zscore(spark, folder), _numerical(spark, folder)
+    pipeline = materialize(_zscore(spark, folder), "anomalies")
+    numerical = materialize(_numerical(spark, folder), "numerical_anomalies")
     found = N.detail_lookup(
         N.all_notifications(pipeline, numerical), N.tagged_anomalies(pipeline, numerical)
     )
     return rounded(found, 6, "score")
 
 
-@query
+@query("route_questions")
 def route_questions(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns, anomaly descriptions and notifications as questions."""
     turns = A.table(spark, folder, "conversations").select("text")
-    zscore = _zscore(spark, folder)
+    zscore = materialize(_zscore(spark, folder), "anomalies")
     said = zscore.select(F.col("description").alias("text"))
     told = N.pipeline_notifications(zscore).select(F.col("notification").alias("text"))
     return N.route_questions(turns.unionByName(said).unionByName(told))
@@ -445,7 +451,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return J.read_file_stream(spark, f"{folder}/events.parquet*", A.EVENTS_SCHEMA)
 
 
-@query
+@query("stream_hourly_metrics")
 def stream_hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
     events = A.events_as_inventory(_event_stream(spark, folder))
     hourly = J.streamed_hourly_metrics(events, new_location(spark, "hourly"))
@@ -453,7 +459,7 @@ def stream_hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rounded(hourly, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query
+@query("stream_dedup")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet*", A.LINEITEM_SCHEMA)
     dimensions = [A.table(spark, folder, name) for name in ("part", "supplier", "nation")]

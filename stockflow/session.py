@@ -27,8 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_location(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/stockflow/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in this application's own part of
+    it, which can be deleted as a whole once the application has ended."""
+    own = f"{shared_folder(spark).rstrip('/')}/stockflow/{spark.sparkContext.applicationId}"
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -54,6 +54,16 @@ def test_hour_boundary_null_time_and_null_value(spark):
     }
 
 
+def test_hourly_metrics_without_products(spark):
+    df = events(
+        spark,
+        ("P1", 1, 2.0, "2025-01-01T10:00:00Z", "LA", "Toys"),
+        ("P2", 2, 4.0, "2025-01-01T10:30:00Z", "LA", "Toys"),
+    )
+    row = M.hourly_metrics(df, ["store_location", "category"]).first()
+    assert (row["total_quantity"], row["avg_price"], row["total_stock_value"]) == (3, 3.0, 10.0)
+
+
 def test_stock_metrics_drops_null_categories_and_zeroes_null_sums(spark):
     df = events(
         spark,

@@ -7,12 +7,12 @@ from tests.compare import connect, difference
 
 # Fitted models and isolation forests: no SQL equivalent, tested on their own.
 WITHOUT_SQL = {
-    "arima",
-    "boosted_trees",
-    "outlier_filtered_baseline",
-    "trend_and_season",
-    "forest_flags_by_group",
-    "forest_flags_of_records",
+    "arima_forecast",
+    "gbt_forecast",
+    "iforest_baseline_forecast",
+    "trend_seasonal_forecast",
+    "iforest_group_anomalies",
+    "iforest_record_anomalies",
 }
 
 
