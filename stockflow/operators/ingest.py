@@ -16,18 +16,24 @@ def new_rows(
     keys: list[str] = EVENT_KEY,
     *,
     dedupe_within: bool = False,
+    prune_on: str = "event_timestamp",
     **lookup: object,
 ) -> DataFrame:
     """Incoming rows whose key is not stored yet; null key parts match nulls.
 
-    The stored side, which may be huge, is only filtered by the incoming keys:
-    as long as those fit a broadcast it is never shuffled. Copies inside the
+    The stored side, which may be huge, is read only within the incoming range
+    of ``prune_on`` (pushed to the scan), and filtered by the incoming keys: as
+    long as those fit a broadcast it is never shuffled. Copies inside the
     incoming batch stay unless ``dedupe_within`` is set.
     """
     if dedupe_within:
         incoming = incoming.dropDuplicates(keys)
     arriving = incoming.select(*keys).distinct()
     stored = existing.select(*keys)
+    if prune_on in keys:
+        low, high = incoming.agg(F.min(prune_on), F.max(prune_on)).first()
+        in_range = F.col(prune_on).between(F.lit(low), F.lit(high))
+        stored = stored.filter(in_range | F.col(prune_on).isNull())
     known = join_lookup(stored, arriving, keys, "left_semi", null_safe=True, **lookup).distinct()
     return join_lookup(incoming, known, keys, "left_anti", null_safe=True, **lookup)
 

@@ -23,7 +23,7 @@ def moving_average(
     order: list[str] = METRIC_KEY,
     rows: int = MOVING_ROWS,
     partition_by: list[str] | None = None,
-    bucket_rows: int = 500_000,
+    bucket_rows: int = 50_000,
 ) -> DataFrame:
     """Mean of ``value`` over the current and the ``rows - 1`` preceding rows.
 

@@ -95,35 +95,21 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     Columns without any value are left out.
     """
     shares = [0.25, 0.5, 0.75]
-    rows = []
+    measures = []
     for name in columns:
-        figures = df.agg(
-            F.lit(name).alias("measure"),
-            F.count(name).alias("count"),
-            F.avg(name).alias("mean"),
-            F.stddev_samp(name).alias("std"),
-            F.min(name).cast("double").alias("min"),
-            F.max(name).cast("double").alias("max"),
-        )
         quartiles = exact_percentiles(df, name, shares)
-        rows.append(
-            figures.filter(F.col("count") > 0).select(
-                "measure",
-                "count",
-                "mean",
-                "std",
-                "min",
-                *[
-                    F.lit(quartiles[s]).cast("double").alias(f"p{int(s * 100)}")
-                    for s in shares
-                ],
-                "max",
+        measures.append(
+            F.struct(
+                F.lit(name).alias("measure"),
+                F.count(name).alias("count"),
+                F.avg(name).alias("mean"),
+                F.stddev_samp(name).alias("std"),
+                F.min(name).cast("double").alias("min"),
+                *[F.lit(quartiles[s]).cast("double").alias(f"p{int(s * 100)}") for s in shares],
+                F.max(name).cast("double").alias("max"),
             )
         )
-    summary = rows[0]
-    for row in rows[1:]:
-        summary = summary.unionByName(row)
-    return summary
+    return df.agg(F.array(*measures).alias("all")).select(F.inline("all")).filter("count > 0")
 
 
 def forecast_summary(forecasts: DataFrame, model_name: str) -> DataFrame:

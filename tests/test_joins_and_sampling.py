@@ -87,6 +87,8 @@ def test_new_rows(spark, broadcast_bytes):
         (None, 5, 5.0, "t1", "NYC", "Toys"),
     )
     fresh = new_rows(incoming, stored, broadcast_bytes=broadcast_bytes)
+    unpruned = new_rows(incoming, stored, broadcast_bytes=broadcast_bytes, prune_on="")
+    assert rows(fresh) == rows(unpruned)
     assert rows(fresh.select("product_id", "quantity", "event_timestamp")) == [
         ("P1", 5, "t2"),
         ("P1", 6, "t2"),
