@@ -25,8 +25,12 @@ SAMPLE = 256
 CHUNK_POINTS = (5_000, 200_000)
 TREES_PER_CALL = 10
 SCORE_DIGITS = 6
-_TREE_COLUMNS = (
-    "feature array<int>, cut array<double>, low array<int>, high array<int>, length array<double>"
+# Flat node tables of the trees of one block; leaves have feature -1, point at
+# themselves and carry the path length.
+_NODES = ["roots", "feature", "cut", "low", "high", "length"]
+_NODE_TYPES = (
+    "roots array<bigint>, feature array<bigint>, cut array<double>, "
+    "low array<bigint>, high array<bigint>, length array<double>"
 )
 
 
@@ -81,7 +85,7 @@ def _uniform(*parts: Column) -> Column:
 def _grow_forest(
     sized: DataFrame, groups: list[str], features: list[str], seed: int, trees: int, sample: int
 ) -> DataFrame:
-    """One row per group and tree. Each point gets as many copies as its weight
+    """One row per group and block of trees. Each point gets as many copies as its weight
     earns it, dealt to the trees in turn, so a tree sees about ``sample`` rows
     and no row twice."""
     identity = [F.col(c) for c in groups + features]
@@ -96,26 +100,21 @@ def _grow_forest(
         .select(*groups, *features, F.pmod(start + F.col("__i"), F.lit(trees)).alias("__tree"))
     )
     limit = int(np.ceil(np.log2(max(sample, 2))))
-
-    names = [*groups, "__tree", "feature", "cut", "low", "high", "length"]
-
-    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        grown = []
-        # Sorted, so that the order of arrival does not matter.
-        for number, rows in pdf.sort_values(["__tree", *features]).groupby("__tree"):
-            values = rows[features].to_numpy(dtype=float)
-            name = repr([str(k) for k in key[:-1]])
-            rng = np.random.default_rng([seed, int(number), crc32(name.encode())])
-            nodes = grow_tree(values, limit, rng)
-            grown.append([*key[:-1], number, *map(np.asarray, zip(*nodes, strict=True))])
-        return pd.DataFrame(grown, columns=names)
-
-    # A few trees per call: each is quick, and a call has its own overhead.
+    # Several trees per call: each is quick, and a call has its own overhead.
     blocks = dealt.withColumn("__block", F.floor(F.col("__tree") / TREES_PER_CALL))
-    kinds = dict(dealt.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*groups, "__tree"])
     keys = [*groups, "__block"]
-    return spread(blocks, *keys).groupBy(*keys).applyInPandas(grow, f"{schema}, {_TREE_COLUMNS}")
+
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        name = repr([str(part) for part in key])
+        rng = np.random.default_rng([seed, crc32(name.encode())])
+        nodes = grow_trees(
+            pdf[features].to_numpy(dtype=float), pdf["__tree"].to_numpy(), limit, rng
+        )
+        return pd.DataFrame([[*key, *nodes]], columns=[*keys, *_NODES])
+
+    kinds = dict(blocks.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
+    return spread(blocks, *keys).groupBy(*keys).applyInPandas(grow, f"{schema}, {_NODE_TYPES}")
 
 
 def _score(
@@ -142,19 +141,18 @@ def _score(
         "__chunk", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))
     ).drop("__chunks")
 
-    def score(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+    def score(points: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         out = points[[*groups, *features, "weight"]].copy()
         if points.empty:
             return out.assign(score=pd.Series(dtype=float))
         values = points[features].to_numpy(dtype=float)
         # Trees are summed in a fixed order, whatever order they arrived in.
         lengths = [
-            path_lengths(values, *(np.asarray(part) for part in tree))
-            for tree in trees.sort_values("__tree")[
-                ["feature", "cut", "low", "high", "length"]
-            ].itertuples(index=False)
+            path_lengths(values, root, *nodes)
+            for roots, *nodes in blocks.sort_values("__block")[_NODES].itertuples(index=False)
+            for root in roots
         ]
-        usual = average_path(min(sample, int(points["__rows"].iloc[0])))
+        usual = average_path(np.array([min(sample, int(points["__rows"].iloc[0]))]))[0]
         out["score"] = np.round(-(2.0 ** (-np.mean(lengths, axis=0) / usual)), SCORE_DIGITS)
         return out
 
@@ -166,38 +164,65 @@ def _score(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
 
 
-def average_path(n: int) -> float:
-    """Mean length of an unsuccessful search in a binary tree of ``n`` rows."""
-    if n <= 2:
-        return float(n == 2)
-    return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
-
-
-def grow_tree(values: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:
-    """Nodes ``(feature, cut, low child, high child, path length)``; leaves have
-    feature -1 and inner nodes length 0."""
-    nodes: list[tuple] = [()]
-    todo = [(0, values, 0)]
-    while todo:
-        spot, rows, depth = todo.pop()
-        splittable: list[int] = []
-        if depth < limit and len(rows) > 1:
-            least, most = rows.min(axis=0), rows.max(axis=0)
-            splittable = [f for f in range(rows.shape[1]) if most[f] > least[f]]
-        if not splittable:
-            nodes[spot] = (-1, 0.0, spot, spot, depth + average_path(len(rows)))
-            continue
-        feature = splittable[int(rng.random() * len(splittable))]
-        cut = rng.uniform(least[feature], most[feature])
-        below = rows[:, feature] <= cut
-        nodes[spot] = (feature, float(cut), len(nodes), len(nodes) + 1, 0.0)
-        todo += [(len(nodes), rows[below], depth + 1), (len(nodes) + 1, rows[~below], depth + 1)]
-        nodes += [(), ()]
-    return nodes
+def average_path(n: np.ndarray) -> np.ndarray:
+    """Mean length of an unsuccessful search in binary trees of ``n`` rows."""
+    n = np.asarray(n, dtype=float)
+    several = np.maximum(n, 3.0) - 1.0
+    usual = 2.0 * (np.log(several) + np.euler_gamma) - 2.0 * several / (several + 1.0)
+    return np.where(n > 2, usual, (n == 2).astype(float))
+
+
+def grow_trees(
+    values: np.ndarray, tree: np.ndarray, limit: int, rng: np.random.Generator
+) -> tuple[np.ndarray, ...]:
+    """Isolation trees over the rows of each ``tree`` number, as one node table.
+
+    All nodes of a level are split together: their extremes come from one
+    reduction over the rows sorted by node.
+    """
+    numbers, at = np.unique(tree, return_inverse=True)
+    rows = np.arange(len(values))
+    levels, made = [], len(numbers)
+    for depth in range(limit + 1):
+        order = np.argsort(at[rows], kind="stable")
+        rows = rows[order]
+        nodes, starts, sizes = np.unique(at[rows], return_index=True, return_counts=True)
+        least = np.minimum.reduceat(values[rows], starts, axis=0)
+        most = np.maximum.reduceat(values[rows], starts, axis=0)
+        varies = (most > least) & (depth < limit)
+        splits = varies.any(axis=1)
+        # The n-th feature that varies, n drawn at random.
+        drawn = np.floor(rng.random(len(nodes)) * varies.sum(axis=1)).astype(int) + 1
+        feature = np.argmax(np.cumsum(varies, axis=1) == drawn[:, None], axis=1)
+        spot = np.arange(len(nodes))
+        bottom, top = least[spot, feature], most[spot, feature]
+        cut = bottom + rng.random(len(nodes)) * (top - bottom)
+        cut = np.where(cut < top, cut, bottom)
+        child = made + 2 * (np.cumsum(splits) - 1)
+        made += 2 * int(splits.sum())
+        levels.append(
+            (
+                nodes,
+                np.where(splits, feature, -1),
+                np.where(splits, cut, 0.0),
+                np.where(splits, child, nodes),
+                np.where(splits, child + 1, nodes),
+                np.where(splits, 0.0, depth + average_path(sizes)),
+            )
+        )
+        if not splits.any():
+            break
+        owner = np.repeat(spot, sizes)
+        below = values[rows, feature[owner]] <= cut[owner]
+        at[rows] = child[owner] + ~below
+        rows = rows[splits[owner]]
+    # Node numbers grow from level to level, so the parts are in order already.
+    return (np.arange(len(numbers)), *map(np.concatenate, list(zip(*levels, strict=True))[1:]))
 
 
 def path_lengths(
     values: np.ndarray,
+    root: int,
     feature: np.ndarray,
     cut: np.ndarray,
     low: np.ndarray,
@@ -205,7 +230,7 @@ def path_lengths(
     length: np.ndarray,
 ) -> np.ndarray:
     """Path length of every row through one tree, all rows one level at a time."""
-    at = np.zeros(len(values), dtype=int)
+    at = np.full(len(values), root)
     rows = np.arange(len(values))
     while True:
         inner = feature[at] >= 0

@@ -344,7 +344,7 @@ def anomalies_by_category(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("iforest_group_anomalies")
 def forest_flags_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    return grouped_anomalies(_day_ahead(spark, folder))
+    return grouped_anomalies(materialize(_day_ahead(spark, folder), "forecasts"))
 
 
 @query("iforest_record_anomalies")

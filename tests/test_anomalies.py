@@ -60,28 +60,49 @@ def test_zscore_needs_forecast_columns(spark):
 # --- isolation forest -------------------------------------------------------
 
 
-def slow_path(values, nodes, row):
-    spot = 0
-    while nodes[spot][0] >= 0:
-        feature, cut, low, high, _ = nodes[spot]
-        spot = low if values[row, feature] <= cut else high
-    return nodes[spot][4]
+def slow_path(values, nodes, spot, row):
+    feature, cut, low, high, length = nodes
+    while feature[spot] >= 0:
+        spot = low[spot] if values[row, feature[spot]] <= cut[spot] else high[spot]
+    return length[spot]
 
 
-def test_tree_and_paths_agree_with_a_walk():
+def test_trees_and_paths_agree_with_a_walk():
     rng = np.random.default_rng(1)
-    values = rng.normal(size=(64, 3)).round(1)
-    nodes = I.grow_tree(values, 6, rng)
-    columns = [np.asarray(part) for part in zip(*nodes, strict=True)]
-    fast = I.path_lengths(values, *columns)
-    assert fast == pytest.approx([slow_path(values, nodes, i) for i in range(64)])
-    assert max(fast) <= 6 + I.average_path(64)
+    values = rng.normal(size=(300, 3)).round(1)
+    values[:, 2] = 7.0  # never worth a split
+    tree = rng.integers(0, 3, size=300) + 10
+    roots, *nodes = I.grow_trees(values, tree, 6, rng)
+    feature, cut, low, high, length = nodes
+    assert len(roots) == 3 and 2 not in feature
+    for number, root in zip((10, 11, 12), roots, strict=True):
+        fast = I.path_lengths(values, root, *nodes)
+        assert fast == pytest.approx([slow_path(values, nodes, root, i) for i in range(300)])
+        assert max(fast) <= 6 + I.average_path([300])[0]
+        # Rows that grew the tree fill its leaves: the depths obey Kraft's equality.
+        leaves = set()
+        for i in np.flatnonzero(tree == number):
+            spot, depth = root, 0
+            while feature[spot] >= 0:
+                spot = low[spot] if values[i, feature[spot]] <= cut[spot] else high[spot]
+                depth += 1
+            leaves.add((spot, depth))
+        assert sum(2.0**-depth for _, depth in leaves) == pytest.approx(1.0)
+
+
+def test_growth_does_not_depend_on_row_order():
+    rng = np.random.default_rng(8)
+    values, tree = rng.normal(size=(200, 2)), rng.integers(0, 4, size=200)
+    shuffled = rng.permutation(200)
+    first = I.grow_trees(values, tree, 8, np.random.default_rng(3))
+    second = I.grow_trees(values[shuffled], tree[shuffled], 8, np.random.default_rng(3))
+    assert all((a == b).all() for a, b in zip(first, second, strict=True))
 
 
 def test_average_path():
-    assert [I.average_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
+    assert I.average_path([0, 1, 2]).tolist() == [0.0, 0.0, 1.0]
     harmonic = sum(1 / i for i in range(1, 256))
-    assert I.average_path(256) == pytest.approx(2 * harmonic - 2 * 255 / 256, abs=0.01)
+    assert I.average_path([256])[0] == pytest.approx(2 * harmonic - 2 * 255 / 256, abs=0.01)
 
 
 def test_single_point_group_flags_nothing(spark):
