@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockflow.functions.text import batch_number
 from stockflow.operators.joins import join_lookup
 from stockflow.schemas import EVENT_KEY, INVENTORY
+from stockflow.session import materialize
 
 
 def new_rows(
@@ -28,13 +29,15 @@ def new_rows(
     """
     if dedupe_within:
         incoming = incoming.dropDuplicates(keys)
-    arriving = incoming.select(*keys).distinct()
+    arriving = materialize(incoming.select(*keys).distinct(), "arriving")
     stored = existing.select(*keys)
     if prune_on in keys:
-        low, high = incoming.agg(F.min(prune_on), F.max(prune_on)).first()
+        low, high = arriving.agg(F.min(prune_on), F.max(prune_on)).first()
         in_range = F.col(prune_on).between(F.lit(low), F.lit(high))
         stored = stored.filter(in_range | F.col(prune_on).isNull())
-    known = join_lookup(stored, arriving, keys, "left_semi", null_safe=True, **lookup).distinct()
+    known = join_lookup(
+        stored, arriving, keys, "left_semi", null_safe=True, written=True, **lookup
+    ).distinct()
     return join_lookup(incoming, known, keys, "left_anti", null_safe=True, **lookup)
 
 

@@ -62,7 +62,7 @@ def isolation_points(
         F.sum("weight").alias("__rows"), F.count("*").alias("__points")
     )
     sizes = materialize(sizes.filter(F.col("__rows") >= 2), "sizes")
-    sized = join_lookup(points, sizes, groups)
+    sized = join_lookup(points, sizes, groups, written=True)
 
     forest = materialize(_grow_forest(sized, groups, features, seed, trees, sample), "forest")
     scored = materialize(_score(sized, forest, sizes, groups, features, sample, chunk_points))

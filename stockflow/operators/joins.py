@@ -51,14 +51,17 @@ def join_lookup(
     how: str = "inner",
     *,
     null_safe: bool = False,
+    written: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``big`` to ``lookup``, which must have one row per key.
 
     ``how`` is inner, left, left_semi or left_anti. With ``null_safe`` a null
-    key part matches a null key part. The lookup side is evaluated once, here.
+    key part matches a null key part. The lookup side is evaluated once, here,
+    unless it is a ``written`` table already.
     """
-    lookup = materialize(lookup, "lookup")
+    if not written:
+        lookup = materialize(lookup, "lookup")
     fits = measured_bytes(lookup) <= broadcast_bytes
     columns = big.columns + [
         c for c in lookup.columns if c not in keys and how not in ("left_semi", "left_anti")
