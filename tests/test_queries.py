@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stockflow.plans.oracles import ORACLES
+from stockflow.plans.registered import QUERIES
 from tests.compare import connect, difference
 
 # Fitted models and isolation forests: no SQL equivalent, tested on their own.
@@ -21,14 +23,15 @@ def tables(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, small, tables, name):
-    only_spark, only_sql = difference(queries()[name](spark, small), tables, oracle_sql()[name])
+    only_spark, only_sql = difference(QUERIES[name](spark, small), tables, ORACLES[name])
     assert not only_spark and not only_sql
 
 
 def test_every_other_query_is_a_model():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_has_rows(spark):
