@@ -26,15 +26,23 @@ def packed(values: list[np.ndarray]) -> pa.Array:
     return pa.array([v.tobytes() for v in values], pa.binary())
 
 
-def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Filter of ``2 ** bits`` bits: one is set for the top bits of every key.
+def bitmap(keys: DataFrame, column: str, bits: int, probes: int = 1) -> np.ndarray:
+    """Bloom filter of ``2 ** bits`` bits with ``probes`` bits for each 64-bit key.
 
     Its size does not depend on the number of keys; with many keys it lets
     more strangers through, so whoever uses it has to join afterwards.
     """
-    slot = F.shiftrightunsigned(F.col(column), 64 - bits)
+    turned = [
+        F.shiftleft(F.col(column), 13 * turn).bitwiseOR(
+            F.shiftrightunsigned(F.col(column), 64 - 13 * turn)
+        )
+        if turn
+        else F.col(column)
+        for turn in range(probes)
+    ]
     words = (
-        keys.select(slot.alias("slot"))
+        keys.select(F.explode(F.array(*turned)).alias("h"))
+        .select(F.shiftrightunsigned("h", 64 - bits).alias("slot"))
         .groupBy(F.shiftright("slot", 5).alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("set"))
         .toArrow()
@@ -44,11 +52,17 @@ def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
     return filled
 
 
-def in_bitmap(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def in_bitmap(filled: np.ndarray, hashes: np.ndarray, probes: int = 1) -> np.ndarray:
     bits = len(filled).bit_length() - 1 + 5
-    slot = hashes >> np.uint64(64 - bits)
-    word = filled[(slot >> np.uint64(5)).astype(np.int64)]
-    return ((word >> (slot & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
+    found = np.ones(len(hashes), bool)
+    for turn in range(probes):
+        turned = hashes
+        if turn:
+            turned = (hashes << np.uint64(13 * turn)) | (hashes >> np.uint64(64 - 13 * turn))
+        slot = turned >> np.uint64(64 - bits)
+        word = filled[(slot >> np.uint64(5)).astype(np.int64)]
+        found &= ((word >> (slot & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
+    return found
 
 
 def held_out(doc_id: Column, modulus: int, rest: int = 2) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.llm.decontamination import decontaminate
+from stockflow.llm.jaccard_join import jaccard_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +34,8 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"))

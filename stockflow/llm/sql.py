@@ -39,3 +39,29 @@ SELECT d.doc_id, cast(len(w) AS BIGINT) AS n_words,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
 """
+
+ORACLES["op6_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM w),
+t AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i
+  FROM t a JOIN t b ON a.t = b.t AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n
+    AND 100 * b.n >= 90 * a.n
+  GROUP BY ALL),
+e AS MATERIALIZED (
+  SELECT a, b FROM o WHERE 100 * i >= 90 * (na + nb - i)
+  UNION SELECT b, a FROM o WHERE 100 * i >= 90 * (na + nb - i)),
+r AS (
+  SELECT a AS v, b AS x FROM e
+  UNION SELECT r.v, e.b FROM r JOIN e ON r.x = e.a)
+SELECT s.doc_id, cast(len(s) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce(m, s.doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT v, min(x) AS m FROM r GROUP BY v) ON v = s.doc_id
+"""
