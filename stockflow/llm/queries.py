@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.jaccard_join import jaccard_groups
+from stockflow.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +40,8 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -47,8 +47,17 @@ def word_bytes(rule: str) -> np.ndarray:
 class Words:
     """Words of consecutive rows: their hashes, and where each row's words end."""
 
-    def __init__(self, first: int, hashes: np.ndarray, ends: np.ndarray, at: np.ndarray) -> None:
+    def __init__(
+        self,
+        first: int,
+        hashes: np.ndarray,
+        ends: np.ndarray,
+        at: np.ndarray,
+        starts_with: dict[int, np.ndarray] | None = None,
+    ) -> None:
         self.first = first  # number of the first row in the array
+        # For some lengths in bytes the hash of a longer word's beginning, else 0.
+        self.starts_with = starts_with or {}
         self.hashes = hashes
         self.ends = ends  # words of the rows so far, one entry for each row
         self.at = at  # byte spans of the words within the array's data
@@ -64,8 +73,9 @@ class Words:
 class Splitter:
     """Splits text arrays into words; one object per task."""
 
-    def __init__(self, rule: str, lower: bool = True) -> None:
+    def __init__(self, rule: str, lower: bool = True, beginnings: tuple[int, ...] = ()) -> None:
         self.inside = word_bytes(rule)
+        self.beginnings = beginnings
         code = np.arange(256)
         if lower:
             code[ord("A") : ord("Z") + 1] += 32
@@ -105,7 +115,9 @@ class Splitter:
         n = len(data)
         if not n:
             none = np.zeros(0, np.int64)
-            return Words(first, none.astype(np.uint64), np.zeros(len(cuts) - 1, np.int64), none)
+            no_hashes = none.astype(np.uint64)
+            short = dict.fromkeys(self.beginnings, no_hashes)
+            return Words(first, no_hashes, np.zeros(len(cuts) - 1, np.int64), none, short)
         self._powers(max(n, _CHUNK))
         inside = self.inside[data]
         border = np.zeros(n + 1, bool)
@@ -123,8 +135,14 @@ class Splitter:
             np.cumsum(terms, out=terms)
             hashes = (terms[ends - 1] - terms[starts] + own) * self.inverse[starts]
             hashes = mix(hashes + (ends - starts).astype(np.uint64))
+            starts_with = {}
+            for size in self.beginnings:
+                last = np.minimum(starts + size, ends) - 1
+                part = (terms[last] - terms[starts] + own) * self.inverse[starts]
+                part = mix(part ^ np.uint64(size << 56))
+                starts_with[size] = np.where(ends - starts > size, part, np.uint64(0))
         spans = np.stack([starts, ends], 1) + offsets[0]
-        return Words(first, hashes, np.searchsorted(starts, cuts[1:]), spans)
+        return Words(first, hashes, np.searchsorted(starts, cuts[1:]), spans, starts_with)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
