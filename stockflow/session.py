@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -19,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = configured or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="stockflow-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -43,7 +47,24 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_location(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[written] = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again."""
+    for table in tables:
+        path = _WRITTEN.pop(table, None)
+        if path:
+            remove(table.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
