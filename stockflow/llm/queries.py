@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.jaccard_join import jaccard_groups
+from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +47,9 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return tokenize_documents(table(spark, folder, "documents"), tokenizer)
