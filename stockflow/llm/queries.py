@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.jaccard_join import jaccard_groups
+from stockflow.llm.mixing import mix_plan
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
 
@@ -53,3 +54,16 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return tokenize_documents(table(spark, folder, "documents"), tokenizer)
+
+
+@query
+def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mix_plan(table(spark, folder, "documents"))
+    return plan.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.size("draws")).alias("taken"),
+        F.transform("draws", lambda d: d["shard"]).alias("shards"),
+    )
