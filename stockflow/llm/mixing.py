@@ -309,8 +309,8 @@ def mix_plan(
     )
 
 
-def mixed(plan: DataFrame, columns: list[str], shards: int = SHARDS) -> DataFrame:
-    """The rows of the mix, one for each draw, in the order of their shards."""
+def mixed(plan: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of the mix, one for each draw, shard after shard, each in its order."""
     rows = plan.select(*columns, F.explode("draws").alias("__draw"))
-    rows = rows.repartition(shards, "__draw.shard")
-    return rows.sortWithinPartitions("__draw.shard", "__draw.position").select(*columns)
+    order = ["__draw.shard", "__draw.position"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
