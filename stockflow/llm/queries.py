@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.llm.decontamination import decontaminate
+from stockflow.llm.embedding_dedup import near_duplicates
 from stockflow.llm.jaccard_join import jaccard_groups
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.token_output import tokenize_documents
@@ -67,3 +68,8 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.size("draws")).alias("taken"),
         F.transform("draws", lambda d: d["shard"]).alias("shards"),
     )
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
