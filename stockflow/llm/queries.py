@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.embedding_dedup import near_duplicates
 from stockflow.llm.jaccard_join import jaccard_groups
+from stockflow.llm.line_dedup import dedup_lines
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
@@ -73,3 +74,8 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents")).drop("runs")

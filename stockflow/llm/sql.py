@@ -65,3 +65,41 @@ SELECT s.doc_id, cast(len(s) AS BIGINT) AS n_shingles,
        least(s.doc_id, coalesce(m, s.doc_id)) AS component_id
 FROM s LEFT JOIN (SELECT v, min(x) AS m FROM r GROUP BY v) ON v = s.doc_id
 """
+
+ORACLES["op2_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, pos, trim(ls[pos + 1], ' ') AS line,
+         len(regexp_extract_all(ls[pos + 1], '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents
+              WHERE text IS NOT NULL))),
+c AS (
+  SELECT doc_id, pos, line, n, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS e
+  FROM l WHERE n > 0),
+w AS (
+  SELECT doc_id, min(pos) OVER f AS s, max(pos) OVER f AS t, sum(n) OVER f AS n,
+         list(line) OVER f AS k
+  FROM (SELECT *, e - n AS b FROM c)
+  WINDOW f AS (PARTITION BY doc_id ORDER BY b RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION
+  SELECT doc_id, min(pos) OVER f, max(pos) OVER f, sum(n) OVER f, list(line) OVER f
+  FROM c
+  WINDOW f AS (PARTITION BY doc_id ORDER BY e RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+r AS (
+  SELECT doc_id, s, t,
+         row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS i
+  FROM w WHERE n >= 50),
+x AS (SELECT DISTINCT doc_id, unnest(range(s, t + 1)) AS pos FROM r WHERE i > 1)
+SELECT d.doc_id, CASE WHEN m IS NULL THEN text ELSE coalesce(kept, '') END AS text,
+       cast(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+       cast(coalesce(m, 0) AS BIGINT) AS n_deleted
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS m FROM x GROUP BY doc_id) USING (doc_id)
+LEFT JOIN (
+  SELECT doc_id, string_agg(part, chr(10) ORDER BY pos) AS kept
+  FROM (SELECT doc_id, ls[pos + 1] AS part, pos
+        FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))
+  ANTI JOIN x USING (doc_id, pos)
+  GROUP BY doc_id) USING (doc_id)
+"""
