@@ -12,6 +12,7 @@ from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.embedding_dedup import near_duplicates
 from stockflow.llm.jaccard_join import jaccard_groups
 from stockflow.llm.line_dedup import dedup_lines
+from stockflow.llm.lm_scoring import score_texts
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
@@ -79,3 +80,8 @@ def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).drop("runs")
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
