@@ -14,6 +14,7 @@ from stockflow.llm.jaccard_join import jaccard_groups
 from stockflow.llm.line_dedup import dedup_lines
 from stockflow.llm.lm_scoring import score_texts
 from stockflow.llm.mixing import mix_plan
+from stockflow.llm.secret_scan import scan_secrets, span_text
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
 
@@ -85,3 +86,19 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
