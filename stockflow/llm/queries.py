@@ -14,6 +14,7 @@ from stockflow.llm.jaccard_join import jaccard_groups
 from stockflow.llm.line_dedup import dedup_lines
 from stockflow.llm.lm_scoring import score_texts
 from stockflow.llm.mixing import mix_plan
+from stockflow.llm.quality import score_quality
 from stockflow.llm.secret_scan import scan_secrets, span_text
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
@@ -102,3 +103,8 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(span_text(base), 256).alias("base_sha256"),
         span_text(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

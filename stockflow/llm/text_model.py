@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import packed
-from stockflow.llm.words import ALPHANUMERIC, Splitter
+from stockflow.llm.words import ALPHANUMERIC, Splitter, Words, mix
 from stockflow.session import materialize
 
 BEGINNINGS = (3, 4, 5, 6)  # bytes of a word's beginning that count as features
@@ -25,19 +25,46 @@ FEATURES = 8192  # features a model keeps, those with the largest z-scores
 LEAST_Z = 4.0
 LEAST_ROWS = 4  # sampled rows that a feature must occur in
 SLOT_BITS = 22
+_ROW = np.uint64(0x9FB21C651E98DF25)
+
+
+def splitter_for(shapes: bool) -> Splitter:
+    return Splitter(ALPHANUMERIC, beginnings=BEGINNINGS, count_kinds=shapes)
+
+
+def shape_features(part: Words) -> list[np.ndarray]:
+    """For each row which range some measures of its text fall into: shares of
+    signs, digits and capitals, length of words, share of different words."""
+    size, *kinds = part.kinds
+    n = np.diff(part.ends, prepend=0)
+    row = part.row_of_word()
+    with np.errstate(over="ignore"):
+        keys = np.unique(mix(part.hashes + row.astype(np.uint64) * _ROW), return_index=True)[1]
+    different = np.bincount(row[keys], minlength=part.rows)
+    length = np.bincount(row, part.at[:, 1] - part.at[:, 0] if len(row) else None, part.rows)
+    measures = [8 * np.log2(1 + 100 * k / np.maximum(size, 1)) for k in kinds]
+    measures += [2 * length / np.maximum(n, 1), 20 * different / np.maximum(n, 1)]
+    return [
+        mix((np.uint64(spot + 1) << np.uint64(40)) + m.astype(np.uint64))
+        for spot, m in enumerate(measures)
+    ]
 
 
 class Model(NamedTuple):
     features: np.ndarray  # sorted 64-bit hashes
     weights: np.ndarray
     intercept: float
+    shapes: bool = False
 
     def logits(self, texts: pa.Array, splitter: Splitter, slots: np.ndarray) -> np.ndarray:
         """Log-odds of each text; every feature counts once however often it occurs."""
         out = np.full(len(texts), self.intercept)
         for part in splitter.split(texts):
-            row = part.row_of_word()
-            for keys in (part.hashes, *part.starts_with.values()):
+            words = part.row_of_word()
+            sets = [(words, k) for k in (part.hashes, *part.starts_with.values())]
+            if self.shapes:
+                sets += [(np.arange(part.rows), k) for k in shape_features(part)]
+            for row, keys in sets:
                 near = np.flatnonzero(slots[(keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)])
                 at = np.searchsorted(self.features, keys[near])
                 at[at == len(self.features)] = 0
@@ -64,8 +91,11 @@ def feature_sets(texts: pa.Array, splitter: Splitter) -> list[np.ndarray]:
     out = []
     for part in splitter.split(texts):
         low = 0
-        for high in part.ends:
+        shapes = np.stack(shape_features(part), 1) if splitter.count_kinds else None
+        for row, high in enumerate(part.ends):
             keys = [part.hashes[low:high], *(b[low:high] for b in part.starts_with.values())]
+            if shapes is not None:
+                keys.append(shapes[row])
             keys = np.unique(np.concatenate(keys))
             out.append(keys[keys != 0])
             low = high
@@ -92,11 +122,11 @@ def labelled_texts(
     return texts.join(F.broadcast(labels), "id").select("y", "t")
 
 
-def features_of(swap=None):
+def features_of(swap=None, shapes: bool = False):
     """Task function: features of each text, and of its counterfactual if any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(ALPHANUMERIC, beginnings=BEGINNINGS)
+        splitter = splitter_for(shapes)
         for batch in batches:
             texts = batch.column(1)
             own = feature_sets(texts, splitter)
@@ -157,16 +187,24 @@ def kept_features(chosen):
     return run
 
 
-def train(sample: DataFrame, *, swap=None, penalty: float = 0.0, ridge: float = 1e-4) -> Model:
+def train(
+    sample: DataFrame,
+    *,
+    swap=None,
+    penalty: float = 0.0,
+    ridge: float = 1e-4,
+    shapes: bool = False,
+) -> Model:
     """Fit the labels ``y`` of the texts ``t`` of a bounded sample.
 
     ``swap`` makes a counterfactual of a text; ``penalty`` weighs the squared
-    change of the log-odds between the two. Without both labels in the sample
+    change of the log-odds between the two; with ``shapes`` measures of the text
+    count beside its words. Without both labels in the sample
     the model is a constant.
     """
     spark = sample.sparkSession
     rows = sample.select("y", "t").mapInArrow(
-        features_of(swap), "y int, own binary, other binary"
+        features_of(swap, shapes), "y int, own binary, other binary"
     )
     rows = materialize(rows, "features")
     n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -191,7 +229,7 @@ def train(sample: DataFrame, *, swap=None, penalty: float = 0.0, ridge: float =
     y = table["y"].to_numpy().astype(float)
     own, other = (Sparse.of(table[c], len(features)) for c in ("own", "other"))
     weights, intercept = fit(own, other, y, penalty, ridge)
-    return Model(features, weights, intercept)
+    return Model(features, weights, intercept, shapes)
 
 
 def _z(positive: Column, n: Column, all_positive: int, all_: int) -> Column:
@@ -253,7 +291,7 @@ def scored(docs: DataFrame, model: Model, id_col: str, text_col: str, keep: list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, slots = shared.value
-        splitter = Splitter(ALPHANUMERIC, beginnings=BEGINNINGS)
+        splitter = splitter_for(fitted.shapes)
         for batch in batches:
             logits = fitted.logits(batch.column(batch.num_columns - 1), splitter, slots)
             yield pa.RecordBatch.from_arrays(

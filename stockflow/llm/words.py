@@ -54,10 +54,13 @@ class Words:
         ends: np.ndarray,
         at: np.ndarray,
         starts_with: dict[int, np.ndarray] | None = None,
+        kinds: np.ndarray | None = None,
     ) -> None:
         self.first = first  # number of the first row in the array
         # For some lengths in bytes the hash of a longer word's beginning, else 0.
         self.starts_with = starts_with or {}
+        # Bytes of each row: all, ASCII signs, digits, capitals.
+        self.kinds = kinds
         self.hashes = hashes
         self.ends = ends  # words of the rows so far, one entry for each row
         self.at = at  # byte spans of the words within the array's data
@@ -73,7 +76,14 @@ class Words:
 class Splitter:
     """Splits text arrays into words; one object per task."""
 
-    def __init__(self, rule: str, lower: bool = True, beginnings: tuple[int, ...] = ()) -> None:
+    def __init__(
+        self,
+        rule: str,
+        lower: bool = True,
+        beginnings: tuple[int, ...] = (),
+        count_kinds: bool = False,
+    ) -> None:
+        self.count_kinds = count_kinds
         self.inside = word_bytes(rule)
         self.beginnings = beginnings
         code = np.arange(256)
@@ -117,7 +127,8 @@ class Splitter:
             none = np.zeros(0, np.int64)
             no_hashes = none.astype(np.uint64)
             short = dict.fromkeys(self.beginnings, no_hashes)
-            return Words(first, no_hashes, np.zeros(len(cuts) - 1, np.int64), none, short)
+            kinds = np.zeros((4, len(cuts) - 1), np.int64)
+            return Words(first, no_hashes, np.zeros(len(cuts) - 1, np.int64), none, short, kinds)
         self._powers(max(n, _CHUNK))
         inside = self.inside[data]
         border = np.zeros(n + 1, bool)
@@ -142,7 +153,16 @@ class Splitter:
                 part = mix(part ^ np.uint64(size << 56))
                 starts_with[size] = np.where(ends - starts > size, part, np.uint64(0))
         spans = np.stack([starts, ends], 1) + offsets[0]
-        return Words(first, hashes, np.searchsorted(starts, cuts[1:]), spans, starts_with)
+        kinds = None
+        if self.count_kinds:
+            digit = (data >= ord("0")) & (data <= ord("9"))
+            capital = (data >= ord("A")) & (data <= ord("Z"))
+            small = (data >= ord("a")) & (data <= ord("z"))
+            sign = (data > 0x20) & (data < 0x7F) & ~(digit | capital | small)
+            sums = [np.concatenate([[0], np.cumsum(x)])[cuts] for x in (sign, digit, capital)]
+            kinds = np.stack([np.diff(x) for x in (cuts, *sums)])
+        ends_at = np.searchsorted(starts, cuts[1:])
+        return Words(first, hashes, ends_at, spans, starts_with, kinds)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
