@@ -16,20 +16,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import bitmap, in_bitmap, numbered, packed
 from stockflow.llm.components import components
 from stockflow.llm.words import NOT_SPACE, Splitter, grams, mix
 from stockflow.operators.joins import join_lookup
-from stockflow.session import materialize
+from stockflow.session import discard, materialize
 
 SHINGLE = 3  # words
 PERCENT = 90  # two sets link at this Jaccard similarity
-CELL_BITS = 22  # cells of the frequency sketch
-CELLS_A_ROW = 4096
-FILTER_BITS, PROBES = 26, 4  # Bloom filter of the classes that may link: 8 MiB
+CELL_BITS = 22  # cells of the frequency sketch: 4 MiB
+CELLS_A_ROW = 1 << 16
+LEVELS = 8  # levels of frequency for each doubling
+FILTER_BITS, PROBES = 26, 4  # Bloom filters of shingles and classes met: 8 MiB each
 GROUP_TOKENS = 1 << 18  # shingles of a group's part, summed over its members
 QUERIES_A_PART = 2048  # classes held against one part at a time
 
@@ -101,7 +103,7 @@ def described(k: int, bits: int):
                     pa.nulls(len(used), pa.int64()),
                     pa.nulls(len(used), pa.int64()),
                     pa.array(used.astype(np.int32)),
-                    packed(list(chunks[used])),
+                    pa.array([zstandard.compress(chunks[c]) for c in used], pa.binary()),
                 ],
                 schema=schema,
             )
@@ -110,16 +112,16 @@ def described(k: int, bits: int):
 
 
 def summed_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: for each chunk the bit length of its cells' total counts."""
+    """Task function: for each chunk the frequency levels of its cells."""
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, blob in zip(
             batch.column("chunk").to_pylist(), batch.column("cells").to_pylist(), strict=True
         ):
-            counts = np.frombuffer(blob, np.uint8).astype(np.uint64)
+            counts = np.frombuffer(zstandard.decompress(blob), np.uint8).astype(np.uint64)
             totals[chunk] = totals[chunk] + counts if chunk in totals else counts
     for chunk, counts in totals.items():
-        level = np.ceil(np.log2(counts.astype(float) + 1)).astype(np.uint8)
+        level = np.minimum(LEVELS * np.log2(counts.astype(float) + 1), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk], pa.int32()), packed([level])], ["chunk", "cells"]
         )
@@ -139,22 +141,30 @@ def frequency_levels(rows: DataFrame, bits: int) -> np.ndarray:
 def rare_first(found: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     level = levels[cell_of(found, len(levels).bit_length() - 1)].astype(np.uint64)
     # ``found`` is sorted, and the sort is stable: equal keys keep their order.
-    order = np.argsort((level << np.uint64(58)) | (found >> np.uint64(6)), kind="stable")
+    order = np.argsort((level << np.uint64(56)) | (found >> np.uint64(8)), kind="stable")
     return found[order], level
 
 
+def misses(n: int, percent: int) -> int:
+    """How many shingles of a set of ``n`` a linked set can lack at most."""
+    return n + n * -percent // 100
+
+
 def prefixes(k: int, percent: int, levels):
     """Task function: the rare shingles by which a set can be met.
 
-    The first ``in_index`` ones meet sets at least as large, all of them meet
-    sets that are at most as large. Copies within the task give rows once.
+    Of the sets' first ``misses + 1`` shingles (role 1 and 2) linked sets share
+    one; the smaller set's lies within its first few (role 2). Of the first
+    ``2 * misses + 1`` (any role) they share ``misses + 1`` of the smaller set,
+    so a set with fewer than ``least`` shared ones links with none. Copies
+    within the task give rows once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(NOT_SPACE)
         seen: set[int] = set()
         for batch in batches:
-            tokens, sizes, indexed, classes, n, central = [], [], [], [], [], []
+            tokens, found_sets = [], []
             for _, found in shingle_sets(batch.column(0), splitter, k):
                 size = len(found)
                 own = set_class(found)
@@ -162,29 +172,47 @@ def prefixes(k: int, percent: int, levels):
                     continue
                 seen.add(own)
                 order, level = rare_first(found, levels.value)
-                tokens.append(order[: size + size * -percent // 100 + 1])
-                sizes.append(len(tokens[-1]))
-                indexed.append(size + 2 * size * -percent // (100 + percent) + 1)
-                classes.append(own)
-                n.append(size)
-                central.append(level.mean())
-            sizes = np.array(sizes, np.int64)
-            first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-            rank = np.arange(len(first)) - first
+                may_miss = misses(size, percent)
+                tokens.append(order[: 2 * may_miss + 1])
+                indexed = size + 2 * size * -percent // (100 + percent) + 1
+                least = misses(size - may_miss, percent) + 1
+                found_sets.append(
+                    (own, size, len(tokens[-1]), may_miss, indexed, least, level.mean())
+                )
+            fields = list(zip(*found_sets, strict=True)) or [()] * 7
+            lengths = np.array(fields[2], np.int64)
+            rank = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+            def each(spot: int, kind: type, fields=fields, lengths=lengths) -> np.ndarray:
+                return np.repeat(np.array(fields[spot], kind), lengths)
+
+            role = (rank <= each(3, np.int64)).astype(np.int32) + (rank < each(4, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([*tokens, np.zeros(0, np.uint64)]).astype(np.int64)),
-                    pa.array(np.repeat(np.array(classes, np.int64), sizes)),
-                    pa.array(np.repeat(np.array(n, np.int64), sizes)),
-                    pa.array(rank < np.repeat(np.array(indexed, np.int64), sizes)),
-                    pa.array(np.repeat(np.array(central, np.float32), sizes)),
+                    pa.array(each(0, np.int64)),
+                    pa.array(each(1, np.int64)),
+                    pa.array(role.astype(np.int32)),
+                    pa.array(each(5, np.int32)),
+                    pa.array(each(6, np.float32)),
                 ],
-                ["token", "class", "n", "in_index", "central"],
+                ["token", "class", "n", "role", "least", "central"],
             )
 
     return run
 
 
+def passing(filled):
+    """Task function: the rows whose shingle the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("token").to_numpy().astype(np.uint64)
+            yield batch.filter(pa.array(in_bitmap(filled.value, keys, PROBES)))
+
+    return run
+
+
 def chosen_sets(k: int, chosen):
     """Task function: whole sets of the classes that the filter lets through."""
 
@@ -218,23 +246,29 @@ def overlap(one: np.ndarray, other: np.ndarray) -> int:
     return len(np.intersect1d(one, other, assume_unique=True))
 
 
+def split_roles(rows: pa.Table) -> tuple[list[int], list[np.ndarray], list[int], list]:
+    """Ids and sets of the queries (role 0) and of the members (role 1)."""
+    out: tuple = ([], [], [], [])
+    for own, role, blob in zip(
+        rows["class"].to_pylist(), rows["role"].to_pylist(), rows["tokens"], strict=True
+    ):
+        out[2 * role].append(own)
+        out[2 * role + 1].append(np.frombuffer(blob.as_buffer(), np.uint64))
+    return out
+
+
+def link_table(a: list[int], b: list[int]) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def linked(percent: int):
-    """Task function: which classes link with the class they were paired with."""
+    """Group function: which classes link with their leader, the only member."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for ours, theirs in zip(
-                batch.column("tokens"), batch.column("leader_tokens"), strict=True
-            ):
-                one = np.frombuffer(ours.as_buffer(), np.uint64)
-                other = np.frombuffer(theirs.as_buffer(), np.uint64)
-                keep.append(overlap(one, other) >= needed(len(one), len(other), percent))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class").filter(keep), batch.column("leader").filter(keep)],
-                ["a", "b"],
-            )
+    def run(rows: pa.Table) -> pa.Table:
+        ids, sets, leader, (leads, *_) = split_roles(rows)
+        least = [needed(len(s), len(leads), percent) for s in sets]
+        a = [i for i, s, n in zip(ids, sets, least, strict=True) if overlap(s, leads) >= n]
+        return link_table(a, leader * len(a))
 
     return run
 
@@ -245,31 +279,33 @@ def opened(percent: int):
     Members of a group are connected already, so the first link is enough.
     """
 
-    def run(queries: pa.Table, members: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in members["tokens"]]
+    def run(rows: pa.Table) -> pa.Table:
+        ids, queries, members, sets = split_roles(rows)
         a, b = [], []
-        if sets and queries.num_rows:
-            ids = members["class"].to_pylist()
-            sizes = np.array([len(s) for s in sets])
-            union = np.unique(np.concatenate(sets))
-            for own, blob in zip(queries["class"].to_pylist(), queries["tokens"], strict=True):
-                query = np.frombuffer(blob.as_buffer(), np.uint64)
-                n = len(query)
-                open_ = np.flatnonzero((100 * sizes >= percent * n) & (sizes <= n))
-                if not len(open_):
-                    continue
-                bound = overlap(query, union)
-                for at in open_:
-                    least = needed(n, int(sizes[at]), percent)
-                    if bound >= least and overlap(query, sets[at]) >= least:
-                        a.append(own)
-                        b.append(ids[at])
-                        break
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        sizes = np.array([len(s) for s in sets], np.int64)
+        union = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]))
+        for own, query in zip(ids, queries, strict=True):
+            n = len(query)
+            fits = np.flatnonzero((100 * sizes >= percent * n) & (sizes <= n))
+            if not len(fits):
+                continue
+            bound = overlap(query, union)
+            for at in fits:
+                least = needed(n, int(sizes[at]), percent)
+                if bound >= least and overlap(query, sets[at]) >= least:
+                    a.append(own)
+                    b.append(members[at])
+                    break
+        return link_table(a, b)
 
     return run
 
 
+def turn(column: str, splits: Column) -> Column:
+    """Which of ``splits`` shares of a large group a class falls to."""
+    return F.pmod(F.xxhash64(column, F.lit(1)), splits).cast("int")
+
+
 def jaccard_groups(
     docs: DataFrame,
     *,
@@ -307,42 +343,60 @@ def jaccard_groups(
     tokens = materialize(
         texts.select("t").mapInArrow(
             prefixes(shingle, percent, levels),
-            "token bigint, class bigint, n bigint, in_index boolean, central float",
+            "token bigint, class bigint, n bigint, role int, least int, central float",
         ),
         "prefixes",
     )
-    leader = F.struct("central", "n", "class")
-    shared = (
-        tokens.groupBy("token")
-        .agg(
-            F.min("class").alias("low"),
-            F.max("class").alias("high"),
-            F.max(F.when(F.col("in_index"), leader)).alias("leader"),
-        )
-        .filter("low != high and leader is not null")
-    )
-    met = tokens.join(shared.select("token", "leader"), "token")
-    met = materialize(met.select("token", "class", "n", "in_index", "leader"), "met")
+    shared = tokens.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = materialize(shared.filter("low != high").select("token"), "shared")
+    filled = spark.sparkContext.broadcast(bitmap(shared, "token", FILTER_BITS, PROBES))
+    near = tokens.mapInArrow(passing(filled), tokens.schema).join(shared, "token", "left_semi")
+    near = materialize(near.distinct(), "near")
+    discard(tokens, shared)
+    active = near.groupBy("class").agg(F.count("*").alias("shared"), F.max("least").alias("least"))
+    active = active.filter("shared >= least").select("class")
+    met = near.filter("role > 0").join(active, "class", "left_semi")
+    met = materialize(met.withColumn("in_index", F.col("role") == 2).drop("role", "least"), "met")
+    discard(near)
+    leader = F.max(F.struct("central", "n", "class")).alias("leader")
+    leaders = met.filter("in_index").groupBy("token").agg(leader)
+    first, met = met, materialize(met.join(leaders, "token").drop("central"), "met")
+    discard(first)
     pairs = met.groupBy("class").agg(F.max("leader")["class"].alias("leader"))
     pairs = materialize(pairs, "leaders")
     chosen = spark.sparkContext.broadcast(bitmap(pairs, "class", FILTER_BITS, PROBES))
+    others = pairs.filter("class != leader").groupBy("leader").agg(
+        F.ceil(F.count("*") / QUERIES_A_PART).alias("splits")
+    )
+    others = materialize(others, "splits")
+    known = join_lookup(pairs, others, ["leader"], "left", written=True)
+    known = known.join(others.toDF("class", "leads"), "class", "left")
     sets = texts.select("t").mapInArrow(
         chosen_sets(shingle, chosen), "class bigint, tokens binary"
     )
     sets = sets.groupBy("class").agg(F.any_value("tokens").alias("tokens"))
-    sets = materialize(sets.join(pairs.select("class"), "class", "left_semi"), "sets")
+    sets = materialize(sets.join(known, "class"), "sets")
 
     # Groups: classes that link with the same leader.
-    star = pairs.filter("class != leader").join(sets, "class")
-    central = sets.toDF("leader", "leader_tokens").join(
-        pairs.select("leader").distinct(), "leader", "left_semi"
+    zero, one = F.lit(0), F.lit(1)
+    asks = F.struct(
+        F.col("leader").alias("key"), turn("class", F.col("splits")).alias("turn"), zero.alias("role")
+    )
+    answers = F.transform(
+        F.sequence(zero, F.coalesce("leads", zero).cast("int")),
+        lambda t: F.struct(F.col("class").alias("key"), t.alias("turn"), one.alias("role")),
+    )
+    rows_ = F.concat(
+        F.when(F.col("class") != F.col("leader"), F.array(asks)).otherwise(F.array()),
+        F.slice(answers, one, F.coalesce("leads", zero).cast("int")),
     )
-    star = join_lookup(star, central, ["leader"]).mapInArrow(linked(percent), "a bigint, b bigint")
-    star = materialize(star, "star")
+    star = sets.select("class", "tokens", F.explode(rows_).alias("r"))
+    star = star.select("class", "tokens", "r.*").groupBy("key", "turn")
+    star = materialize(star.applyInArrow(linked(percent), "a bigint, b bigint"), "star")
     root = components(star)
-    member = pairs.select("class").join(star.toDF("class", "group"), "class", "left")
+    member = sets.select("class", (F.octet_length("tokens") / 8).alias("n"))
+    member = member.join(star.toDF("class", "group"), "class", "left")
     member = member.join(root.toDF("class", "root"), "class", "left")
-    member = member.join(sets.select("class", (F.octet_length("tokens") / 8).alias("n")), "class")
     member = materialize(
         member.select(
             "class",
@@ -358,8 +412,10 @@ def jaccard_groups(
     member = materialize(member.select("class", "group", "root", part.alias("part")), "parts")
 
     # Which classes meet which groups, by the shingles of their prefixes.
+    first = met
     met = join_lookup(met.select("token", "class", "n", "in_index"), member, ["class"])
     met = materialize(met, "met")
+    discard(first)
     index = met.filter("in_index").groupBy("token", "group", "part")
     index = index.agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("root").alias("group_root")
@@ -367,32 +423,33 @@ def jaccard_groups(
     probes = met.select("token", "class", "n", "root")
     asked = (
         probes.join(index, "token")
-        .filter(
-            f"root != group_root and low <= n and 100 * high >= {percent} * n"
-        )
+        .filter(f"root != group_root and low <= n and 100 * high >= {percent} * n")
         .groupBy("class", "group", "part")
         .agg(F.lit(1).alias("one"))
         .drop("one")
     )
     asked = materialize(asked, "asked")
     splits = asked.groupBy("group", "part").agg(
-        F.ceil(F.count("*") / QUERIES_A_PART).alias("splits")
+        F.ceil(F.count("*") / QUERIES_A_PART).cast("int").alias("splits")
     )
     splits = materialize(splits, "splits")
-    turn = F.pmod(F.xxhash64("class", F.lit(1)), F.col("splits")).cast("int").alias("turn")
-    queries = join_lookup(asked, splits, ["group", "part"], written=True)
-    queries = join_lookup(queries.select("class", "group", "part", turn), sets, ["class"], written=True)
-    held = member.select("class", "group", "part").join(splits, ["group", "part"])
-    held = held.join(sets, "class").withColumn(
-        "turn", F.explode(F.sequence(F.lit(0), (F.col("splits") - 1).cast("int")))
+    queries = join_lookup(asked, splits, ["group", "part"], written=True).select(
+        "class", "group", "part", turn("class", F.col("splits")).alias("turn"), zero.alias("role")
+    )
+    held = join_lookup(member, splits, ["group", "part"], written=True).select(
+        "class",
+        "group",
+        "part",
+        F.explode(F.sequence(zero, F.col("splits") - 1)).alias("turn"),
+        one.alias("role"),
     )
-    key = ["group", "part", "turn"]
-    held = held.select("class", "tokens", *key).toDF("class", "tokens", *key)  # columns anew
-    links = (
-        queries.groupBy(*key)
-        .cogroup(held.groupBy(*key))
-        .applyInArrow(opened(percent), "a bigint, b bigint")
+    # A class may ask many groups; its set is joined to all its rows at once.
+    wanted = join_lookup(queries.union(held), sets.select("class", "tokens"), ["class"], written=True)
+    links = wanted.groupBy("group", "part", "turn").applyInArrow(
+        opened(percent), "a bigint, b bigint"
     )
+    links = materialize(links, "links")
+    discard(sets, met, asked)
     root = components(star.union(links))
 
     # The smallest id of each component, for classes of several rows only.
