@@ -9,6 +9,15 @@ LENIENT_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    "yyyy-MM-dd'T'HH:mmXXX",
+    "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm",
 ]
 
 # --- fixed values: patterns ----------------------------------------------

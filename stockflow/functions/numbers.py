@@ -26,10 +26,17 @@ def two_decimals(value: Column) -> Column:
 
 
 def float_text(value: Column) -> Column:
-    """Whole doubles print as ``12.0`` at any size below 1e15, never as ``1.2E7``."""
-    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
-    return F.when(whole, F.concat(value.cast("bigint").cast("string"), F.lit(".0"))).otherwise(
-        value.cast("string")
+    """Plain decimal digits from 1e-4 up to 1e16, as in ``12345678.5`` and ``0.0005``;
+    whole numbers end in ``.0``. Beyond that, and for NaN, the cast's own form."""
+    value = value.cast("double")
+    size = F.abs(value)
+    whole = (value == F.floor(value)) & (size < F.lit(1e16))
+    plain = (size >= F.lit(1e-4)) & (size < F.lit(1e16))
+    digits = value.cast("string").try_cast("decimal(38,21)").cast("string")
+    return (
+        F.when(whole, F.concat(value.cast("bigint").cast("string"), F.lit(".0")))
+        .when(plain, F.rtrim(digits, F.lit("0")))
+        .otherwise(value.cast("string"))
     )
 
 

@@ -54,7 +54,7 @@ def category_in_text(text: Column) -> Column:
 
 
 def batch_number(product_id: Column) -> Column:
-    return first_group(product_id, BATCH_PATTERN).try_cast("int")
+    return first_group(product_id, BATCH_PATTERN).try_cast("bigint")
 
 
 def labelled_lines(*parts: Column | tuple[str, Column]) -> Column:

@@ -10,6 +10,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockflow.functions.numbers import nan_to_null
+
+LARGEST = 1.7976931348623157e308  # of the finite doubles
 BINS = 4096
 SMALL = 20_000
 
@@ -26,14 +29,14 @@ def kth_smallest(
     ranks: Callable[[int], list[int]],
     small: int = SMALL,
 ) -> dict[int, Found]:
-    """Values at zero-based ranks of a numeric column (nulls ignored).
+    """Values at zero-based ranks of a numeric column (nulls and NaN ignored).
 
     ``ranks`` maps the row count to the wanted ranks. Each pass counts the rows
     of the current interval in ``BINS`` equal bins and goes on inside the bin
     that holds the rank; the bin's own extremes are the next interval. Only bin
     counts, and at last the counts of at most ``small`` rows, reach the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    values = df.select(nan_to_null(F.col(column).cast("double")).alias("v")).filter("v is not null")
     low, high, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
 
     @cache
@@ -42,8 +45,12 @@ def kth_smallest(
         if rows <= small:
             cell = F.col("v")
         else:
-            spot = F.floor((F.col("v") - low) / (high - low) * BINS)
-            cell = F.least(spot, F.lit(BINS - 1))
+            # Halves, since the range of doubles is wider than a double; infinite
+            # values are cells of their own.
+            bottom, top = max(low, -LARGEST) / 2, min(high, LARGEST) / 2
+            share = (F.col("v") / 2 - bottom) / (top - bottom) if top > bottom else F.lit(0.0)
+            cell = F.least(F.floor(share * BINS), F.lit(BINS - 1))
+            cell = F.when(F.col("v") > LARGEST, BINS).when(F.col("v") < -LARGEST, -1).otherwise(cell)
         counted = inside.groupBy(cell.alias("cell")).agg(
             F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.functions.numbers import decode_little_endian
+from stockflow.functions.numbers import decode_little_endian, nan_to_null
 from stockflow.functions.timestamps import parse_lenient
 from stockflow.operators.metrics import require_columns
 from stockflow.operators.quantiles import exact_percentiles
@@ -92,8 +92,9 @@ def of_model(forecasts: DataFrame, model_name: str) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    Columns without any value are left out.
+    Null and NaN count as missing; columns without any value are left out.
     """
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     shares = [0.25, 0.5, 0.75]
     measures = []
     for name in columns:

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.fixed_values import MODEL_ARIMA, MODEL_BOOSTED, MODEL_FOREST, MODEL_TREND
+from stockflow.fixed_values import ALL, MODEL_ARIMA, MODEL_BOOSTED, MODEL_FOREST, MODEL_TREND
 from stockflow.functions.timestamps import parse_lenient, render
 from stockflow.operators import notify as N
 from stockflow.operators.forest_anomalies import grouped_anomalies, record_anomalies
-from stockflow.operators.metrics import parse_events, stock_metrics
+from stockflow.operators.metrics import stock_metrics
 from stockflow.operators.post_process import post_process
 from stockflow.operators.series import attach_actuals
 from stockflow.operators.zscore import zscore_anomalies
@@ -23,7 +23,7 @@ from stockflow.plans.forecasts import (
 )
 from stockflow.schemas import ANOMALIES, FORECASTS, INVENTORY, METRICS, NOTIFICATIONS
 from stockflow.session import materialize
-from stockflow.sources.readers import read_table
+from stockflow.sources.readers import read_events, read_table
 from stockflow.sources.writers import replace, replace_model
 
 MODELS = {
@@ -46,41 +46,51 @@ class Store:
 
 def process_metrics(spark: SparkSession, store: Store, events: DataFrame | None = None) -> None:
     """Replace the metrics table by the metrics of ``events``, or of the stored
-    events if none are given or they are empty."""
+    events if none are given or they are empty. Without any events the table
+    stays and the job fails."""
     stored = read_table(spark, store.path("inventory"), INVENTORY)
-    raw = stored if events is None or events.isEmpty() else events
-    replace(stock_metrics(parse_events(raw)), store.path("metrics"))
+    replace(stock_metrics(read_events(events, stored)), store.path("metrics"))
+
+
+def stored_metrics(spark: SparkSession, store: Store) -> DataFrame:
+    """The metrics table, which must have rows."""
+    metrics = read_table(spark, store.path("metrics"), METRICS)
+    if metrics.isEmpty():
+        raise ValueError("the metrics table is empty")
+    return metrics
 
 
 def post_process_metrics(spark: SparkSession, store: Store) -> None:
     """Fill moving average and turnover rate of the stored metrics."""
-    metrics = read_table(spark, store.path("metrics"), METRICS)
-    replace(post_process(metrics), store.path("metrics"))
+    replace(post_process(stored_metrics(spark, store)), store.path("metrics"))
 
 
 def run_model(spark: SparkSession, store: Store, model_name: str) -> None:
     """Fit one model on the stored metrics and replace its stored forecasts."""
-    metrics = read_table(spark, store.path("metrics"), METRICS)
+    metrics = stored_metrics(spark, store)
     timed = metrics.withColumn("event_timestamp", parse_lenient(F.col("event_timestamp")))
     forecast = MODELS[model_name](timed)
     times = ("forecast_timestamp", "event_timestamp")
     forecast = forecast.withColumns({c: render(F.col(c)) for c in times})
-    replace_model(forecast, store.path("forecasts"))
+    replace_model(forecast, store.path("forecasts"), model_name)
 
 
 def fill_actuals(spark: SparkSession, store: Store) -> None:
-    """Fill missing actual quantities from the stored metrics, per store and time.
-
-    Forecasts over all stores are matched with the sum over all stores.
-    """
+    """Fill missing actual quantities from the stored metrics, per store, category
+    and time. ``All`` is matched with the sum over all stores or categories."""
     metrics = read_table(spark, store.path("metrics"), METRICS)
-    keys = ["store_location", "forecast_timestamp"]
+    keys = ["store_location", "category", "forecast_timestamp"]
     seen = metrics.select(
-        "store_location",
+        *[
+            F.explode(F.array_distinct(F.array(F.col(c), F.lit(ALL)))).alias(c)
+            if c == "category"
+            else F.col(c)
+            for c in ("store_location", "category")
+        ],
         F.col("event_timestamp").alias("forecast_timestamp"),
         F.col("total_quantity").alias("actual_quantity"),
     )
-    overall = seen.withColumn("store_location", F.lit("All"))
+    overall = seen.withColumn("store_location", F.lit(ALL))
     forecasts = read_table(spark, store.path("forecasts"), FORECASTS)
     replace_model(attach_actuals(forecasts, seen.unionByName(overall), keys), store.path("forecasts"))
 

@@ -261,7 +261,7 @@ ORACLES["publish_json"] = chain(
 ORACLES["next_batch_number"] = r"""
 WITH ids AS (SELECT printf('P%03d-B%d', p_partkey, p_size) AS product_id FROM part)
 SELECT CAST(coalesce(max(try_cast(nullif(regexp_extract(product_id, 'B(\d+)$', 1), '')
-       AS INTEGER)), 0) + 1 AS INTEGER) AS next_batch
+       AS BIGINT)), 0) + 1 AS BIGINT) AS next_batch
 FROM ids
 """
 

@@ -189,9 +189,8 @@ def turnover_over_time(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stock_pivot")
 def stock_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    stores = ["S0", "S1", "S2", "S3", "S4"]
-    pivot = R.stock_pivot(M.hourly_metrics(A.inventory_events(spark, folder)), stores)
-    return rounded(pivot, 2, *stores)
+    pivot = R.stock_pivot(M.hourly_metrics(A.inventory_events(spark, folder)))
+    return rounded(pivot, 2, *[c for c in pivot.columns if c != "category"])
 
 
 @query("quantity_price_points")

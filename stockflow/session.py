@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCOPES: list[list[DataFrame]] = []
 _WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
@@ -49,9 +52,22 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[written] = path
+    if _SCOPES:
+        _SCOPES[-1].append(written)
     return written
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables materialised inside are deleted at the end; nothing lazy that
+    reads them may leave."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        discard(*_SCOPES.pop())
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing will read again."""
     for table in tables:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.operators.ingest import as_messages, new_rows
 from stockflow.schemas import FORECASTS, INVENTORY
-from stockflow.session import materialize
+from stockflow.session import discard, materialize, remove
 from stockflow.sources.readers import empty, read_table
 
 
@@ -25,21 +27,49 @@ def create_if_absent(spark, path: str, schema: T.StructType) -> DataFrame:
 def replace(df: DataFrame, path: str) -> None:
     """Overwrite a table, also from a frame that reads that very table.
 
-    The rows are first written next to it, since Spark cannot overwrite files
-    it is still reading.
+    The new version is written once, beside the old one, which stays readable
+    and complete until the two folders change names.
     """
-    materialize(df, "staged").write.mode("overwrite").parquet(path)
-
-
-def replace_model(forecasts: DataFrame, path: str) -> None:
-    """Replace the rows of the models in ``forecasts``, keep all other models."""
+    path = path.rstrip("/")
+    fresh = f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    swap(df.sparkSession, fresh, path)
+
+
+def swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Give the folder ``fresh`` the name ``path``; what was there goes."""
+    jvm = spark.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
+    system.mkdirs(target.getParent())
+    had = system.exists(target)
+    if had and not system.rename(target, old):
+        raise OSError(f"{path} cannot be renamed")
+    if not system.rename(source, target):
+        raise OSError(f"{fresh} cannot be renamed")
+    if had:
+        system.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def replace_model(forecasts: DataFrame, path: str, model_name: str | None = None) -> None:
+    """Replace the rows of the models in ``forecasts``, keep all other models.
+
+    ``model_name`` names a model whose old rows go even if there are no new ones.
+    """
+    staged = materialize(forecasts.select(*FORECASTS.names), "staged")
+    if model_name is not None and staged.filter(F.col("model_name") == model_name).isEmpty():
+        spark = forecasts.sparkSession
+        remove(spark, f"{path.rstrip('/')}/model_name={model_name}")
+        spark.catalog.refreshByPath(path)
     (
-        materialize(forecasts.select(*FORECASTS.names), "staged")
-        .write.mode("overwrite")
+        staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("model_name")
         .parquet(path)
     )
+    discard(staged)
 
 
 def publish(events: DataFrame, path: str) -> None:
@@ -68,4 +98,6 @@ def ingest(incoming: DataFrame, table_path: str, messages_path: str, **options:
     fresh = materialize(new_rows(incoming.select(*INVENTORY.names), stored, **options), "fresh")
     append(fresh, table_path, INVENTORY)
     publish(fresh, messages_path)
-    return fresh.count()
+    count = fresh.count()
+    discard(fresh)
+    return count

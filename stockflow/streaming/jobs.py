@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.operators.ingest import as_messages, new_rows
-from stockflow.operators.joins import latest_per_key
-from stockflow.operators.metrics import decode_messages, hourly_metrics
+from stockflow.operators.joins import first_per_key, join_lookup
+from stockflow.operators.metrics import PRODUCT_KEY, decode_messages, with_stock_value
 from stockflow.schemas import EVENT_KEY, INVENTORY
-from stockflow.session import materialize, new_location
+from stockflow.session import materialize, remove, scratch
 from stockflow.sources.readers import read_table
-
-WINDOW_KEY = ["product_id", "store_location", "category", "window_start"]
+from stockflow.sources.writers import replace
 
 
 def read_file_stream(
@@ -41,10 +40,16 @@ def read_kafka_stream(
     return decode_messages(reader.load())
 
 
+def progress_of(path: str) -> str:
+    """Where the progress of a stream into ``path`` is kept; readers of the table
+    skip it, and a rerun goes on after what the table holds."""
+    return f"{path.rstrip('/')}/_progress"
+
+
 def drain(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
-    checkpoint: str | None = None,
+    checkpoint: str,
     mode: str = "append",
 ) -> None:
     """Process what is available now in bounded micro-batches, then stop.
@@ -52,7 +57,6 @@ def drain(
     Progress is committed after the write, so a retried batch reaches ``write``
     again under the same number and an idempotent write keeps results exact.
     """
-    checkpoint = checkpoint or new_location(stream.sparkSession, "progress")
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -73,63 +77,109 @@ def batch_folders(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def replacing(path: str) -> Callable[[DataFrame, int], None]:
-    """Writer that replaces the whole table with each micro-batch."""
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All micro-batches under ``path``, with their number in ``batch``."""
+    layout = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return read_table(spark, path, layout)
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
 
-    return write
+def drain_replacing(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
+    """Replace the table at ``path`` by all that the stream holds now.
+
+    Micro-batches gather beside the table, which changes once, at the end of the
+    drain; without new rows it stays. What an interrupted drain gathered is part
+    of the next one.
+    """
+    spark = stream.sparkSession
+    gathered = f"{path.rstrip('/')}.gathered"
+    drain(stream, batch_folders(gathered), checkpoint or f"{path.rstrip('/')}.progress")
+    rows = read_batches(spark, gathered, stream.schema).drop("batch")
+    if not rows.isEmpty():
+        replace(rows, path)
+    remove(spark, gathered)
 
 
 def ingesting(table_path: str, messages_path: str, **options: object) -> Callable:
     """Writer that stores and publishes only events not stored yet.
 
     Batch folders make a retry idempotent: rows of the same batch number do
-    not count as stored.
+    not count as stored. Scratch tables go when the batch ends.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        layout = T.StructType([*INVENTORY.fields, T.StructField("batch", T.LongType())])
-        stored = read_table(spark, table_path, layout).filter(F.col("batch") != number)
-        fresh = new_rows(batch.select(*INVENTORY.names), stored, **options)
-        fresh = materialize(fresh, "fresh")
-        batch_folders(table_path)(fresh, number)
-        as_messages(fresh).write.mode("overwrite").text(f"{messages_path}/batch={number}")
+        with scratch():
+            stored = read_batches(spark, table_path, INVENTORY).filter(F.col("batch") != number)
+            fresh = new_rows(batch.select(*INVENTORY.names), stored, **options)
+            fresh = materialize(fresh, "fresh")
+            batch_folders(table_path)(fresh, number)
+            as_messages(fresh).write.mode("overwrite").text(f"{messages_path}/batch={number}")
 
     return write
 
 
-def watermarked(events: DataFrame, delay: str) -> DataFrame:
-    """Event time as a zoned timestamp with a lateness bound."""
-    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+def partial_figures(events: DataFrame) -> DataFrame:
+    """Hourly sums and counts, from which figures over several batches follow."""
+    window = F.window("ts", "1 hour")
+    return (
+        with_stock_value(events)
+        .groupBy(*PRODUCT_KEY, window.alias("window"))
+        .agg(
+            F.sum("quantity").alias("quantity"),
+            F.sum("price").alias("price"),
+            F.count("price").alias("prices"),
+            F.sum("stock_value").alias("stock_value"),
+        )
+        .select(
+            *PRODUCT_KEY,
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "quantity",
+            "price",
+            "prices",
+            "stock_value",
+        )
+    )
+
+
+def merged_figures(partials: DataFrame) -> DataFrame:
+    """The hourly metrics of all batches together."""
+    return partials.groupBy(*PRODUCT_KEY, "window_start", "window_end").agg(
+        F.sum("quantity").alias("total_quantity"),
+        (F.sum("price") / F.nullif(F.sum("prices"), F.lit(0))).alias("avg_price"),
+        F.sum("stock_value").alias("total_stock_value"),
+    )
 
 
 def streamed_hourly_metrics(
-    events: DataFrame, path: str, delay: str = "1 day", checkpoint: str | None = None
+    events: DataFrame, path: str, checkpoint: str | None = None
 ) -> DataFrame:
-    """Drain ``events`` into hourly metrics under ``path`` and return them.
+    """Drain ``events`` into partial hourly sums under ``path`` and return the
+    metrics of all that was ever drained there.
 
-    Each micro-batch writes the windows it changed; the newest version of a
-    window counts. Windows older than ``delay`` leave the state, and events
-    later than that drop.
+    No state is kept and nothing is too late: any split of the events into
+    micro-batches gives the result of one batch.
     """
-    updates = hourly_metrics(watermarked(events, delay))
-    drain(updates, batch_folders(path), checkpoint, mode="update")
-    return current_windows(events.sparkSession, path, updates.schema)
+    spark = events.sparkSession
+    layout = partial_figures(spark.createDataFrame([], events.schema)).schema
 
+    def write(batch: DataFrame, number: int) -> None:
+        batch_folders(path)(partial_figures(batch), number)
 
-def current_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    layout = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    versions = spark.read.schema(layout).option("basePath", path).parquet(path)
-    return latest_per_key(versions, WINDOW_KEY, ["batch"]).drop("batch")
+    drain(events, write, checkpoint or progress_of(path))
+    return merged_figures(read_batches(spark, path, layout))
+
+
+def watermarked(events: DataFrame, delay: str) -> DataFrame:
+    """Event time as a zoned timestamp with a lateness bound."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
 
 
 def without_duplicates(
-    events: DataFrame, keys: list[str] = EVENT_KEY, delay: str = "1 day", salts: int = 32
+    events: DataFrame, keys: list[str] = EVENT_KEY, *, delay: str, salts: int = 32
 ) -> DataFrame:
-    """First event per key; a key is remembered for ``delay`` of event time.
+    """One event per key, whichever comes first, in bounded state: a key is
+    remembered for ``delay`` of event time, and events later than that drop.
 
     Copies first meet within their share of the input partitions and only the
     survivors under the bare key, so a hot key does not fill one task.
@@ -143,9 +193,26 @@ def without_duplicates(
 
 
 def streamed_unique_events(
-    events: DataFrame, path: str, keys: list[str] = EVENT_KEY, delay: str = "1 day"
+    events: DataFrame, path: str, keys: list[str] = EVENT_KEY, checkpoint: str | None = None
 ) -> DataFrame:
-    """Drain ``events`` without duplicates into ``path`` and return the rows."""
-    unique = without_duplicates(events, keys, delay)
-    drain(unique, batch_folders(path))
-    return events.sparkSession.read.schema(unique.schema).parquet(path)
+    """Drain ``events`` into ``path``, one row per key, and return all rows there.
+
+    Of the copies in a micro-batch the smallest row stays; a key that an earlier
+    micro-batch or call stored is not stored again, however old it is.
+    """
+    spark = events.sparkSession
+    schema = events.schema
+    rest = [c for c in schema.names if c not in keys]
+
+    def write(batch: DataFrame, number: int) -> None:
+        with scratch():
+            first = materialize(first_per_key(batch, keys, rest), "first")
+            stored = read_batches(spark, path, schema).filter(F.col("batch") != number)
+            known = join_lookup(
+                stored.select(*keys), first.select(*keys), keys, "left_semi", null_safe=True
+            )
+            fresh = join_lookup(first, known.distinct(), keys, "left_anti", null_safe=True)
+            batch_folders(path)(fresh.select(*schema.names), number)
+
+    drain(events, write, checkpoint or progress_of(path))
+    return read_batches(spark, path, schema).drop("batch")

@@ -1,17 +1,20 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from stockflow.fixed_values import MODEL_ARIMA
 from stockflow.operators.metrics import hourly_metrics, parse_events
-from stockflow.schemas import FORECASTS, INVENTORY, LABELLED_INVENTORY
+from stockflow.schemas import EVENT_KEY, FORECASTS, INVENTORY, LABELLED_INVENTORY
 from stockflow.session import materialize, shared_folder
+from stockflow.sources import adapters as A
 from stockflow.sources import readers, writers
 from stockflow.streaming import jobs as J
 from tests.conftest import rows
 
 TWO = [
-    ("P001", 10, 100.0, "2025-05-28T15:00:00Z", "NYC", "Electronics"),
-    ("P002", 20, 200.0, "2025-05-28T15:01:00Z", "LA", "Clothing"),
+    ("P001", 10, 99.5, "2025-04-02T08:20:00Z", "Oslo", "Garden"),
+    ("P002", 20, 12.25, "2025-04-02T08:45:00Z", "Bonn", "Toys"),
 ]
 
 
@@ -47,7 +50,7 @@ def test_ingest_twice_and_publish_only_new_rows(spark, two, tmp_path):
     )
     assert writers.ingest(two.unionByName(third), table, topic) == 1
     stored = rows(readers.read_table(spark, table, INVENTORY))
-    assert len(stored) == 3 and stored[0][0] == "P001" and stored[1][4] == "LA"
+    assert len(stored) == 3 and stored[0][0] == "P001" and stored[1][4] == "Bonn"
     published = readers.read_messages(spark, topic).drop("ts")
     assert rows(published) == stored
 
@@ -147,7 +150,8 @@ def test_stream_drops_copies_across_batches(spark, two, tmp_path, salts):
     messages(spark, two, topic)
     messages(spark, two, topic, price=1.0)
     events = J.read_message_stream(spark, topic, 1)
-    J.drain(J.without_duplicates(events, salts=salts), J.batch_folders(out), progress)
+    unique = J.without_duplicates(events, delay="1 day", salts=salts)
+    J.drain(unique, J.batch_folders(out), progress)
     found = spark.read.parquet(out).select("product_id")
     assert rows(found) == [("P001",), ("P002",)]
 
@@ -157,7 +161,8 @@ def test_stream_ingest_is_idempotent(spark, two, tmp_path):
     messages(spark, two, topic)
     messages(spark, two, topic)
     write = J.ingesting(table, sent, dedupe_within=True)
-    J.drain(J.read_message_stream(spark, topic, 1), write)
+    J.drain(J.read_message_stream(spark, topic, 1), write, str(tmp_path / "progress"))
+    assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("stockflow/*/fresh-*"))
     assert spark.read.parquet(table).count() == 2
     write(two, 0)  # a retry of the first batch leaves the same rows
     assert spark.read.parquet(table).count() == 2
@@ -165,8 +170,42 @@ def test_stream_ingest_is_idempotent(spark, two, tmp_path):
     assert published.count() == 2
 
 
-def test_replacing_keeps_the_last_batch(spark, two, tmp_path):
+def test_one_drain_is_one_replacement(spark, two, tmp_path):
     topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
-    messages(spark, two, topic)
-    J.drain(J.read_message_stream(spark, topic), J.replacing(out))
-    assert spark.read.parquet(out).count() == 2
+    for price in (1.0, 2.0, 3.0):
+        messages(spark, two, topic, price=price)
+    J.drain_replacing(J.read_message_stream(spark, topic, 1), out)
+    assert spark.read.parquet(out).count() == 6
+    J.drain_replacing(J.read_message_stream(spark, topic, 1), out)  # nothing new
+    assert spark.read.parquet(out).count() == 6
+    messages(spark, two, topic, price=9.0)
+    J.drain_replacing(J.read_message_stream(spark, topic, 1), out)
+    assert rows(spark.read.parquet(out).select("price")) == [(9.0,), (9.0,)]
+
+
+def shuffled_files(spark, small, tmp_path, files):
+    """Events whose times are scattered over many files."""
+    events = A.inventory_events(spark, small)
+    path = str(tmp_path / "events")
+    events.repartition(files, F.md5(F.col("event_timestamp"))).write.parquet(path)
+    return events, J.read_file_stream(spark, path, events.schema, files=1)
+
+
+def test_hourly_metrics_of_late_events(spark, small, tmp_path):
+    events, stream = shuffled_files(spark, small, tmp_path, 5)
+    out = str(tmp_path / "out")
+    found = J.streamed_hourly_metrics(stream, out)
+    expected = hourly_metrics(events)
+    places = [F.round(c, 6).alias(c) if c in ("avg_price", "total_stock_value") else c for c in expected.columns]
+    assert rows(found.select(*places)) == rows(expected.select(*places))
+    again = J.streamed_hourly_metrics(stream, out)  # resumes: nothing counts twice
+    assert rows(again.select(*places)) == rows(expected.select(*places))
+
+
+def test_unique_events_of_late_events_and_reruns(spark, small, tmp_path):
+    events, stream = shuffled_files(spark, small, tmp_path, 4)
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        found = J.streamed_unique_events(stream, out)
+        assert found.columns == events.columns
+        assert rows(found.select(*EVENT_KEY)) == rows(events.select(*EVENT_KEY).distinct())
