@@ -67,9 +67,10 @@ def post_process_metrics(spark: SparkSession, store: Store) -> None:
 
 def run_model(spark: SparkSession, store: Store, model_name: str) -> None:
     """Fit one model on the stored metrics and replace its stored forecasts."""
+    model = MODELS[model_name]
     metrics = stored_metrics(spark, store)
     timed = metrics.withColumn("event_timestamp", parse_lenient(F.col("event_timestamp")))
-    forecast = MODELS[model_name](timed)
+    forecast = model(timed)
     times = ("forecast_timestamp", "event_timestamp")
     forecast = forecast.withColumns({c: render(F.col(c)) for c in times})
     replace_model(forecast, store.path("forecasts"), model_name)

@@ -298,3 +298,10 @@ def test_byte_encoded_actuals_are_decoded(spark):
 def test_counts_skip_missing_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     assert rows(R.counts_by(df, "k")) == [("a", 2)]
+
+
+def test_describe_counts_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (float("nan"),)], "v double")
+    row = R.describe(df, ["v"]).first()
+    assert (row["count"], row["p50"], row["max"]) == (3, 2.0, 4.0)
+    assert row["mean"] == pytest.approx(7 / 3)

@@ -140,3 +140,28 @@ def test_batch_number(spark):
     cases = [("P001-B12", 12), ("P001", None), ("B7x", None), ("B3", 3)]
     for value, expected in cases:
         assert one(spark, value, "string", text.batch_number) == expected
+
+
+def test_numbers_in_texts_keep_their_size(spark):
+    values = [12345678.5, 0.0005, 123456789012.25, -0.00025, 1e15, 4.5, 0.0, 99999999.75]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    texts = [r[0] for r in df.select(numbers.float_text(F.col("v"))).collect()]
+    assert texts == [
+        "12345678.5", "0.0005", "123456789012.25", "-0.00025", "1000000000000000.0", "4.5", "0.0",
+        "99999999.75",
+    ]
+    quoted = df.select(text.quantities_text(F.col("v"), numbers.float_text(F.col("v"))).alias("d"))
+    back = quoted.select(text.described_quantity(F.col("d"), "predicted")).collect()
+    assert [float(r[0]) for r in back if r[0] != "N/A"] == [v for v in values if v >= 0]
+
+
+def test_more_forms_of_times(spark):
+    texts = ["2025-01-01T10:00:00+00:00", "2025-01-01T10:00:00.123456Z", "2025-01-01 10:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select(F.date_format(timestamps.parse_lenient(F.col("t")), "yyyy-MM-dd HH:mm")).collect()
+    assert [r[0] for r in found] == ["2025-01-01 10:00"] * 3
+
+
+def test_large_batch_numbers(spark):
+    df = spark.createDataFrame([("P001-B3000000000",)], "product_id string")
+    assert df.select(text.batch_number(F.col("product_id"))).first()[0] == 3_000_000_000

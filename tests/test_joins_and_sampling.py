@@ -165,3 +165,13 @@ def test_exact_percentiles(spark):
     df = spark.createDataFrame([(float(v),) for v in range(11)], "v double")
     assert exact_percentiles(df, "v", [0.25, 0.5, 1.0]) == {0.25: 2.5, 0.5: 5.0, 1.0: 10.0}
     assert exact_percentiles(df.filter("v < 0"), "v", [0.5]) == {0.5: None}
+
+
+@pytest.mark.parametrize("small", [3, 20_000])
+def test_kth_smallest_of_wide_infinite_and_nan_values(spark, small):
+    inf, nan = float("inf"), float("nan")
+    values = [1.7e308, -1.7e308, inf, -inf, nan, None, 0.0, 1.0, 1.0, 5e-324, -3.5, inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    kept = sorted(v for v in values if v is not None and v == v)
+    found = kth_smallest(df, "v", lambda n: list(range(n)), small)
+    assert [found[k].value for k in range(len(kept))] == kept
