@@ -14,7 +14,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,37 @@ from stockflow.session import new_location
 END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
-CACHED_WORDS = 400_000
-TOGETHER = 256  # documents whose unknown words are encoded in one call
+CACHED_WORDS = 600_000  # about 120 MiB for each worker process
+
+
+class Known(dict):
+    """Ids of words behind a space, asked of the encoder when first seen.
+
+    A word that starts with a newline stands for itself, without the space.
+    """
+
+    def __init__(self, encoder: WordEncoder) -> None:
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        if word[-1:] in (",", ".") and plain_letters(word[-2:-1]):
+            ids = self[word[:-1]] + self.encoder.marks[word[-1]]
+        elif word[:1] == "\n":
+            if plain_letters(word[1:]):
+                ids = self.encoder.newline + self.encoder.piece(word[1:])
+            else:
+                ids = self.encoder.bare(word)
+        elif plain_letters(word):
+            ids = self.encoder.piece(" " + word)
+        else:
+            ids = self.encoder.bare(" " + word)
+        self[word] = ids
+        return ids
+
+
+def plain_letters(word: str) -> bool:
+    """Whether these are letters only, and such as any Unicode version knows."""
+    return word.isalpha() and max(word) < "\u0250"
 
 
 class WordEncoder:
@@ -38,7 +69,8 @@ class WordEncoder:
     The byte-level pre-tokenizer always cuts before a space that a character
     other than white space follows, and between such a character and the white
     space after it. Encoding what lies between these cuts one by one therefore
-    gives the ids of the whole text.
+    gives the ids of the whole text. Letters behind one space are one piece,
+    which the tokenizer's model takes without another pass of the pre-tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,53 +81,52 @@ class WordEncoder:
         self.special = [
             token.content for token in self.tokenizer.get_added_tokens_decoder().values()
         ]
-        self.after_space: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.irregular = re.compile(r"\s\s|[^\S \n]")
+        self.known = Known(self)
         self.cut = re.compile(r" (?=\S)")
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.after_space) + len(self.bare) > CACHED_WORDS:
-            self.after_space.clear()
-            self.bare.clear()
-        split: list[list[str] | None] = []
-        for text in texts:
-            if any(token in text for token in self.special):
-                split.append(None)
-            elif self.irregular.search(text):
-                split.append(self.cut.split(text))
-            else:
-                split.append(text.replace("\n", " \n").split(" "))
-        # A part after the first stands for itself behind a space, unless it starts with a newline.
-        bare = {parts[0] for parts in split if parts} - self.bare.keys()
-        words = set().union(*(parts[1:] for parts in split if parts)) - self.after_space.keys()
-        stems = {w: w[:-1] for w in words if w[-1:] in (",", ".") and self.letter_ends(w[:-1])}
-        plain = list((words - stems.keys()) | (set(stems.values()) - self.after_space.keys()))
-        bare = list(bare | ({",", "."} - self.bare.keys()))
-        ids = self.encoded(bare + [w if w[:1] == "\n" else " " + w for w in plain])
-        self.bare.update(zip(bare, ids, strict=False))
-        self.after_space.update(zip(plain, ids[len(bare) :], strict=True))
-        for word, stem in stems.items():
-            self.after_space[word] = self.after_space[stem] + self.bare[word[-1]]
-        known = self.after_space.__getitem__
-        return [
-            self.encoded([text])[0]
-            if parts is None
-            else b"".join([self.bare[parts[0]], *map(known, parts[1:])])
-            for text, parts in zip(texts, split, strict=True)
-        ]
-
-    @staticmethod
-    def letter_ends(word: str) -> bool:
-        """Whether the word ends in a letter that any Unicode version knows as one."""
-        return word[-1:].isalpha() and word[-1] < "ɐ"
+        # White space but the space and the newline.
+        self.odd = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+        # The byte-level alphabet: printable bytes stand for themselves.
+        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        hidden = [byte for byte in range(256) if byte not in shown]
+        self.alphabet = {byte: 0x100 + spot for spot, byte in enumerate(hidden)}
+
+        self.space = chr(self.alphabet[0x20])
+        self.marks = {mark: self.bare(mark) for mark in ",."}
+        self.newline = self.bare("\n")
+
+    def bare(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of one text."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def piece(self, text: str) -> bytes:
+        """The same for a text that the pre-tokenizer leaves whole."""
+        if text.isascii():
+            shown = text.replace(" ", self.space)
+        else:
+            shown = text.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        if any(token in text for token in self.special):
+            return self.bare(text)
+        if any(two in text for two in ("  ", " \n", "\n ", "\n\n", *self.odd)):
+            parts = self.cut.split(text)
+        else:
+            parts = text.replace("\n", " \n").split(" ")
+        first = self.bare(parts[0]) if parts[0] else b""
+        return first + b"".join(map(self.known.__getitem__, islice(parts, 1, None)))
+
+
+def process_encoder(path: str) -> WordEncoder:
+    """One encoder for each Python worker process, whose tasks share its cache."""
+    import tokenizers
+
+    encoders = tokenizers.__dict__.setdefault("_stockflow_encoders", {})
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 def planes(block: np.ndarray, bits: bool) -> list[bytes]:
@@ -145,7 +176,7 @@ def unshuffled(blob: bytes, sizes: list[int], n: int, block: int, bits: bool) ->
 
 def written_chunks(path: str, block: int, chunk: int, bits: bool, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = process_encoder(path)
         part = TaskContext.get().partitionId()
         start = number = held = 0
         docs: list = []
@@ -171,19 +202,16 @@ def written_chunks(path: str, block: int, chunk: int, bits: bool, level: int):
         kind = pa.null()
         for batch in batches:
             kind = batch.schema.field(0).type
-            for low in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(low, TOGETHER)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                names = some.column(0).to_pylist()
-                for name, own in zip(names, encoder.encode(texts), strict=True):
-                    docs.append(name)
-                    ids.append(own + END.to_bytes(4, "little"))
-                    held += len(ids[-1]) // 4
-                    if held >= chunk:
-                        yield row(kind)
-                        start, number, held = start + held, number + 1, 0
-                        docs.clear()
-                        ids.clear()
+            names = batch.column(0).to_pylist()
+            for name, text in zip(names, batch.column(1), strict=True):
+                docs.append(name)
+                ids.append(encoder.encode(text.as_py() or "") + END.to_bytes(4, "little"))
+                held += len(ids[-1]) // 4
+                if held >= chunk:
+                    yield row(kind)
+                    start, number, held = start + held, number + 1, 0
+                    docs.clear()
+                    ids.clear()
         if docs:
             yield row(kind)
 
