@@ -25,7 +25,7 @@ CAP = 2.0  # words taken of a source, as a share of its words
 SHARDS = 16
 BLOCKS = 4096  # blocks of all sources together; every source has one at least
 SEED = 11
-EXTRA_ROWS = 2  # rows drawn of a source besides the beginning of its order
+ROUNDS = 3  # times that smaller rows are drawn for what is left at a cut
 WORDS = r"[^\x20\x09-\x0D]+"
 
 _KEY_BITS, _DIGIT = 60, 12  # bits of an order key, and of a digit of it
@@ -164,25 +164,36 @@ def cuts(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def fitting(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``found`` with ``extra``: the largest rows behind the cut that still fit."""
-    found = found.withColumn("extra", F.array().cast("array<struct<key1: bigint, key2: bigint>>"))
-    for _ in range(EXTRA_ROWS):
-        found = materialize(found, "extra")
+    """``found`` with ``ranges``: where rows behind the cut are drawn that fit.
+
+    The row at a cut is too large for what is left; smaller ones behind it are
+    drawn in their order up to the next cut, and so on.
+    """
+    ranges = "array<struct<from1: bigint, from2: bigint, to1: bigint, to2: bigint, most: bigint>>"
+    found = materialize(found.withColumn("ranges", F.array().cast(ranges)), "ranges")
+    for _ in range(ROUNDS):
         behind = join_lookup(rows, found, ["place"], written=True)
-        behind = behind.filter(
-            "size > 0 and size <= left and (key1 > cut1 or (key1 = cut1 and key2 >= cut2))"
-        ).filter(~F.array_contains("extra", F.struct("key1", "key2")))
-        best = behind.groupBy("place").agg(F.max(F.struct("size", "key1", "key2")).alias("best"))
-        found = found.join(best, "place", "left").select(
+        behind = behind.filter("size > 0 and size <= left and (key1, key2) >= (cut1, cut2)")
+        behind = materialize(behind.select(*rows.columns), "behind")
+        after = cuts(behind, found.select("place", F.col("left").alias("rest")))
+        after = after.toDF("place", "to1", "to2", "rest")
+        step = F.struct(
+            F.col("cut1").alias("from1"),
+            F.col("cut2").alias("from2"),
+            "to1",
+            "to2",
+            F.floor("left").cast("bigint").alias("most"),
+        )
+        old, found = found, found.join(after, "place").select(
             "place",
-            "cut1",
-            "cut2",
-            (F.col("left") - F.coalesce("best.size", F.lit(0))).alias("left"),
-            F.when(F.col("best").isNull(), F.col("extra"))
-            .otherwise(F.array_append("extra", F.struct("best.key1", "best.key2")))
-            .alias("extra"),
+            F.col("to1").alias("cut1"),
+            F.col("to2").alias("cut2"),
+            F.col("rest").alias("left"),
+            F.array_append("ranges", step).alias("ranges"),
         )
-    return found.drop("left")
+        found = materialize(found, "ranges")
+        discard(old, behind)
+    return found.select("place", "ranges")
 
 
 def block_of(key: Column, blocks: Column) -> Column:
@@ -252,7 +263,9 @@ def mix_plan(
         sized.select("source", "size", "key1", "key2"), places, ["source"], null_safe=True
     )
     rows = rows.drop("source")
-    sources = materialize(sources.join(fitting(rows, cuts(rows, sources)), "place"), "cut")
+    first = materialize(cuts(rows, sources), "first")
+    sources = sources.join(first.drop("left"), "place").join(fitting(rows, first), "place")
+    sources = materialize(sources, "cut")
 
     # Tickets: the blocks drawn, in the order of the copies and of the keys.
     last = block_of(F.least("cut1", F.lit((1 << _KEY_BITS) - 1)), F.col("blocks"))
@@ -280,7 +293,14 @@ def mix_plan(
     before_cut = (F.col("key1") < F.col("cut1")) | (
         (F.col("key1") == F.col("cut1")) & (F.col("key2") < F.col("cut2"))
     )
-    taken_too = before_cut | F.array_contains("extra", F.struct("key1", "key2"))
+    own = F.struct("key1", "key2")
+    behind_cut = F.exists(
+        "ranges",
+        lambda r: (F.col("size") <= r["most"])
+        & (own >= F.struct(r["from1"].alias("key1"), r["from2"].alias("key2")))
+        & (own < F.struct(r["to1"].alias("key1"), r["to2"].alias("key2"))),
+    )
+    taken_too = before_cut | (behind_cut & (F.col("size") > 0))
     times = F.when(
         F.col("source_size") > 0, F.col("full") + taken_too.cast("int")
     ).otherwise(F.lit(0))
@@ -292,9 +312,9 @@ def mix_plan(
         lambda c: F.struct(
             # Rows that fill a gap lie in blocks without a ticket.
             F.coalesce(
-                F.element_at("shards", c.cast("bigint")), F.pmod("key2", F.lit(shards)).cast("int")
+                F.element_at("shards", c.cast("bigint")), F.pmod(F.xxhash64("key1", c), F.lit(shards)).cast("int")
             ).alias("shard"),
-            F.xxhash64(F.lit(seed), c, "key1", "key2").alias("position"),
+            F.xxhash64(F.lit(seed), c, "key1").alias("position"),
         ),
     )
     rows = rows.withColumn("__times", times)
