@@ -10,6 +10,7 @@ from stockflow.functions.text import clean_text
 from stockflow.functions.timestamps import parse_iso, render
 from stockflow.operators.joins import join_lookup
 from stockflow.schemas import INVENTORY, METRICS
+from stockflow.session import materialize
 
 PRODUCT_KEY = ["product_id", "store_location", "category"]
 FIGURES = ["total_quantity", "avg_price", "total_stock_value"]
@@ -141,8 +142,8 @@ def as_metrics_table(metrics: DataFrame) -> DataFrame:
 
 def stock_metrics(events: DataFrame) -> DataFrame:
     """Parsed events to metrics rows: hourly, or flat if no event has a time."""
-    if events.filter(F.col("ts").isNotNull()).isEmpty():
-        flat = flat_metrics(events)
-        return as_metrics_table(with_category_value(flat, category_stock(flat)))
-    totals = category_stock_of_events(events)
-    return as_metrics_table(with_category_value(hourly_metrics(events), totals))
+    # Written once: the category totals come from the same hourly rows.
+    hourly = materialize(hourly_metrics(events), "hourly")
+    if hourly.isEmpty():
+        hourly = materialize(flat_metrics(events), "flat")
+    return as_metrics_table(with_category_value(hourly, category_stock(hourly)))

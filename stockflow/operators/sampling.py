@@ -35,7 +35,9 @@ def sample_exact(
         wanted = max(1, int(share * n)) if n else 0
         return [wanted - 1] if n else []
 
-    found = kth_smallest(materialize(drawn.select("__draw"), "draws"), "__draw", last_rank)
+    # Written with its rows: the source is evaluated once, and draws stay with their row.
+    drawn = materialize(drawn, "draws")
+    found = kth_smallest(drawn, "__draw", last_rank)
     if not found:
         return df
     cut, n_below, n_equal = found[wanted - 1]

@@ -132,7 +132,7 @@ def post_processed_metrics(spark: SparkSession, folder: str) -> DataFrame:
 @query("ingest_new_rows")
 def ingest_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All order lines arrive; the finished ones are stored already."""
-    lines = A.inventory_lines(spark, folder)
+    lines = materialize(A.inventory_lines(spark, folder), "lines")
     stored = lines.filter(F.col("line_status") == "F").select(*INVENTORY.names)
     return new_rows(lines.select(*INVENTORY.names), stored)
 
@@ -149,21 +149,21 @@ def next_batch(spark: SparkSession, folder: str) -> DataFrame:
     return next_batch_number(part.select(batch_id.alias("product_id")))
 
 
-def _sampled_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = A.inventory_lines(spark, folder).select(*INVENTORY.names)
+def _sampled(lines: DataFrame) -> DataFrame:
     key = ["product_id", "event_timestamp", "store_location", "category", "quantity"]
     return sample_exact(lines, key=key)
 
 
 @query("sample_exact")
 def sample_of_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _sampled_lines(spark, folder)
+    return _sampled(A.inventory_lines(spark, folder).select(*INVENTORY.names))
 
 
 @query("apply_overrides")
 def override_sampled(spark: SparkSession, folder: str) -> DataFrame:
     lines = A.inventory_lines(spark, folder).select(*INVENTORY.names)
-    return apply_overrides(lines, outlier_overrides(_sampled_lines(spark, folder)))
+    lines = materialize(lines, "lines")
+    return apply_overrides(lines, outlier_overrides(_sampled(lines)))
 
 
 @query("overridden_rows")
@@ -213,6 +213,11 @@ def _event_hours(spark: SparkSession, folder: str) -> DataFrame:
     return M.hourly_metrics(A.inventory_events(spark, folder))
 
 
+def _written_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, evaluated once for all that reads them."""
+    return materialize(_event_hours(spark, folder), "hours")
+
+
 @query("store_series")
 def store_series(spark: SparkSession, folder: str) -> DataFrame:
     return timed(S.store_series(_event_hours(spark, folder), "window_start"), "event_timestamp")
@@ -243,8 +248,8 @@ def forecast_horizon(spark: SparkSession, folder: str) -> DataFrame:
     return timed(days, "last_timestamp", "forecast_timestamp")
 
 
-def _day_ahead(spark: SparkSession, folder: str) -> DataFrame:
-    hourly = _event_hours(spark, folder)
+def _day_ahead(spark: SparkSession, folder: str, hourly: DataFrame | None = None) -> DataFrame:
+    hourly = hourly or _written_hours(spark, folder)
     keys = ["store_location", "category", "forecast_timestamp"]
     return S.attach_actuals(A.day_ahead_forecasts(hourly), A.observed_quantities(hourly), keys)
 
@@ -309,12 +314,14 @@ def trend_and_season(spark: SparkSession, folder: str) -> DataFrame:
 # --- anomalies --------------------------------------------------------------
 
 
-def _zscore(spark: SparkSession, folder: str) -> DataFrame:
-    return zscore_anomalies(A.stand_in_forecasts(_event_hours(spark, folder)))
+def _zscore(spark: SparkSession, folder: str, hourly: DataFrame | None = None) -> DataFrame:
+    hourly = hourly or _written_hours(spark, folder)
+    return zscore_anomalies(A.stand_in_forecasts(hourly))
 
 
-def _numerical(spark: SparkSession, folder: str) -> DataFrame:
-    return A.as_numerical(zscore_anomalies(_day_ahead(spark, folder)))
+def _numerical(spark: SparkSession, folder: str, hourly: DataFrame | None = None) -> DataFrame:
+    forecasts = materialize(_day_ahead(spark, folder, hourly), "forecasts")
+    return A.as_numerical(zscore_anomalies(forecasts))
 
 
 @query("zscore_anomalies")
@@ -355,7 +362,8 @@ def forest_flags_of_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _all_notifications(spark: SparkSession, folder: str) -> DataFrame:
-    return N.all_notifications(_zscore(spark, folder), _numerical(spark, folder))
+    hourly = _written_hours(spark, folder)
+    return N.all_notifications(_zscore(spark, folder, hourly), _numerical(spark, folder, hourly))
 
 
 @query("notifications_numerical")
@@ -425,8 +433,9 @@ def drill_down(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("detail_lookup")
 def detail_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    pipeline = materialize(_zscore(spark, folder), "anomalies")
-    numerical = materialize(_numerical(spark, folder), "numerical_anomalies")
+    hourly = _written_hours(spark, folder)
+    pipeline = materialize(_zscore(spark, folder, hourly), "anomalies")
+    numerical = materialize(_numerical(spark, folder, hourly), "numerical_anomalies")
     found = N.detail_lookup(
         N.all_notifications(pipeline, numerical), N.tagged_anomalies(pipeline, numerical)
     )
@@ -447,7 +456,7 @@ def route_questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return J.read_file_stream(spark, f"{folder}/events.parquet*", A.EVENTS_SCHEMA)
+    return J.read_file_stream(spark, f"{folder}/events.parquet*", A.EVENTS_SCHEMA, files=1)
 
 
 @query("stream_hourly_metrics")
@@ -460,7 +469,7 @@ def stream_hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_dedup")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet*", A.LINEITEM_SCHEMA)
+    lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet*", A.LINEITEM_SCHEMA, files=1)
     dimensions = [A.table(spark, folder, name) for name in ("part", "supplier", "nation")]
     events = A.lines_as_inventory(lines, *dimensions)
     unique = J.streamed_unique_events(events, new_location(spark, "unique"))
