@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +23,13 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, for functions that hold much for each row."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def packed(values: list[np.ndarray]) -> pa.Array:
     """One binary value per array."""
     return pa.array([v.tobytes() for v in values], pa.binary())

@@ -110,9 +110,9 @@ def score_quality(
         F.col(id_col).alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),
         F.col(path_col).cast("string").alias("path"),
-        F.col(text_col).alias("__t"),
+        F.col(text_col).cast("string").alias("__t"),
     )
-    rows = scored(rows, model, "doc_id", "__t", ["doc_id", "host", "path"])
+    rows = scored(rows, model, "__t", ["doc_id", "host", "path"])
     rows = materialize(rows.withColumn("p", 1 / (1 + F.exp(-F.col("logit")))), "texts")
     paths, mean, strong = site_posteriors(rows)
     rows = join_lookup(rows, paths, ["host", "path"], null_safe=True)

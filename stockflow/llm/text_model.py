@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import packed
+from stockflow.llm.common import packed, small
 from stockflow.llm.words import ALPHANUMERIC, Splitter, Words, mix
 from stockflow.session import materialize
 
@@ -127,26 +127,35 @@ def features_of(swap=None, shapes: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = splitter_for(shapes)
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(1)
             own = feature_sets(texts, splitter)
-            other = own
+            # Null for texts that mention nothing: those are their own counterfactual.
+            other: list[bytes | None] = [None] * len(own)
             if swap:
-                swapped = [swap(t or "") for t in texts.to_pylist()]
-                other = feature_sets(pa.array(swapped, pa.string()), splitter)
+                plain = [t or "" for t in texts.to_pylist()]
+                swapped = [swap(t) for t in plain]
+                at = [i for i, (a, b) in enumerate(zip(plain, swapped, strict=True)) if a != b]
+                moved = feature_sets(pa.array([swapped[i] for i in at], pa.string()), splitter)
+                for i, keys in zip(at, moved, strict=True):
+                    other[i] = keys.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), packed(own), packed(other)], ["y", "own", "other"]
+                [batch.column(0), packed(own), pa.array(other, pa.binary())],
+                ["y", "own", "other"],
             )
 
     return run
 
 
 def feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches, 2048):
         if not batch.num_rows:
             continue
         own = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column("own")]
-        other = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column("other")]
+        other = [
+            np.frombuffer(b.as_buffer(), np.uint64) if b.is_valid else a
+            for a, b in zip(own, batch.column("other"), strict=True)
+        ]
         y = np.repeat(batch.column("y").to_numpy(), [len(k) for k in own])
         keys, at = np.unique(np.concatenate(own), return_inverse=True)
         moved = [np.setxor1d(a, b) for a, b in zip(own, other, strict=True)]
@@ -174,12 +183,14 @@ def kept_features(chosen):
             at[at == len(chosen.value)] = 0
             return at[chosen.value[at] == keys].astype(np.int32) if len(at) else at
 
-        for batch in batches:
+        for batch in small(batches):
+            pairs = zip(batch.column("own"), batch.column("other"), strict=True)
+            both = [(places(a), places(b) if b.is_valid else None) for a, b in pairs]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("y"),
-                    packed([places(b) for b in batch.column("own")]),
-                    packed([places(b) for b in batch.column("other")]),
+                    packed([a for a, _ in both]),
+                    packed([a if b is None else b for a, b in both]),
                 ],
                 ["y", "own", "other"],
             )
@@ -235,7 +246,8 @@ def train(
 def _z(positive: Column, n: Column, all_positive: int, all_: int) -> Column:
     """How far the positive rows of a feature are from their expected number."""
     rate = all_positive / all_
-    return (positive - n * rate) / F.sqrt(n * rate * (1 - rate))
+    # Features of counterfactuals alone occur in no row.
+    return (positive - n * rate) / F.sqrt(F.greatest(n, F.lit(1)) * rate * (1 - rate))
 
 
 class Sparse(NamedTuple):
@@ -285,19 +297,22 @@ def fit(
     return weights, float(intercept)
 
 
-def scored(docs: DataFrame, model: Model, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row and ``logit``; null texts count as empty."""
     shared = docs.sparkSession.sparkContext.broadcast((model, model.slots()))
+    # A text that is kept crosses to Python once.
+    rows = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
+    at = rows.columns.index(text_col)
+    n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, slots = shared.value
         splitter = splitter_for(fitted.shapes)
-        for batch in batches:
-            logits = fitted.logits(batch.column(batch.num_columns - 1), splitter, slots)
+        for batch in small(batches, 2048):
+            logits = fitted.logits(batch.column(at), splitter, slots)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(logits)], [*batch.schema.names[:-1], "logit"]
+                [*batch.columns[:n], pa.array(logits)], [*batch.schema.names[:n], "logit"]
             )
 
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n]]
     return rows.mapInArrow(run, ", ".join([*kept, "logit double"]))

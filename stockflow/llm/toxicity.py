@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import held_out
@@ -68,7 +68,7 @@ def score_toxicity(
     penalty: float = PENALTY,
     threshold: float = THRESHOLD,
     sample_rows: int = SAMPLE_ROWS,
-    keep: tuple[str | Column, ...] = (),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``score``,
     ``predicted`` and the ``keep`` columns.
@@ -84,10 +84,12 @@ def score_toxicity(
     learn = labels.filter(~held_out(ids, FOLDS, HELD_OUT))
     sample = labelled_texts(docs, learn, id_col, text_col, label_col, sample_rows)
     model = train(sample, swap=swapper(terms), penalty=penalty)
-    rows = docs.select(ids.alias("doc_id"), *keep, F.col(text_col).alias("__t"))
+    text = "__t" if text_col not in keep else text_col
+    own = [F.col(text_col).cast("string").alias("__t")] if text == "__t" else []
+    rows = docs.select(ids.alias("doc_id"), *keep, *own)
     kept = [c for c in rows.columns if c != "__t"]
     score = 1 / (1 + F.exp(-F.col("logit")))
-    return scored(rows, model, "doc_id", "__t", kept).select(
+    return scored(rows, model, text, kept).select(
         "doc_id",
         held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"),
         score.alias("score"),
