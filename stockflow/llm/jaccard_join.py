@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import bitmap, in_bitmap, numbered, packed
+from stockflow.llm.common import bitmap, in_bitmap, numbered, packed, small
 from stockflow.llm.components import components
 from stockflow.llm.words import NOT_SPACE, Splitter, grams, mix
 from stockflow.operators.joins import join_lookup
@@ -163,7 +163,7 @@ def prefixes(k: int, percent: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(NOT_SPACE)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small(batches, 2048):
             tokens, found_sets = [], []
             for _, found in shingle_sets(batch.column(0), splitter, k):
                 size = len(found)
@@ -173,7 +173,7 @@ def prefixes(k: int, percent: int, levels):
                 seen.add(own)
                 order, level = rare_first(found, levels.value)
                 may_miss = misses(size, percent)
-                tokens.append(order[: 2 * may_miss + 1])
+                tokens.append(order[: 2 * may_miss + 1].copy())
                 indexed = size + 2 * size * -percent // (100 + percent) + 1
                 least = misses(size - may_miss, percent) + 1
                 found_sets.append(

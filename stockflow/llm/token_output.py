@@ -30,7 +30,8 @@ from stockflow.session import new_location
 END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
-CACHED_WORDS = 600_000  # about 120 MiB for each worker process
+CACHED_WORDS = 350_000  # about 70 MiB for each worker process
+SHORT = 5  # characters of words that stay when the cache is full; most frequent ones do
 
 
 class Known(dict):
@@ -108,7 +109,10 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         if len(self.known) > CACHED_WORDS:
+            short = {w: ids for w, ids in self.known.items() if len(w) <= SHORT}
             self.known.clear()
+            if len(short) < CACHED_WORDS // 2:
+                self.known.update(short)
         if any(token in text for token in self.special):
             return self.bare(text)
         if any(two in text for two in ("  ", " \n", "\n ", "\n\n", *self.odd)):
