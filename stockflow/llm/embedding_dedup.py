@@ -1,10 +1,11 @@
 """Near-duplicate embeddings by collision-counting projections.
 
 Equal vectors fold into classes. Several tables route the unit vectors to cells
-by a few quantised projections each. Within a cell every one of many further
-projections is sorted, and each vector counts in whose window around its own
-projection the others lie; pairs with enough such collisions are verified by
-their cosine in double precision. Numbers of projections, tables and collisions
+by a few quantised projections each. Within a cell the vectors are sorted by
+another projection; those in a window around a vector are paired with it, and
+in how many of further projections the one lies in the other's window is
+counted. Pairs with enough such collisions are verified by their cosine in
+double precision. Numbers of projections, tables and collisions
 follow from the threshold, the recall asked for and the number of vectors.
 """
 
@@ -29,11 +30,13 @@ RECALL = 0.999  # of pairs that just reach the threshold; closer pairs have more
 COUNTED = 24  # projections whose collisions are counted
 CELL = 64  # strangers a vector should meet in a cell
 BLOCK = 1024  # rows of a cell that are compared with as many others in one go
+ROWS = 4096  # sorted rows that are taken up at a time
 SEED = 5
 
 
 class Design(NamedTuple):
-    window: float  # half width of the window around a projection
+    first: float  # half width of the window in which pairs are looked for
+    window: float  # half width of the windows in which collisions count
     least: int  # collisions that a pair needs
     width: float  # of a quantised projection
     keys: int  # quantised projections of a table
@@ -48,7 +51,7 @@ def design(n: int, cosine: float, recall: float) -> Design:
     root of two for strangers.
     """
     far = sqrt(2 - 2 * cosine)
-    window = 2 * far
+    first, window = 3.9 * far, 2 * far  # the first one misses one pair in ten thousand
     inside = erf(window / far / sqrt(2))
     least, missed = 0, 0.0
     while least < COUNTED:
@@ -66,7 +69,7 @@ def design(n: int, cosine: float, recall: float) -> Design:
     near, strange = same(far), same(sqrt(2))
     keys = max(1, ceil(log(max(n, 1) / CELL) / log(1 / strange)))
     tables = ceil(log((1 - recall) * 0.9) / log(1 - near**keys))
-    return Design(window, max(least, 1), width, keys, tables)
+    return Design(first, window, max(least, 1), width, keys, tables)
 
 
 def unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,49 +137,58 @@ def routed(how: Design):
     return run
 
 
-def collisions(ours: np.ndarray, theirs: np.ndarray, window: float) -> np.ndarray:
-    """For each pair in how many projections they lie in one window."""
-    n, m = len(ours), len(theirs)
-    counts = np.zeros((n, m), np.uint8)
-    rows = np.arange(n)
-    for spot in range(ours.shape[1]):
-        order = np.argsort(theirs[:, spot])
-        line = theirs[order, spot]
-        edge = np.zeros((n, m + 1), np.int8)
-        edge[rows, np.searchsorted(line, ours[:, spot] - window, "left")] += 1
-        edge[rows, np.searchsorted(line, ours[:, spot] + window, "right")] -= 1
-        counts[:, order] += np.cumsum(edge[:, :m], 1, dtype=np.int8).view(np.uint8)
-    return counts
+def window_pairs(values: np.ndarray, group: np.ndarray, window: float) -> tuple:
+    """Pairs of rows of one group that lie within ``window`` of each other.
+
+    All groups are sorted at once, each on a stretch of its own of one line; the
+    window ahead of a row is then a run of the sorted rows.
+    """
+    wide = np.ptp(values) + 2 * window + 1 if len(values) else 1.0
+    line = values + group * wide
+    order = np.argsort(line, kind="stable")
+    line = line[order]
+    ahead = np.searchsorted(line, line + window, "right") - np.arange(len(line)) - 1
+    i = np.repeat(np.arange(len(line)), ahead)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(ahead) - ahead, ahead)
+    return order[i], order[j]
 
 
 def linked(
-    units: np.ndarray, halves: np.ndarray, table: int, how: Design, cosine: float
+    units: np.ndarray, group: np.ndarray, half: np.ndarray, how: Design, cosine: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that link and meet in no earlier table.
+    """Pairs of rows of one group that link.
 
-    ``halves`` tells which of two different blocks a row belongs to; rows of one
-    block (all zero) are compared with each other.
+    A group that holds rows of both halves compares those of one half with
+    those of the other.
     """
-    if halves.any():
-        a, b = np.flatnonzero(halves == 0), np.flatnonzero(halves == 1)
-    else:
-        a = b = np.arange(len(units))
     values = units @ gaussians(units.shape[1], COUNTED, 3)
-    near = collisions(values[a], values[b], how.window) >= how.least
-    i, j = np.nonzero(near)
-    i, j = a[i], b[j]
-    if not halves.any():
-        i, j = i[i < j], j[i < j]
-    keys = cell_keys(units, how)[:, :table]
+    both = np.bincount(group[half == 1], minlength=group.max() + 1) > 0
+    i, j = window_pairs(values[:, 0], group, how.first)
+    meet = ~both[group[i]] | (half[i] != half[j])
+    i, j = i[meet], j[meet]
+    count = np.zeros(len(i), np.int8)
+    for spot in range(COUNTED):
+        line = values[:, spot]
+        count += np.abs(line[i] - line[j]) <= how.window
+        left = COUNTED - 1 - spot
+        if spot % 6 == 5:  # pairs that cannot reach the number any more go
+            able = count + left >= how.least
+            i, j, count = i[able], j[able], count[able]
     close = np.zeros(len(i), bool)
-    for low in range(0, len(i), 1 << 14):
-        some = slice(low, low + (1 << 14))
+    for low in range(0, len(i), 1 << 15):
+        some = slice(low, low + (1 << 15))
         close[some] = np.einsum("ij,ij->i", units[i[some]], units[j[some]]) >= cosine
-        if table:
-            close[some] &= ~(keys[i[some]] == keys[j[some]]).any(1)
     return i[close], j[close]
 
 
+def in_earlier_table(units: np.ndarray, i, j, table: np.ndarray, how: Design) -> np.ndarray:
+    """Whether the pairs share a cell of a table before that of their row."""
+    rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    keys = cell_keys(units[rows], how)
+    same = keys[at[: len(i)]] == keys[at[len(i) :]]
+    return (same & (np.arange(how.tables)[None, :] < table[i][:, None])).any(1)
+
+
 def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest row that each row's pairs lead to."""
     label = np.arange(n)
@@ -196,17 +208,27 @@ def compared(how: Design, cosine: float):
     A row (class, links, root) for each class that links in a cell.
     """
 
-    def one(rows: pa.Table) -> pa.RecordBatch | None:
+    def some(rows: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All whole cells of ``rows``; vectors of one cell have one length."""
+        lengths = np.array([len(u.as_buffer()) for u in rows["unit"]], np.int64)
+        group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        alone = np.diff(edges)[group] < 2
+        for length in np.unique(lengths[~alone]):
+            at = np.flatnonzero((lengths == length) & ~alone)
+            yield from same_length(rows.take(pa.array(at)), group[at])
+
+    def same_length(rows: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         units = stacked(rows["unit"].combine_chunks())
-        halves = rows["half"].to_numpy()
-        i, j = linked(units, halves, rows["table"][0].as_py(), how, cosine)
+        i, j = linked(units, group, rows["half"].to_numpy(), how, cosine)
+        if len(i):
+            new = ~in_earlier_table(units, i, j, rows["table"].to_numpy(), how)
+            i, j = i[new], j[new]
         if not len(i):
-            return None
-        copies = rows["copies"].to_numpy()
+            return
+        copies, ids = rows["copies"].to_numpy(), rows["class"].to_numpy()
         links = np.bincount(i, copies[j], len(units)) + np.bincount(j, copies[i], len(units))
         at = np.flatnonzero(links)
-        ids = rows["class"].to_numpy()
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids[at]),
                 pa.array(links[at].astype(np.int64)),
@@ -218,15 +240,16 @@ def compared(how: Design, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            held = rows if held is None else pa.concat_tables([held, rows])
-            edges = _edges(held)
-            for low, high in zip(edges[:-2], edges[1:-1], strict=True):
-                if high - low > 1 and (out := one(held.slice(low, high - low))):
-                    yield out
-            held = held.slice(edges[-2]) if len(edges) > 1 else None
-        if held is not None and held.num_rows > 1 and (out := one(held)):
-            yield out
+            # Pieces of a size whose pairs fit in memory.
+            for low in range(0, batch.num_rows, ROWS):
+                rows = pa.Table.from_batches([batch.slice(low, ROWS)])
+                held = rows if held is None else pa.concat_tables([held, rows])
+                edges = _edges(held)
+                if len(edges) > 2:
+                    yield from some(held.slice(0, edges[-2]), edges[:-1])
+                    held = held.slice(edges[-2])
+        if held is not None and held.num_rows:
+            yield from some(held, _edges(held))
 
     return run
 
