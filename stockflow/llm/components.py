@@ -6,36 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.operators.joins import join_lookup
-from stockflow.session import materialize
+from stockflow.session import discard, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
     """Rows (``node``, ``root``) for every node of ``links`` (``a``, ``b`` bigint).
 
     Nodes have equal roots if links connect them; the root is one of them.
-    Every round merges each node into the neighbour with the smallest hash of
-    the round, itself included, and keeps the links between what is left; with
-    a new hash in each round a fixed share of the nodes goes even on long
-    paths. Rounds are written to the shared folder, neighbours are combined
-    before they are shuffled, and nothing but row counts reaches the driver.
-    Self links count as nodes without neighbours; nulls are left out.
+    Every round merges each node into the neighbour with the most links, itself
+    included, ties by a hash of the round, and keeps the links between what is
+    left: a star goes in one round, and even of a long path a fixed share of the
+    nodes goes in each. Rounds are written to the shared folder, neighbours are
+    combined before they are shuffled, and nothing but row counts reaches the
+    driver. Self links count as nodes without neighbours; nulls are left out.
     """
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = materialize(links.filter("a is not null and b is not null").distinct(), "links")
     steps = []
     while not links.isEmpty():
-        ranked = F.struct(F.xxhash64(F.lit(len(steps)), "v"), "v")
-        both = links.select(F.col("a").alias("u"), F.explode(F.array("a", "b")).alias("v")).union(
-            links.select(F.col("b").alias("u"), F.explode(F.array("a", "b")).alias("v"))
+        ends = F.array(
+            *[
+                F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
+                for u, v in (("a", "a"), ("a", "b"), ("b", "a"), ("b", "b"))
+            ]
         )
-        step = both.groupBy("u").agg(F.min(ranked)["v"].alias("to"))
+        both = links.select(F.inline(ends))
+        degree = both.groupBy("v").agg(F.count("*").alias("degree"))
+        ranked = F.struct("degree", F.xxhash64(F.lit(len(steps)), "v"), "v")
+        step = both.join(degree, "v").groupBy("u").agg(F.max(ranked)["v"].alias("to"))
         step = materialize(step, "merged")
         steps.append(step)
-        moved = join_lookup(links, step.toDF("a", "x"), ["a"], written=True)
-        moved = join_lookup(moved, step.toDF("b", "y"), ["b"], written=True)
+        moved = links.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b")
         moved = moved.filter("x != y")
+        before = links
         links = moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         links = materialize(links.distinct(), "links")
+        discard(before)
     if not steps:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = steps[0].toDF("node", "root")
