@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import held_out
-from stockflow.llm.text_model import SAMPLE_ROWS, labelled_texts, scored, train
+from stockflow.llm.text_model import labelled_texts, scored, train
 from stockflow.operators.joins import join_lookup
 from stockflow.session import materialize
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.5
+SAMPLE_ROWS = 16_000  # labelled rows the classifier is trained on, at most about this many
+FEATURES = 1024  # features it keeps
 LEAST_SPREAD = 1e-4  # of the share of variance between groups; bounds the strength
 
 
@@ -105,7 +107,7 @@ def score_quality(
     """
     learn = labels.filter(~held_out(F.col(id_col), FOLDS, HELD_OUT))
     sample = labelled_texts(docs, learn, id_col, text_col, label_col, sample_rows)
-    model = train(sample, shapes=True)
+    model = train(sample, shapes=True, most=FEATURES)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),

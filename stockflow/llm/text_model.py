@@ -205,6 +205,7 @@ def train(
     penalty: float = 0.0,
     ridge: float = 1e-4,
     shapes: bool = False,
+    most: int = FEATURES,
 ) -> Model:
     """Fit the labels ``y`` of the texts ``t`` of a bounded sample.
 
@@ -231,14 +232,17 @@ def train(
     )
     chosen = counts.withColumn("z", _z(F.col("positive"), F.col("n"), positive, n))
     chosen = chosen.filter(f"swapped or (n >= {LEAST_ROWS} and abs(z) >= {LEAST_Z})")
-    chosen = chosen.orderBy(F.desc("swapped"), F.desc(F.abs("z")), "feature").limit(FEATURES)
+    chosen = chosen.orderBy(F.desc("swapped"), F.desc(F.abs("z")), "feature").limit(most)
     features = np.sort(chosen.select("feature").toArrow()["feature"].to_numpy().astype(np.uint64))
     if not len(features):
         return Model(np.zeros(1, np.uint64), np.zeros(1), float(np.log(rate / (1 - rate))))
     shared = spark.sparkContext.broadcast(features)
-    table = rows.mapInArrow(kept_features(shared), "y int, own binary, other binary").toArrow()
+    table = rows.mapInArrow(kept_features(shared), "y int, own binary, other binary")
+    table = (table if swap else table.drop("other")).toArrow()
     y = table["y"].to_numpy().astype(float)
-    own, other = (Sparse.of(table[c], len(features)) for c in ("own", "other"))
+    own = Sparse.of(table["own"], len(features))
+    other = Sparse.of(table["other"], len(features)) if swap else own
+    del table
     weights, intercept = fit(own, other, y, penalty, ridge)
     return Model(features, weights, intercept, shapes)
 
@@ -260,7 +264,8 @@ class Sparse(NamedTuple):
         lists = [np.frombuffer(b.as_buffer(), np.int32) for b in blobs]
         sizes = [len(x) for x in lists]
         columns = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-        return cls(np.repeat(np.arange(len(lists)), sizes), columns, (len(lists), width))
+        rows = np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
+        return cls(rows, columns, (len(lists), width))
 
     def times(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.rows, x[self.columns], self.shape[0])
