@@ -135,8 +135,12 @@ def cuts(rows: DataFrame, sources: DataFrame) -> DataFrame:
         # At most 4096 rows a source.
         upto = Window.partitionBy("place").orderBy("digit")
         cells = cells.withColumn("upto", F.sum("words").over(upto))
-        at = cells.join(found.filter("not done"), "place").filter("upto > left")
-        at = at.groupBy("place").agg(F.min(F.struct("digit", "upto", "words", "n")).alias("c"))
+        at = cells.join(found.filter("not done"), "place").groupBy("place").agg(
+            F.min(
+                F.when(F.col("upto") > F.col("left"), F.struct("digit", "upto", "words", "n"))
+            ).alias("c"),
+            F.max("upto").alias("whole"),
+        )
         step = found.join(at, "place", "left")
         more = F.shiftleft(F.coalesce("c.digit", F.lit(0)), shift)
         left = F.col("left") - F.col("c.upto") + F.col("c.words")
@@ -146,7 +150,9 @@ def cuts(rows: DataFrame, sources: DataFrame) -> DataFrame:
         old, found = found, materialize(
             step.select(
                 "place",
-                F.coalesce(left, "left").alias("left"),
+                F.when(beyond, F.col("left") - F.coalesce("whole", F.lit(0)))
+                .otherwise(F.coalesce(left, "left"))
+                .alias("left"),
                 *[
                     F.when(beyond, F.lit((1 << 62)))
                     .when(F.col("done"), F.col(c))
