@@ -2,9 +2,10 @@
 
 Counts of words and of pairs of words are quantised to powers of two; an n-gram
 of level q is put into the filter once for each of the levels 1 to q. A reader
-probes the levels one after the other until one is missing. The filter has a
-fixed number of bits; pairs are kept from that count on from which they fit.
-It is built in segments by the reducers that count, and broadcast.
+probes the levels one after the other until one is missing. The filter lies in
+segments, each for a range of hashes and as large as its entries need. Texts go
+in pieces: a piece's different n-grams are sent to the segments, which count
+them, build their part of the filter, probe it and send the levels back.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +25,13 @@ from stockflow.llm.words import NOT_SPACE, Splitter, Words, mix
 from stockflow.session import discard, materialize
 
 FOLDS, HELD_OUT = 7, 2
-FILTER_BITS = 28  # the filter has 2 ** FILTER_BITS bits: 32 MiB
-BLOCK_BITS = 12  # an n-gram's bits lie in one of 2 ** BLOCK_BITS blocks
+FILTER_BITS = 28  # bits of a filter whose size is not given
 PROBES = 3  # bits of an n-gram and level
-BITS_AN_ENTRY = 10  # pairs that are too rare go until an entry has that many
-LEAST_PAIRS = 2  # pairs that occur less often are not put into the filter
+BITS_AN_ENTRY = 10  # of a segment, for every n-gram and level
+MOST_SHARDS = 1 << 12  # segments of the filter at most
 STRENGTH = 50.0  # weight of the word's own probability against the pair's
 TABLE = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MiB
-BUFFER = 1 << 22  # tokens counted before they are handed on
+PIECE = 1 << 24  # bytes of text that are counted and scored together
 
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end, which also stands before the first word
 PAIR = np.uint64(0x14057B7EF767814F)
@@ -51,66 +53,107 @@ def pairs(seq: np.ndarray) -> np.ndarray:
         return mix(before * np.uint64(0x9E3779B97F4A7C15) + seq) ^ PAIR
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: rows of about ``PIECE`` bytes of text as lists in one row."""
+    number = TaskContext.get().partitionId() << 32
+
+    def flushed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        ends = pa.array([0, rows.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, c.combine_chunks()) for c in rows.columns]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), *lists], ["piece", "ids", "outs", "texts"]
+        )
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        bytes_ = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(bytes_.astype(np.int64) + 1)
+        low, before = 0, 0
+        while low < batch.num_rows:
+            high = int(np.searchsorted(ends, before + PIECE - size)) + 1
+            high = min(high, batch.num_rows)
+            held.append(batch.slice(low, high - low))
+            size += int(ends[high - 1]) - before
+            low, before = high, int(ends[high - 1])
+            if size >= PIECE:
+                yield flushed(held)
+                number += 1
+                held, size = [], 0
+    if held:
+        yield flushed(held)
+
+
+def read(splitter: Splitter, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts, and how many each has."""
+    parts = list(splitter.split(texts))
+    sizes = [np.diff(p.ends, prepend=0) + 1 for p in parts]
+    none = np.zeros(0, np.int64)
+    seq = np.concatenate([tokens(p) for p in parts] or [none.astype(np.uint64)])
+    return seq, np.concatenate([none, *sizes])
+
+
 def counted(shards: int):
-    """Task function: partial counts of words and pairs, packed by shard.
+    """Task function: each piece's different words and pairs and how often its
+    training rows have them, packed by shard.
 
     A shard is a range of hashes, so its n-grams lie next to each other.
     """
     edges = np.arange(1, shards, dtype=np.uint64) << np.uint64(64 - (shards - 1).bit_length())
 
-    def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for kind in (1, 2):
-            keys = [k if kind == 1 else pairs(k) for k in held]
-            keys, n = np.unique(np.concatenate(keys), return_counts=True)
-            cuts = np.searchsorted(keys, edges)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(shards, kind, np.int32)),
-                    pa.array(np.arange(shards, dtype=np.int32)),
-                    packed(np.split(keys, cuts)),
-                    packed(np.split(n.astype(np.uint32), cuts)),
-                ],
-                ["kind", "shard", "keys", "n"],
-            )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(NOT_SPACE)
-        held: list[np.ndarray] = []
-        size = 0
         for batch in batches:
-            for part in splitter.split(batch.column(0)):
-                held.append(tokens(part))
-                size += len(held[-1])
-                if size >= BUFFER:
-                    yield from flushed(held)
-                    held, size = [], 0
-        if held:
-            yield from flushed(held)
+            for at in range(batch.num_rows):
+                piece = batch.column("piece")[at].as_py()
+                seq, sizes = read(splitter, batch.column("texts")[at].values)
+                outs = batch.column("outs")[at].values.to_numpy(zero_copy_only=False)
+                train = np.repeat(~outs.astype(bool), sizes)
+                for kind in (1, 2):
+                    keys, place = np.unique(seq if kind == 1 else pairs(seq), return_inverse=True)
+                    n = np.bincount(place[train], minlength=len(keys)).astype(np.uint32)
+                    cuts = np.searchsorted(keys, edges)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(shards, piece)),
+                            pa.array(np.full(shards, kind, np.int32)),
+                            pa.array(np.arange(shards, dtype=np.int32)),
+                            packed(np.split(keys, cuts)),
+                            packed(np.split(n, cuts)),
+                        ],
+                        ["piece", "kind", "shard", "keys", "n"],
+                    )
 
     return run
 
 
-def summed(least: int):
-    """Group function: exact counts of a shard's n-grams, pairs from ``least`` on."""
+def looked_up(rows: pa.Table) -> pa.Table:
+    """Group function: counts of a shard's n-grams, its segment of the filter
+    built from them, and the level of each piece's n-grams by probing it.
 
-    def run(rows: pa.Table) -> pa.Table:
-        kind = rows["kind"][0].as_py()
-        keys = np.concatenate([np.frombuffer(b.as_buffer(), np.uint64) for b in rows["keys"]])
-        n = np.concatenate([np.frombuffer(b.as_buffer(), np.uint32) for b in rows["n"]])
-        keys, at = np.unique(keys, return_inverse=True)
-        n = np.bincount(at, n, len(keys)).astype(np.int64)
-        if kind == 2:
-            keys, n = keys[n >= least], n[n >= least]
-        return pa.table(
-            {
-                "kind": rows["kind"].slice(0, 1),
-                "shard": rows["shard"].slice(0, 1),
-                "keys": packed([keys]),
-                "n": packed([n]),
-            }
-        )
-
-    return run
+    The exact counts are handed on for words only, as piece -1.
+    """
+    kind = rows["kind"][0].as_py()
+    asked = [np.frombuffer(b.as_buffer(), np.uint64) for b in rows["keys"]]
+    n = np.concatenate([np.frombuffer(b.as_buffer(), np.uint32) for b in rows["n"]])
+    keys, at = np.unique(np.concatenate(asked), return_inverse=True)
+    n = np.bincount(at, n, len(keys)).astype(np.int64)
+    level = probed(segment(keys[n > 0], n[n > 0]), keys).astype(np.uint8)[at]
+    answers = np.split(level, np.cumsum([len(k) for k in asked])[:-1])
+    own = kind == 1
+    counts = [keys[n > 0], n[n > 0]]
+    nothing = [None] * len(answers)
+    return pa.table(
+        {
+            "piece": pa.array([-1] * own + rows["piece"].to_pylist(), pa.int64()),
+            "kind": pa.array([kind] * (own + len(answers)), pa.int32()),
+            "shard": pa.array(rows["shard"].to_pylist()[:1] * (own + len(answers)), pa.int32()),
+            "keys": pa.array([counts[0].tobytes()] * own + nothing, pa.binary()),
+            "n": pa.array([counts[1].tobytes()] * own + nothing, pa.binary()),
+            "levels": pa.array([None] * own + [a.tobytes() for a in answers], pa.binary()),
+        }
+    )
 
 
 def levels(n: np.ndarray) -> np.ndarray:
@@ -119,63 +162,69 @@ def levels(n: np.ndarray) -> np.ndarray:
 
 
 def level_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: n-grams and their occurrences by level, and those that occur
+    """Task function: words and their occurrences by level, and those that occur
     twice with the shard's level 2."""
     for batch in batches:
-        for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("n"), strict=True):
+        for blob in batch.column("n"):
             n = np.frombuffer(blob.as_buffer(), np.int64)
             level = levels(n)
             types = np.bincount(level)
             used = np.flatnonzero(types)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(used), kind, np.int32)),
                     pa.array(used.astype(np.int32)),
                     pa.array(types[used]),
                     pa.array(np.bincount(level, n)[used].astype(np.int64)),
                     pa.array(np.where(used == 2, (n == 2).sum(), 0).astype(np.int64)),
                 ],
-                ["kind", "level", "types", "occurrences", "twice"],
+                ["level", "types", "occurrences", "twice"],
             )
 
 
-def bit_places(keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
-    """Bits of an n-gram and level: within the block that its top bits name."""
-    block = (keys >> np.uint64(64 - BLOCK_BITS)) << np.uint64(FILTER_BITS - BLOCK_BITS)
+def bit_places(keys: np.ndarray, level: int, size: int = 1 << FILTER_BITS) -> Iterator[np.ndarray]:
+    """Bits of an n-gram and level in a filter of ``size`` bits."""
     with np.errstate(over="ignore"):
         inner = mix(keys + np.uint64(level) * np.uint64(0xD1342543DE82EF95))
-    width = FILTER_BITS - BLOCK_BITS
-    mask = np.uint64((1 << width) - 1)
-    for probe in range(PROBES):
-        yield block | ((inner >> np.uint64(probe * width)) & mask)
+        step = mix(inner) | np.uint64(1)
+        for probe in range(PROBES):
+            yield (inner + np.uint64(probe) * step) % np.uint64(size)
+
+
+def segment(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Filter of n-grams that occur ``n`` times each, eight bits to a byte."""
+    high = levels(n)
+    size = 64 + 8 * (int(high.sum()) * BITS_AN_ENTRY // 8)
+    bits = np.zeros(size, bool)
+    for level in range(1, int(high.max(initial=0)) + 1):
+        for place in bit_places(keys[high >= level], level, size):
+            bits[place.astype(np.int64)] = True
+    return np.packbits(bits)
+
+
+def probed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Level of each n-gram by probing; 0 for those that are not there."""
+    out = np.zeros(len(keys), np.int32)
+    at = np.arange(len(keys))
+    level = 1
+    while len(at):
+        there = np.ones(len(at), bool)
+        for place in bit_places(keys[at], level, 8 * len(bits)):
+            byte = bits[(place >> np.uint64(3)).astype(np.int64)]
+            there &= (byte >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1
+        at = at[there]
+        out[at] = level
+        level += 1
+    return out
 
 
-def segments(shards: int, cutoff: int):
-    """Task function: the filter's bits of each shard."""
-    size = (1 << FILTER_BITS) // shards
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                keys = np.frombuffer(batch.column("keys")[at].as_buffer(), np.uint64)
-                n = np.frombuffer(batch.column("n")[at].as_buffer(), np.int64)
-                if batch.column("kind")[at].as_py() == 2:
-                    keys, n = keys[n >= cutoff], n[n >= cutoff]
-                bits = np.zeros(size, bool)
-                high = levels(n)
-                for level in range(1, int(high.max(initial=0)) + 1):
-                    for place in bit_places(keys[high >= level], level):
-                        bits[(place % np.uint64(size)).astype(np.int64)] = True
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("shard").slice(at, 1), packed([np.packbits(bits)])],
-                    ["shard", "bits"],
-                )
-
-    return run
+def count(level: np.ndarray) -> np.ndarray:
+    """Mean of the counts of the level: from 2 ** (q - 1) to 2 ** q - 1."""
+    level = level.astype(np.float64)
+    return np.where(level > 0, (1.5 * 2 ** (level - 1) - 0.5), 0.0)
 
 
 class Model(NamedTuple):
-    bits: np.ndarray  # the filter, eight bits to a byte
+    bits: np.ndarray  # a filter at hand; none where segments are asked
     words: np.ndarray  # sorted hashes of the most frequent words
     counts: np.ndarray  # and how often each occurs
     n: int  # tokens
@@ -183,77 +232,67 @@ class Model(NamedTuple):
     discount: float  # taken from every word's count for unknown words
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """Level of each n-gram by probing; 0 for those that are not there."""
-        out = np.zeros(len(keys), np.int32)
-        at = np.arange(len(keys))
-        level = 1
-        while len(at):
-            there = np.ones(len(at), bool)
-            for place in bit_places(keys[at], level):
-                byte = self.bits[(place >> np.uint64(3)).astype(np.int64)]
-                there &= (byte >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1
-            at = at[there]
-            out[at] = level
-            level += 1
-        return out
-
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Mean of the counts of the level: from 2 ** (q - 1) to 2 ** q - 1."""
-        level = self.level(keys).astype(np.float64)
-        return np.where(level > 0, (1.5 * 2 ** (level - 1) - 0.5), 0.0)
-
-    def log_probabilities(self, seq: np.ndarray, strength: float) -> np.ndarray:
-        """log10 probability of each token after the one before it."""
+        return probed(self.bits, keys)
+
+    def log_probabilities(
+        self, at: np.ndarray, word: np.ndarray, pair: np.ndarray, end: float, strength: float
+    ) -> np.ndarray:
+        """log10 probability of each token after the one before it, from the
+        counts of different words, the word of each token, and its pair's count.
+        ``end`` is the count of the end, which stands before the first token."""
         if not self.n:
-            return np.zeros(len(seq))
-        keys, at = np.unique(seq, return_inverse=True)
-        word = self.count(keys)
+            return np.zeros(len(at))
         own = np.where(
             word > 0,
             np.maximum(word - self.discount, 0) / self.n,
             self.discount * self.types / self.n,
         )
-        before = np.empty(len(seq))
+        before = np.empty(len(at))
         before[1:] = word[at[:-1]]
-        before[:1] = self.count(np.array([END]))
-        pair = np.minimum(self.count(pairs(seq)), before)
+        before[:1] = end
+        pair = np.minimum(pair, before)
         return np.log10((pair + strength * own[at]) / (before + strength))
 
 
 def scored(shared, strength: float):
-    """Task function: scores, exact sums over frequent words, and rare words."""
+    """Group function: scores, exact sums over frequent words, and rare words of
+    a piece's rows, from the levels of its n-grams."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         model: Model = shared.value
-        splitter = Splitter(NOT_SPACE)
+        texts = rows["texts"].combine_chunks().flatten()
+        seq, sizes = read(Splitter(NOT_SPACE), texts)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        found = found.sort_by([("kind", "ascending"), ("shard", "ascending")])
+        kind = found["kind"].to_numpy()
+        level = [np.frombuffer(b.as_buffer(), np.uint8) for b in found["levels"]]
+        words, doubles = (
+            np.concatenate([level[i] for i in np.flatnonzero(kind == k)]) for k in (1, 2)
+        )
+        keys, at = np.unique(seq, return_inverse=True)
+        word = count(words)
+        pair = count(doubles)[np.unique(pairs(seq), return_inverse=True)[1]]
+        end = word[np.searchsorted(keys, END)]
+        score = model.log_probabilities(at, word, pair, end, strength)
+        place = np.searchsorted(model.words, keys)
+        place[place == len(model.words)] = 0
+        hit = model.words[place] == keys if len(model.words) else np.zeros(len(keys), bool)
         log = np.log10(model.counts + 1.0)
-        for batch in batches:
-            for part in splitter.split(batch.column(2)):
-                seq = tokens(part)
-                ends = part.ends + np.arange(1, part.rows + 1)
-                row = np.repeat(np.arange(part.rows), np.diff(ends, prepend=0))
-                keys, at = np.unique(seq, return_inverse=True)
-                place = np.searchsorted(model.words, keys)
-                place[place == len(model.words)] = 0
-                hit = (
-                    model.words[place] == keys if len(model.words) else np.zeros(len(keys), bool)
-                )
-                value = np.where(hit, log[place] if len(log) else 0.0, 0.0)
-                rare = np.flatnonzero(~hit[at])
-                cuts = np.searchsorted(row[rare], np.arange(1, part.rows))
-                score = model.log_probabilities(seq, strength)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.first, part.rows),
-                        batch.column(1).slice(part.first, part.rows),
-                        pa.array(np.diff(ends, prepend=0)),
-                        pa.array(np.bincount(row, hit[at], part.rows).astype(np.int64)),
-                        pa.array(np.bincount(row, value[at], part.rows)),
-                        pa.array(np.bincount(row, score, part.rows)),
-                        packed(np.split(seq[rare], cuts)),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"],
-                )
+        value = np.where(hit, log[place] if len(log) else 0.0, 0.0)
+        rare = np.flatnonzero(~hit[at])
+        cuts = np.searchsorted(row[rare], np.arange(1, len(sizes)))
+        n = len(sizes)
+        return pa.table(
+            {
+                "doc_id": rows["ids"].combine_chunks().flatten(),
+                "held_out": rows["outs"].combine_chunks().flatten(),
+                "n_tokens": pa.array(sizes.astype(np.int64)),
+                "known": pa.array(np.bincount(row, hit[at], n).astype(np.int64)),
+                "logs": pa.array(np.bincount(row, value[at], n)),
+                "score": pa.array(np.bincount(row, score, n)),
+                "rare": packed(np.split(seq[rare], cuts)),
+            }
+        )
 
     return run
 
@@ -282,59 +321,48 @@ def word_counts(least: int, below: int | None):
     return run
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame, int]:
-    """The model of ``texts`` (one text column), all counts, and the count from
+def train(pieces: DataFrame) -> tuple[Model, DataFrame, int]:
+    """The model of the pieces' training rows without its filter, the table of
+    word counts (piece -1) and levels of each piece's n-grams, and the count from
     which on words are in the model's table."""
-    spark = texts.sparkSession
+    spark = pieces.sparkSession
     wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = min(1 << max(wanted - 1, 63).bit_length(), 1 << BLOCK_BITS)
-    parts = texts.mapInArrow(counted(shards), "kind int, shard int, keys binary, n binary")
-    counts = parts.groupBy("kind", "shard").applyInArrow(
-        summed(LEAST_PAIRS), "kind int, shard int, keys binary, n binary"
+    shards = min(1 << max(wanted - 1, 63).bit_length(), MOST_SHARDS)
+    parts = pieces.select("piece", "outs", "texts").mapInArrow(
+        counted(shards), "piece bigint, kind int, shard int, keys binary, n binary"
     )
-    counts = materialize(counts, "counts")
-    by_level = counts.mapInArrow(
-        level_counts, "kind int, level int, types bigint, occurrences bigint, twice bigint"
+    found = parts.groupBy("kind", "shard").applyInArrow(
+        looked_up, "piece bigint, kind int, shard int, keys binary, n binary, levels binary"
     )
-    by_level = by_level.groupBy("kind", "level").agg(
+    found = materialize(found, "counts")
+    counts = found.filter("piece = -1")
+    by_level = counts.select("n").mapInArrow(
+        level_counts, "level int, types bigint, occurrences bigint, twice bigint"
+    )
+    by_level = by_level.groupBy("level").agg(
         F.sum("types").alias("types"), F.sum("occurrences").alias("n"), F.sum("twice").alias("two")
     )
-    rows = by_level.collect()  # at most 2 x 64 rows
-    words = {r["level"]: r for r in rows if r["kind"] == 1}
-    pair_types = {r["level"]: r["types"] for r in rows if r["kind"] == 2}
+    words = {r["level"]: r for r in by_level.collect()}  # at most 64 rows
     n = sum(r["n"] for r in words.values())
     types = sum(r["types"] for r in words.values())
     once = words[1]["types"] if 1 in words else 0
     twice = words[2]["two"] if 2 in words else 0
     discount = once / (once + 2 * twice) if once else 0.5
-    # Pairs are kept from the power of two on from which all entries fit.
-    room = (1 << FILTER_BITS) // BITS_AN_ENTRY - sum(k * r["types"] for k, r in words.items())
-    cutoff = 64
-    while cutoff > 1 and sum(
-        k * t for k, t in pair_types.items() if k >= cutoff - 1
-    ) <= max(room, 0):
-        cutoff -= 1
-    cutoff = max(LEAST_PAIRS, 1 << (cutoff - 1))
-    bits = np.zeros((shards, (1 << FILTER_BITS) // shards // 8), np.uint8)
-    table = counts.mapInArrow(segments(shards, cutoff), "shard int, bits binary").toArrow()
-    for shard, blob in zip(table["shard"].to_pylist(), table["bits"], strict=True):
-        bits[shard] |= np.frombuffer(blob.as_buffer(), np.uint8)
     # Exact counts of frequent words, from the power of two on from which they fit.
     level, kept = 64, 0
     while level > 1 and kept + (words[level - 1]["types"] if level - 1 in words else 0) <= TABLE:
         level -= 1
         kept += words[level]["types"] if level in words else 0
     least = 1 << (level - 1)
-    frequent = counts.filter("kind = 1").mapInArrow(
+    frequent = counts.select("keys", "n").mapInArrow(
         word_counts(least, None), "word bigint, n bigint"
     )
     frequent = frequent.toArrow()  # at most TABLE rows
     keys = frequent["word"].to_numpy().astype(np.uint64)
     order = np.argsort(keys)
-    model = Model(
-        bits.ravel(), keys[order], frequent["n"].to_numpy()[order], n, types, discount
-    )
-    return model, counts, least
+    none = np.zeros(0, np.uint8)
+    model = Model(none, keys[order], frequent["n"].to_numpy()[order], n, types, discount)
+    return model, found, least
 
 
 def score_texts(
@@ -359,18 +387,25 @@ def score_texts(
         held_out(F.col(id_col), FOLDS, HELD_OUT).alias("held_out"),
         F.col(text_col).cast("string").alias("t"),
     )
-    model, counts, least = train(rows.filter("not held_out").select("t"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(
+    pieces = rows.mapInArrow(
+        in_pieces,
+        f"piece bigint, ids array<{kind}>, outs array<boolean>, texts array<string>",
+    )
+    pieces = materialize(pieces, "pieces")
+    model, counts, least = train(pieces)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    answers = counts.filter("piece >= 0").select("piece", "kind", "shard", "levels")
+    found = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(
         scored(shared, strength),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, logs double, "
         "score double, rare binary",
     )
     found = numbered(found, "scores")
+    discard(pieces)
     rare = found.filter(F.octet_length("rare") > 0).select(ROW, "rare")
     rare = rare.mapInArrow(rare_words, f"{ROW} bigint, word bigint")
-    others = counts.filter("kind = 1").mapInArrow(
+    others = counts.filter("piece = -1").select("keys", "n").mapInArrow(
         word_counts(1, least), "word bigint, n bigint"
     )
     rare = rare.join(others, "word").groupBy(ROW)

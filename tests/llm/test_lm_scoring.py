@@ -77,3 +77,33 @@ def test_without_training_rows(spark):
     assert L.score_texts(docs.limit(0)).count() == 0
     none = spark.createDataFrame([(None, None), (1, "x")], "doc_id bigint, text string")
     assert {r["doc_id"]: r["n_tokens"] for r in L.score_texts(none).collect()} == {None: 1, 1: 2}
+
+
+def test_pairs_that_occur_once_count(spark):
+    """A text of pairs seen once scores better than the same words in another order."""
+    words = [f"w{i}" for i in range(300)]
+    train, *out = [next(i for i in range(100) if not held(i)), *[i for i in range(100) if held(i)][:2]]
+    texts = {train: words, out[0]: words, out[1]: words[::-1]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in L.score_texts(docs).collect()}
+    assert got[out[0]]["base_score"] == pytest.approx(got[out[1]]["base_score"])
+    assert got[out[0]]["score"] > got[out[1]]["score"] + 1
+
+
+@pytest.mark.parametrize("entries", [10, 1000, 100_000])
+def test_segments_grow_with_their_entries(entries):
+    keys = np.random.default_rng(1).integers(0, 2**63, entries).astype(np.uint64)
+    bits = L.segment(keys, np.ones(entries, np.int64))
+    assert 8 * len(bits) >= L.BITS_AN_ENTRY * entries
+    assert (L.probed(bits, keys) >= 1).all()
+    assert (L.probed(bits, keys ^ np.uint64(0xABCDEF)) > 0).mean() < 0.03 + 1 / entries
+
+
+def test_pieces_do_not_change_scores(spark, monkeypatch):
+    rng = random.Random(4)
+    docs = documents(spark, [" ".join(sentence(rng, 40, 100)) for _ in range(60)])
+    whole = {r["doc_id"]: r for r in L.score_texts(docs).collect()}
+    monkeypatch.setattr(L, "PIECE", 700)
+    for r in L.score_texts(docs).collect():
+        assert r["n_known"] == whole[r["doc_id"]]["n_known"]
+        assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"])
