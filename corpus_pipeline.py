@@ -26,6 +26,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER = "byte_bpe_50k.json"
 KEY = "__key"
+NEAR = {"shingle": 5, "percent": 80}  # words, and hundredths of similarity
 # A trained classifier and hashed draws take part: tested stage by stage instead.
 ORACLE_SQL: str | None = None
 
@@ -46,7 +47,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
     docs = keyed(docs)
-    groups = materialize(jaccard_groups(docs, id_col=KEY), "groups")
+    groups = materialize(jaccard_groups(docs, id_col=KEY, **NEAR), "groups")
     others = groups.filter("doc_id != component_id").select(F.col("doc_id").alias(KEY))
     kept = join_lookup(docs, others.distinct(), [KEY], "left_anti")
     # Equal rows have one key: of those one stays too.

@@ -1,5 +1,7 @@
 """The pipeline stage by stage, each against its own input."""
 
+from itertools import combinations
+
 import pytest
 
 import __spark_entry__
@@ -10,7 +12,7 @@ from stockflow.llm.sql import ORACLES
 from stockflow.llm.toxicity import score_toxicity
 from stockflow.session import materialize
 from tests.compare import connect, difference
-from tests.llm.cases import alphanumeric, not_space
+from tests.llm.cases import alphanumeric, components, not_space
 from tests.llm.test_decontamination import brute as windows
 from tests.llm.test_jaccard_join import brute as all_pairs
 from tests.llm.test_mixing import targets
@@ -92,3 +94,20 @@ def test_everything_is_registered():
 def test_same_rows_as_sql(spark, name):
     ours, theirs = difference(QUERIES[name](spark, FOLDER), connect(FOLDER), ORACLES[name])
     assert not ours and not theirs
+
+
+def test_near_copies_are_those_of_five_words(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*C.COLUMNS)
+    all_rows = rows(docs)
+    sets = []
+    for d in all_rows:
+        words = not_space(d["text"])
+        sets.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    links = [
+        (a, b)
+        for a, b in combinations(range(len(sets)), 2)
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    roots = components(len(sets), links)
+    kept = rows(C.without_near_copies(spark, docs, FOLDER))
+    assert kept == [d for i, d in enumerate(all_rows) if roots[i] == i]
