@@ -4,13 +4,13 @@ Strings of encoding characters with digits are tested for randomness in the
 alphabet they seem to be written in: uniformity of the symbols (chi-squared),
 runs above and below the middle, and correlation of neighbours. How often
 ordinary long words of about the same length look as random gives each string
-its p-value; those that pass at the false-discovery rate asked for are added.
+its p-value, with made-up ones where the texts have few; those that pass at the false-discovery rate asked for are added.
 Everything is built from column expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import ROW, numbered
@@ -48,6 +48,19 @@ ALPHABETS = {
 }
 STEP, STEPS = 0.25, 400  # of the scale on which strings are compared
 BANDS = 6  # of lengths; each holds strings up to half as long again
+GROWTH = 1.5
+MADE = 1000  # ordinary strings made for each band whose own words are fewer
+COMMON = (
+    "the of and to in is was for with that from this have not are which by on at "
+    "one all their there when who will more been would about other into time only "
+    "some could these two may then first any like now such our over even most made "
+    "after also did many before must through back years where much your way well "
+    "down should because each just those people how too little state good very make "
+    "world still own see men work long get here between both life being under never "
+    "day same another know while last might us great old year off come since against "
+    "go came right used take three version number system value name file list index "
+    "count table result default config request response message string"
+).split()
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -126,7 +139,7 @@ def tested(strings: DataFrame) -> DataFrame:
     z_serial = F.col("product") / ((n - 1) * (k * k - 1) / 12) * F.sqrt(n - 1)
     far = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0))
     far = far + z_runs * z_runs + z_serial * z_serial
-    band = F.floor(F.log(F.char_length("match") / LEAST) / F.log(F.lit(1.5)))
+    band = F.floor(F.log(F.char_length("match") / LEAST) / F.log(F.lit(GROWTH)))
     return strings.withColumns(
         {
             "step": F.least(F.floor(far / STEP), F.lit(STEPS)).cast("int"),
@@ -135,32 +148,61 @@ def tested(strings: DataFrame) -> DataFrame:
     )
 
 
+def ordinary(spark: SparkSession) -> DataFrame:
+    """Strings of common words joined in four ways, ``MADE`` in each length band."""
+    rows = spark.range(MADE * BANDS)
+
+    def drawn(below, *salt: Column | str) -> Column:
+        return F.pmod(F.xxhash64("id", *salt), F.lit(below))
+
+    low = F.ceil(LEAST * F.pow(F.lit(GROWTH), F.col("id") % BANDS)).cast("int")
+    length = low + drawn(1 << 20, F.lit("length")) * low * (GROWTH - 1) / (1 << 20)
+    most = int(LEAST * GROWTH**BANDS)
+    common = F.array(*[F.lit(w) for w in COMMON])
+    words = F.transform(
+        F.sequence(F.lit(1), F.lit(most // 2)),
+        lambda i: F.element_at(common, (drawn(len(COMMON), i) + 1).cast("int")),
+    )
+    rows = rows.select(
+        words.alias("w"), length.cast("int").alias("size"), drawn(4, F.lit("way")).alias("way")
+    )
+    text = (
+        F.when(F.col("way") == 0, F.array_join("w", "_"))
+        .when(F.col("way") == 1, F.array_join("w", "-"))
+        .when(F.col("way") == 2, F.array_join(F.transform("w", F.initcap), ""))
+        .otherwise(F.array_join("w", ""))
+    )
+    return rows.select(text.substr(F.lit(1), F.col("size")).alias("match"))
+
+
 def discoveries(strings: DataFrame, rate: float) -> DataFrame:
     """Strings with digits that look random at the false-discovery rate.
 
     A string's p-value is the share of words without digits of its length band
-    (of all bands where it has none) that lie as near to random.
+    that lie as near to random. A band with fewer than ``MADE`` such words has
+    made ones besides.
     """
     with_digits = F.col("match").rlike("[0-9]")
-    counts = materialize(
-        strings.groupBy("band", "step").agg(
-            F.sum((~with_digits).cast("bigint")).alias("words"),
-            F.sum(with_digits.cast("bigint")).alias("strings"),
-        ),
-        "steps",
+    none = F.lit(0).cast("bigint")
+    own = strings.groupBy("band", "step").agg(
+        F.sum((~with_digits).cast("bigint")).alias("words"),
+        F.sum(with_digits.cast("bigint")).alias("strings"),
+    )
+    made = tested(ordinary(strings.sparkSession)).groupBy("band", "step").count()
+    counts = own.withColumn("made", none).union(
+        made.select("band", "step", none, none, "count")
+    )
+    counts = counts.groupBy("band", "step").agg(
+        *[F.sum(c).alias(c) for c in ("words", "strings", "made")]
     )
+    counts = materialize(counts, "steps")
     # At most BANDS x STEPS rows from here to the threshold.
     upto = Window.partitionBy("band").orderBy("step")
     whole = Window.partitionBy("band")
-    pooled = counts.groupBy("step").agg(F.sum("words").alias("all_words"))
-    pooled = pooled.withColumn("all_upto", F.sum("all_words").over(Window.orderBy("step")))
-    total = counts.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    counts = counts.join(pooled, "step").withColumns(
-        {"upto": F.sum("words").over(upto), "n": F.sum("words").over(whole)}
-    )
-    p = F.when(F.col("n") > 0, (F.col("upto") + 1) / (F.col("n") + 1)).otherwise(
-        (F.col("all_upto") + 1) / F.lit(total + 1)
-    )
+    few = F.sum("words").over(whole) < MADE
+    counts = counts.withColumn("null", F.col("words") + F.when(few, F.col("made")).otherwise(0))
+    counts = counts.withColumns({"upto": F.sum("null").over(upto), "n": F.sum("null").over(whole)})
+    p = (F.col("upto") + 1) / (F.col("n") + 1)
     counts = counts.withColumn("p", p).filter("strings > 0")
     tested_strings = counts.agg(F.coalesce(F.sum("strings"), F.lit(0))).first()[0]
     ranked = counts.groupBy("p").agg(F.sum("strings").alias("strings"))

@@ -4,6 +4,8 @@ import base64
 import random
 import re
 
+import pytest
+
 from stockflow.llm.secret_scan import scan_secrets
 from tests.llm.cases import documents, sentence
 
@@ -62,3 +64,15 @@ def test_main_path_is_native(spark, capsys):
     scan_secrets(documents(spark, ["token=abcdefgh"])).explain("formatted")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("few", [0, 5])
+def test_few_ordinary_words_of_a_length(spark, few):
+    """Random strings are found however few words without digits are as long."""
+    rng = random.Random(9)
+    secrets = [base64.b64encode(rng.randbytes(45)).decode().replace("/", "_") for _ in range(40)]
+    texts = [f"before {s} after" for s in secrets] + ["-" * 60] * few
+    texts += ["version_10_of_the_long_file_name_number_12_of_the_other_list"] * 10
+    got = {r["doc_id"]: r["spans"] for r in scan_secrets(documents(spark, texts)).collect()}
+    added = [texts[i][s["start"] : s["end"]] for i in got for s in got[i] if s["kind"] == "random"]
+    assert set(added) <= set(secrets) and len(added) >= 36
