@@ -13,6 +13,7 @@ from stockflow.llm.embedding_dedup import near_duplicates
 from stockflow.llm.jaccard_join import jaccard_groups
 from stockflow.llm.line_dedup import dedup_lines
 from stockflow.llm.lm_scoring import score_texts
+from stockflow.llm.merkle import fold, leaf_hash, merkle_manifest, siblings
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.quality import score_quality
 from stockflow.llm.secret_scan import scan_secrets, span_text
@@ -108,3 +109,22 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    docs = docs.withColumn("found", leaf_hash(*map(F.col, ("doc_id", "source", "lang")), n_chars, F.col("text")))
+    rows = merkle_manifest(docs, keep=("found",))
+    folded = fold(F.col("found"), F.col("proof"))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )

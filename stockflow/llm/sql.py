@@ -103,3 +103,72 @@ LEFT JOIN (
   ANTI JOIN x USING (doc_id, pos)
   GROUP BY doc_id) USING (doc_id)
 """
+
+_CRC32 = (
+    "xor(4294967295, list_reduce([4294967295] || list_transform("
+    "string_split({0}, ''), lambda c: ascii(c)::BIGINT), lambda a, b: "
+    "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda v, z: xor(v >> 1, (v & 1) * 3988292384))))"
+)
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    return f"sha256({' || '.join(map(_field, fields))})"
+
+
+# Place 0 and up within a tree; tree 1 of each level-wise step is the tree of subroots.
+_TREE = """
+{name} AS (
+  SELECT tree, 0 AS level, place, node, count(*) OVER (PARTITION BY tree) AS nodes FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)),
+         (max(nodes) + 1) // 2
+  FROM {name} WHERE nodes > 1 GROUP BY tree, level, place // 2)"""
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+    CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0
+         THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS found
+  FROM documents),
+l AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, leaf AS node, found,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d),
+{_TREE.format(name="t", leaves="l").strip()},
+r AS MATERIALIZED (
+  SELECT tree AS name, '' AS tree, node, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM t WHERE nodes = 1),
+{_TREE.format(name="u", leaves="r").strip()},
+s AS MATERIALIZED (
+  SELECT l.doc_id, l.tree, l.place, o.level, o.place AS at, o.node FROM l JOIN t o
+    ON l.tree = o.tree AND o.place = xor(l.place >> o.level::BIGINT, 1)
+  UNION ALL
+  SELECT l.doc_id, l.tree, l.place, 100 + o.level, o.place, o.node FROM l JOIN r ON l.tree = r.name
+    JOIN u o ON o.place = xor(r.place >> o.level::BIGINT, 1)),
+p AS (
+  SELECT tree, place, string_agg(node, '' ORDER BY level) AS proof FROM s GROUP BY tree, place),
+h AS (  -- levels up to the subroot, and from there to the root
+  SELECT l.tree, l.place, (SELECT max(level) FROM t WHERE t.tree = l.tree) AS low,
+         (SELECT max(level) FROM u) AS high, r.place AS upper, l.found
+  FROM l JOIN r ON l.tree = r.name),
+f AS (
+  SELECT tree, place, 0 AS step, low, high, upper, found AS node FROM h
+  UNION ALL
+  SELECT f.tree, f.place, step + 1, low, high, upper,
+    sha256(CASE WHEN s.node IS NULL THEN f.node WHEN s.at % 2 = 0 THEN s.node || f.node
+           ELSE f.node || s.node END)
+  FROM f LEFT JOIN s ON s.tree = f.tree AND s.place = f.place
+    AND s.level = CASE WHEN step < low THEN step ELSE 100 + step - low END
+  WHERE step < low + high)
+SELECT l.doc_id, l.node AS leaf, r.node AS subroot, u.node AS root,
+       sha256(coalesce(proof, '')) AS proof_sha256, f.node AS folded_root,
+       f.node = u.node AS verified
+FROM l JOIN r ON l.tree = r.name JOIN u ON u.nodes = 1
+LEFT JOIN p ON p.tree = l.tree AND p.place = l.place
+JOIN f ON f.tree = l.tree AND f.place = l.place AND f.step = f.low + f.high
+"""
