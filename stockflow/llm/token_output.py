@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -30,33 +32,31 @@ from stockflow.session import new_location
 END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
-CACHED_WORDS = 350_000  # about 70 MiB for each worker process
-SHORT = 5  # characters of words that stay when the cache is full; most frequent ones do
+CACHED_WORDS = 300_000  # of each of two generations; about 130 MiB for each worker process
 
 
-class Known(dict):
-    """Ids of words behind a space, asked of the encoder when first seen.
+class Recent(dict):
+    """Answers of a function of one text, asked once for each of the last texts.
 
-    A word that starts with a newline stands for itself, without the space.
+    When a generation is full it becomes the old one, in which texts are looked
+    up before the function is asked; what was in the old one by then goes.
     """
 
-    def __init__(self, encoder: WordEncoder) -> None:
-        self.encoder = encoder
+    def __init__(self, answer: Callable[[str], object], most: int, old: dict | None = None) -> None:
+        self.answer, self.most, self.old = answer, most, old or {}
 
-    def __missing__(self, word: str) -> bytes:
-        if word[-1:] in (",", ".") and plain_letters(word[-2:-1]):
-            ids = self[word[:-1]] + self.encoder.marks[word[-1]]
-        elif word[:1] == "\n":
-            if plain_letters(word[1:]):
-                ids = self.encoder.newline + self.encoder.piece(word[1:])
-            else:
-                ids = self.encoder.bare(word)
-        elif plain_letters(word):
-            ids = self.encoder.piece(" " + word)
-        else:
-            ids = self.encoder.bare(" " + word)
-        self[word] = ids
-        return ids
+    def __missing__(self, text: str) -> object:
+        found = self.old.get(text)
+        if found is None:
+            found = self.answer(text)
+        self[text] = found
+        return found
+
+    def turned(self) -> Recent:
+        """The cache to go on with."""
+        if len(self) < self.most:
+            return self
+        return Recent(self.answer, self.most, dict(self))
 
 
 def plain_letters(word: str) -> bool:
@@ -70,29 +70,37 @@ class WordEncoder:
     The byte-level pre-tokenizer always cuts before a space that a character
     other than white space follows, and between such a character and the white
     space after it. Encoding what lies between these cuts one by one therefore
-    gives the ids of the whole text. Letters behind one space are one piece,
+    gives the ids of the whole text. Behind the one space at its start a word
+    falls into runs of letters, of digits and of marks; each run is one piece,
     which the tokenizer's model takes without another pass of the pre-tokenizer.
+    With ``plain`` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False, most: int = CACHED_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [
-            token.content for token in self.tokenizer.get_added_tokens_decoder().values()
-        ]
-        self.known = Known(self)
+        self.tokenizer.encode_special_tokens = plain
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if plain else [token.content for token in special]
+        # Words behind a space; one that starts with a newline stands for itself.
+        self.known = Recent(self.word, most)
+        self.inner = Recent(self.piece, most // 10)  # runs inside of words
         self.cut = re.compile(r" (?=\S)")
+        # Runs as the pre-tokenizer cuts them. Apostrophes are not among the
+        # marks, since contractions follow a rule of their own.
+        letters = "A-Za-zÀ-ÖØ-öø-ɏ"
+        marks = r"!-&(-/:-@\[-`{-~"
+        run = f"[{letters}]+|[0-9]+|[{marks}]+"
+        self.run, self.runs = re.compile(run), re.compile(f"(?:{run})+")
         # White space but the space and the newline.
         self.odd = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
         # The byte-level alphabet: printable bytes stand for themselves.
         shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         hidden = [byte for byte in range(256) if byte not in shown]
         self.alphabet = {byte: 0x100 + spot for spot, byte in enumerate(hidden)}
-
         self.space = chr(self.alphabet[0x20])
-        self.marks = {mark: self.bare(mark) for mark in ",."}
         self.newline = self.bare("\n")
 
     def bare(self, text: str) -> bytes:
@@ -107,12 +115,19 @@ class WordEncoder:
             shown = text.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
+    def word(self, word: str) -> bytes:
+        if word[:1] == "\n":
+            if plain_letters(word[1:]):
+                return self.newline + self.piece(word[1:])
+            return self.bare(word)
+        if not self.runs.fullmatch(word):
+            return self.bare(" " + word)
+        first, *rest = self.run.findall(word)
+        ids = self.known[first] if rest else self.piece(" " + first)
+        return ids + b"".join(map(self.inner.__getitem__, rest))
+
     def encode(self, text: str) -> bytes:
-        if len(self.known) > CACHED_WORDS:
-            short = {w: ids for w, ids in self.known.items() if len(w) <= SHORT}
-            self.known.clear()
-            if len(short) < CACHED_WORDS // 2:
-                self.known.update(short)
+        self.known, self.inner = self.known.turned(), self.inner.turned()
         if any(token in text for token in self.special):
             return self.bare(text)
         if any(two in text for two in ("  ", " \n", "\n ", "\n\n", *self.odd)):
@@ -123,14 +138,21 @@ class WordEncoder:
         return first + b"".join(map(self.known.__getitem__, islice(parts, 1, None)))
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once for each Python worker process and key.
+
+    This package travels inside the tasks, so its own globals are new in each;
+    a module of the process holds what its tasks share.
+    """
+    shared = sys.modules.setdefault("_stockflow_process", types.ModuleType("_stockflow_process"))
+    if key not in shared.__dict__:
+        shared.__dict__[key] = make()
+    return shared.__dict__[key]
+
+
 def process_encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker process, whose tasks share its cache."""
-    import tokenizers
-
-    encoders = tokenizers.__dict__.setdefault("_stockflow_encoders", {})
-    if path not in encoders:
-        encoders[path] = WordEncoder(path)
-    return encoders[path]
+    return per_process(("words", path), lambda: WordEncoder(path))
 
 
 def planes(block: np.ndarray, bits: bool) -> list[bytes]:
