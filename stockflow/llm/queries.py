@@ -17,6 +17,7 @@ from stockflow.llm.merkle import fold, leaf_hash, merkle_manifest, siblings
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.quality import score_quality
 from stockflow.llm.secret_scan import scan_secrets, span_text
+from stockflow.llm.token_alignment import align_tokens
 from stockflow.llm.token_output import tokenize_documents
 from stockflow.llm.toxicity import score_toxicity
 
@@ -128,3 +129,9 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         folded.alias("folded_root"),
         (folded == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokens(table(spark, folder, "documents"), *paths)
