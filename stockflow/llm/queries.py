@@ -16,6 +16,7 @@ from stockflow.llm.lm_scoring import score_texts
 from stockflow.llm.merkle import fold, leaf_hash, merkle_manifest, siblings
 from stockflow.llm.mixing import mix_plan
 from stockflow.llm.quality import score_quality
+from stockflow.llm.repeats import remove_repeats
 from stockflow.llm.secret_scan import scan_secrets, span_text
 from stockflow.llm.token_alignment import align_tokens
 from stockflow.llm.token_output import tokenize_documents
@@ -135,3 +136,8 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align_tokens(table(spark, folder, "documents"), *paths)
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))

@@ -172,3 +172,34 @@ FROM l JOIN r ON l.tree = r.name JOIN u ON u.nodes = 1
 LEFT JOIN p ON p.tree = l.tree AND p.place = l.place
 JOIN f ON f.tree = l.tree AND f.place = l.place AND f.step = f.low + f.high
 """
+
+# Two hexadecimal digits stand for each byte.
+ORACLES["op13_suffix_dedup"] = """
+WITH d AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, length(hex(encode(coalesce(text, '')))) // 2 AS n
+  FROM documents),
+w AS MATERIALIZED (
+  SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 100)) AS s
+  FROM (SELECT doc_id, x, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+h AS MATERIALIZED (SELECT DISTINCT doc_id, i FROM w JOIN m USING (s) WHERE least < doc_id),
+r AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50
+                               THEN 0 ELSE 1 END AS fresh FROM h)),
+p AS MATERIALIZED (
+  SELECT doc_id, min(i) AS low, max(i) + 50 AS high FROM r GROUP BY doc_id, run),
+k AS (  -- what stays: before each run, and behind the last one
+  SELECT d.doc_id, low,
+    substr(x, 2 * coalesce(lag(high) OVER (PARTITION BY d.doc_id ORDER BY low), 0) + 1,
+           2 * (low - coalesce(lag(high) OVER (PARTITION BY d.doc_id ORDER BY low), 0))) AS part
+  FROM d JOIN p USING (doc_id)
+  UNION ALL
+  SELECT d.doc_id, d.n, substr(x, 2 * coalesce(high, 0) + 1)
+  FROM d LEFT JOIN (SELECT doc_id, max(high) AS high FROM p GROUP BY doc_id) USING (doc_id)),
+t AS (SELECT doc_id, string_agg(part, '' ORDER BY low) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, n - length(kept) // 2 AS n_removed,
+       (SELECT count(*) FROM p WHERE p.doc_id = d.doc_id) AS n_spans,
+       sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN t USING (doc_id)
+"""
