@@ -82,6 +82,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
+        self.tokenize = self.tokenizer.model.tokenize
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [] if plain else [token.content for token in special]
         # Words behind a space; one that starts with a newline stands for itself.
@@ -113,16 +114,20 @@ class WordEncoder:
             shown = text.replace(" ", self.space)
         else:
             shown = text.encode().decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def word(self, word: str) -> bytes:
-        if word[:1] == "\n":
-            if plain_letters(word[1:]):
-                return self.newline + self.piece(word[1:])
-            return self.bare(word)
-        if not self.runs.fullmatch(word):
-            return self.bare(" " + word)
-        first, *rest = self.run.findall(word)
+        if plain_letters(word):
+            return self.piece(" " + word)
+        if word[-1:] in (",", ".") and plain_letters(word[:-1]):
+            return self.known[word[:-1]] + self.inner[word[-1]]
+        start = word[:1] == "\n"  # one byte, and no space
+        if not self.runs.fullmatch(word, start):
+            return self.bare(word if start else " " + word)
+        runs = self.run.findall(word, start)
+        if start:
+            return self.newline + b"".join(map(self.inner.__getitem__, runs))
+        first, *rest = runs
         ids = self.known[first] if rest else self.piece(" " + first)
         return ids + b"".join(map(self.inner.__getitem__, rest))
 
