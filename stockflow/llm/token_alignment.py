@@ -14,8 +14,8 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from itertools import accumulate, chain, count, product
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import small
-from stockflow.llm.token_output import Recent, WordEncoder, per_process
+from stockflow.llm.token_output import LETTERS, MARKS, WordEncoder, per_process, plain_letters
 from stockflow.operators.joins import join_lookup
 from stockflow.session import materialize
 
-CACHED_PIECES = 100_000  # of each of two generations; about 70 MiB for each worker process
+CACHED_PIECES = 200_000  # of each of two generations; about 130 MiB for each worker process
 HELD_LINKS = 1 << 22  # links that a task holds before it counts them
 MOST_PAIRS = 1 << 21  # different pairs that a task holds before it hands them on
 FREQUENT = 1 << 20  # pairs whose counts are broadcast (12 MiB); others are joined
@@ -50,25 +50,16 @@ def piece_bytes(piece: str) -> bytes:
 
 def ends(tokens: list[int], sizes: list[int]) -> dict[int, int]:
     """From the byte end of each token to the index behind it."""
-    found, at = {}, 0
-    for index, token in enumerate(tokens, 1):
-        at += sizes[token]
-        found[at] = index
-    return found
-
-
-def groups_of(a: dict[int, int], b: dict[int, int]) -> Iterator[tuple[int, int, int, int]]:
-    """Index ranges of both rows between the ends that both have."""
-    low_a = low_b = 0
-    for end in sorted(a.keys() & b.keys()):
-        yield low_a, a[end], low_b, b[end]
-        low_a, low_b = a[end], b[end]
+    return dict(zip(accumulate(map(sizes.__getitem__, tokens)), count(1)))
 
 
 def links_of(
     a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]
 ) -> Iterator[tuple[int, int]]:
     """Pairs of tokens of one group whose bytes overlap."""
+    if len(a) == 1 or len(b) == 1:
+        yield from product(a, b)
+        return
     i = j = 0
     end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
     while True:
@@ -90,7 +81,7 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str, most: int = CACHED_PIECES) -> None:
         from sentencepiece import SentencePieceProcessor
 
-        self.words = WordEncoder(byte_path, plain=True, most=most)
+        self.words = WordEncoder(byte_path, plain=True, most=most // 10)
         vocabulary = self.words.tokenizer.get_vocab(with_added_tokens=True)
         added = {t.content for t in self.words.tokenizer.get_added_tokens_decoder().values()}
         self.sizes_a = [0] * (max(vocabulary.values()) + 1)
@@ -101,41 +92,94 @@ class Aligner:
         shown = [self.pieces.id_to_piece(n) for n in range(self.pieces.get_piece_size())]
         self.bytes_b = [piece_bytes(piece) for piece in shown]
         self.sizes_b = [len(b) for b in self.bytes_b]
-        self.known = Recent(self.align, most)
+        # Letters and the marks behind them never share a token of the first; where
+        # they share none of the second either, both are aligned for themselves.
+        shared = re.compile(f"[{LETTERS}][{MARKS}]")
+        whole = any(shared.search(piece) for piece in shown if not piece.startswith("<"))
+        self.tail = None if whole else re.compile(f"([{LETTERS}]+)([{MARKS}]+)")
+        self.tails: dict[str, tuple | None] = {}
+        self.most = most
+        self.known: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
         self.cut = re.compile(r"(?<=\S) (?=\S)")
 
-    def ids(self, piece: str) -> tuple[list[int], list[int]] | None:
-        """Ids of a piece (without its first space) or nothing if bytes differ."""
+    def ids(self, piece: str) -> list[int]:
+        """The first tokenizer's ids of a piece behind its space."""
+        if plain_letters(piece):
+            return array("I", self.words.piece(" " + piece)).tolist()
         if self.words.runs.fullmatch(piece):
-            a = self.words.known[piece]
-        else:
-            a = self.words.bare(" " + piece)
-        b = self.pieces.encode(piece, num_threads=1)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != b" " + piece.encode():
-            return None
-        return array("I", a).tolist(), b
+            return array("I", self.words.known[piece]).tolist()
+        return array("I", self.words.bare(" " + piece)).tolist()
 
-    def align(self, piece: str) -> tuple[int, int, int, str, bytes] | None:
-        """Numbers of tokens and groups, the groups as text, and the linked pairs."""
-        ids = self.ids(piece)
-        if ids is None:
+    def align(self, piece: str, b: list[int]) -> tuple[int, int, int, str, bytes] | None:
+        """Numbers of tokens and groups, the groups as text, and the linked pairs;
+        nothing if the second tokenizer's ids ``b`` do not give back the bytes."""
+        if b"".join(map(self.bytes_b.__getitem__, b)) != b" " + piece.encode():
             return None
-        a, b = ids
-        groups, links = [], array("Q")
-        for i, j, k, m in groups_of(ends(a, self.sizes_a), ends(b, self.sizes_b)):
-            groups.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}")
-            for x, y in links_of(a[i:j], b[k:m], self.sizes_a, self.sizes_b):
-                links.append(x * SHIFT + y)
-        return len(a), len(b), len(groups), ";".join(groups), links.tobytes()
+        return self.aligned(self.ids(piece), b)
+
+    def marks(self, tail: str) -> tuple:
+        """The alignment of marks behind letters, which have no space before them."""
+        if tail not in self.tails:
+            if len(self.tails) >= self.most // 10:
+                self.tails.clear()
+            # Behind a letter, since the second tokenizer puts a space in front.
+            first, *b = self.pieces.encode("x" + tail, num_threads=1)
+            self.tails[tail] = self.aligned(array("I", self.words.piece(tail)).tolist(), b)
+        return self.tails[tail]
+
+    def aligned(self, a: list[int], b: list[int]) -> tuple[int, int, int, str, bytes]:
+        ends_a, ends_b = ends(a, self.sizes_a), ends(b, self.sizes_b)
+        common = sorted(ends_a.keys() & ends_b.keys())
+        if len(common) == len(a) == len(b):
+            links = [x * SHIFT + y for x, y in zip(a, b)]
+            groups = ";".join([f"{x}|{y}" for x, y in zip(a, b)])
+            return len(a), len(b), len(a), groups, array("Q", links).tobytes()
+        links, groups = [], []
+        i = k = 0
+        for end in common:
+            j, m = ends_a[end], ends_b[end]
+            own, other = a[i:j], b[k:m]
+            groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
+            links += [x * SHIFT + y for x, y in links_of(own, other, self.sizes_a, self.sizes_b)]
+            i, k = j, m
+        return len(a), len(b), len(common), ";".join(groups), array("Q", links).tobytes()
 
     def text(self, text: str | None) -> list[tuple] | None:
-        """The alignments of a text's pieces in order, nothing if it has no tokens."""
-        self.known = self.known.turned()
-        self.words.known = self.words.known.turned()
-        self.words.inner = self.words.inner.turned()
+        """The alignments of a text's pieces in order, nothing if it has no tokens.
+
+        Two generations of pieces are remembered; what no text asks for while one
+        fills up goes. New pieces are encoded together.
+        """
+        if len(self.known) >= self.most:
+            self.known, self.old = {}, self.known
+            self.words.known = self.words.known.turned()
+            self.words.inner = self.words.inner.turned()
         if not text:
             return None
-        found = list(map(self.known.__getitem__, self.cut.split(text)))
+        known, pieces = self.known, self.cut.split(text)
+        new, tailed = set(), []
+        for piece in set(pieces).difference(known):
+            if piece in self.old:
+                known[piece] = self.old[piece]
+            elif self.tail and (parts := self.tail.fullmatch(piece)):
+                tailed.append((piece, *parts.groups()))
+            else:
+                new.add(piece)
+        for _, word, _ in tailed:
+            if word not in known:
+                if word in self.old:
+                    known[word] = self.old[word]
+                else:
+                    new.add(word)
+        new = list(new)
+        for piece, ids in zip(new, self.pieces.encode(new, num_threads=1) if new else ()):
+            known[piece] = self.align(piece, ids)
+        for piece, word, tail in tailed:
+            one, two = known[word], self.marks(tail)
+            counts = (x + y for x, y in zip(one[:3], two[:3]))
+            known[piece] = (*counts, f"{one[3]};{two[3]}", one[4] + two[4])
+        found = list(map(known.__getitem__, pieces))
         return None if None in found else found
 
 

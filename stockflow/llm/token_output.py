@@ -33,6 +33,9 @@ END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
 CACHED_WORDS = 300_000  # of each of two generations; about 130 MiB for each worker process
+# Latin letters, and ASCII marks but the apostrophe: contractions follow a rule of their own.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+MARKS = r"!-&(-/:-@\[-`{-~"
 
 
 class Recent(dict):
@@ -89,11 +92,8 @@ class WordEncoder:
         self.known = Recent(self.word, most)
         self.inner = Recent(self.piece, most // 10)  # runs inside of words
         self.cut = re.compile(r" (?=\S)")
-        # Runs as the pre-tokenizer cuts them. Apostrophes are not among the
-        # marks, since contractions follow a rule of their own.
-        letters = "A-Za-zÀ-ÖØ-öø-ɏ"
-        marks = r"!-&(-/:-@\[-`{-~"
-        run = f"[{letters}]+|[0-9]+|[{marks}]+"
+        # Runs as the pre-tokenizer cuts them.
+        run = f"[{LETTERS}]+|[0-9]+|[{MARKS}]+"
         self.run, self.runs = re.compile(run), re.compile(f"(?:{run})+")
         # White space but the space and the newline.
         self.odd = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]

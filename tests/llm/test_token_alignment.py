@@ -24,7 +24,7 @@ PIECES = SentencePieceProcessor(model_file=PATHS[1])
 ALIGNER = A.Aligner(*PATHS)
 PARTS = [" ", "  ", "\n", "\t", "a", "Word", "é", "ñ.", ".", ",", "'s", "'", "12", "<|endoftext|>",
          "日本", "\x1c", "\x85", "ʰ", "́", "!", " \n", "\r\n", "　", "ß", "the,", "#", "<s>", "\0",
-         "<0x0A>", "😀", "▁", "don't", "x-y_z", "A!!", "<unk>", " ", "Ünder9"]
+         "<0x0A>", "😀", "▁", "don't", "x-y_z", "A!!", "<unk>", " ", "Ünder9", "word,", "Wort!!", "A).", "mot$$$", "ñandú.\n"]
 
 
 def spans(tokens, sizes):
@@ -72,6 +72,10 @@ def test_no_piece_crosses_a_word():
     assert not [p for p in shown if "▁" in p.lstrip("▁")]
 
 
+def test_letters_share_no_piece_with_marks():
+    assert ALIGNER.tail is not None
+
+
 def test_packed_pairs_round_trip():
     pairs = np.array([0, 5, 2**31, 50256 * A.SHIFT + 31999], np.uint64)
     times = np.array([1, 2, 300, 2**20], "<u4")
