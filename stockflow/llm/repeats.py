@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import small
+from stockflow.llm.common import bitmap, in_bitmap, small
+from stockflow.llm.words import mix
 from stockflow.operators.joins import join_lookup
-from stockflow.session import materialize, spread
+from stockflow.session import materialize, new_location, spread
 
 LENGTH = 50  # bytes of the shortest repeat
 GRAM = 20  # bytes of the grams that place windows
 FILTER_BITS = 27  # of the filter of repeated hashes: 16 MiB
+MARKED_BITS = 26  # of the filter of stretches that lose something: 8 MiB
 CROWD = 1 << 14  # different stretches of one hash beyond which its windows are dealt anew
 CHUNK = 1 << 20  # bytes of text hashed at once
 PIECE = 1 << 20  # hashes that a task combines before it hands them on
@@ -118,14 +120,15 @@ def stretches(data: np.ndarray, cuts: np.ndarray, length: int, gram: int):
     rows = np.searchsorted(cuts, starts, "right") - 1
     inside = starts + length <= cuts[rows + 1]
     starts = starts[inside]
-    return rows[inside], starts, sizes[inside], hashes[starts]
+    # Minima crowd at small values: scrambled once more they spread evenly.
+    return rows[inside], starts, sizes[inside], mix(hashes[starts])
 
 
 def texts_per_hash(length: int, gram: int, parts: int):
     """The different hashes of the texts with the text's class, or 0 where a piece
     has several, dealt by the upper ``parts`` bits of the hash.
 
-    An entry has 40 bits of the hash below those, and 56 of the class.
+    An entry has 32 bits of the hash below those, and 48 of the class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,11 +143,13 @@ def texts_per_hash(length: int, gram: int, parts: int):
             kind, hashes = np.where(low == high, low, np.uint64(0)), hashes[first]
             part = hashes >> np.uint64(64 - parts)
             cuts = np.flatnonzero(np.diff(part, prepend=~part[:1]))
-            upper = (hashes << np.uint64(parts)) >> np.uint64(24) << np.uint64(24)
-            upper |= kind >> np.uint64(32)
-            lower = kind.astype(np.uint32)
+            fields = [
+                ((hashes << np.uint64(parts)) >> np.uint64(32)).astype("<u4"),
+                kind.astype("<u4"),
+                (kind >> np.uint64(32)).astype("<u2"),
+            ]
             blobs = [
-                upper[a:b].tobytes() + lower[a:b].tobytes()
+                b"".join(field[a:b].tobytes() for field in fields)
                 for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)
             ]
             return pa.RecordBatch.from_arrays(
@@ -153,7 +158,7 @@ def texts_per_hash(length: int, gram: int, parts: int):
             )
 
         for batch in batches:
-            kinds = batch.column("h").to_numpy().view(np.uint64) >> np.uint64(8)
+            kinds = batch.column("h").to_numpy().view(np.uint64) >> np.uint64(16)
             kinds = np.maximum(kinds, np.uint64(1))
             for low, _, data, cuts in chunks(batch.column("t"), length):
                 rows, _, _, hashes = stretches(data, cuts, length, gram)
@@ -172,17 +177,20 @@ def repeated_slots(parts: int, bits: int):
 
     def run(group: pa.Table) -> pa.Table:
         blobs = [blob.as_py() for blob in group.column("entries")]
-        sizes = [len(blob) // 12 for blob in blobs]
-        upper = np.concatenate([np.frombuffer(b, np.uint64, n) for b, n in zip(blobs, sizes)])
-        lower = np.concatenate([np.frombuffer(b, np.uint32, n, 8 * n) for b, n in zip(blobs, sizes)])
-        kinds = ((upper & np.uint64(0xFFFFFF)) << np.uint64(32)) | lower
-        hashes = upper >> np.uint64(24)
+        sizes = [len(blob) // 10 for blob in blobs]
+
+        def field(kind: str, at: int) -> np.ndarray:
+            pairs = zip(blobs, sizes, strict=True)
+            return np.concatenate([np.frombuffer(blob, kind, n, at * n) for blob, n in pairs])
+
+        hashes = field("<u4", 0)
+        kinds = field("<u2", 8).astype(np.uint64) << np.uint64(32) | field("<u4", 4)
         order = np.argsort(hashes)
         hashes, kinds = hashes[order], kinds[order]
         first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
         low, high = np.minimum.reduceat(kinds, first), np.maximum.reduceat(kinds, first)
         several = hashes[first][(low != high) | (low == 0)]
-        slots = (several >> np.uint64(40 - (bits - parts))).astype(np.int64)
+        slots = (several >> np.uint32(32 - (bits - parts))).astype(np.int64)
         filled = np.zeros(1 << (bits - parts), bool)
         filled[slots] = True
         part = group.column("part")[0].as_py()
@@ -207,33 +215,42 @@ def repeated_filter(texts: DataFrame, n_bytes: int, length: int, gram: int, bits
     return filled.ravel()
 
 
-def repeated_stretches(length: int, gram: int, bits: int, table):
-    """The texts' stretches whose hash passes the filter."""
+def repeated_stretches(length: int, gram: int, bits: int, table, marked=None):
+    """The texts' stretches whose hash passes the filter: their contents, or with a
+    second filter the places and content hashes of those that pass it as well."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = table.value
+    def passing(batch: pa.RecordBatch):
+        for low, base, data, cuts in chunks(batch.column("t"), length):
+            rows, starts, sizes, hashes = stretches(data, cuts, length, gram)
+            slots = hashes >> np.uint64(64 - bits)
+            byte = table.value[(slots >> np.uint64(3)).astype(np.int64)]
+            passed = (byte >> (7 - (slots & np.uint64(7)).astype(np.uint8))) & 1 == 1
+            rows, starts, sizes = rows[passed], starts[passed], sizes[passed]
+            raw, ends = data.tobytes(), starts + sizes + length - 1
+            contents = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            yield low + rows, base + starts - cuts[rows], hashes[passed].view(np.int64), contents
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, 4096):
-            keys = [batch.column(c).to_numpy() for c in ("h", "g", "id")]
-            for low, base, data, cuts in chunks(batch.column("t"), length):
-                rows, starts, sizes, hashes = stretches(data, cuts, length, gram)
-                slots = hashes >> np.uint64(64 - bits)
-                byte = filled[(slots >> np.uint64(3)).astype(np.int64)]
-                passed = (byte >> (7 - (slots & np.uint64(7)).astype(np.uint8))) & 1 == 1
-                rows, starts, sizes = rows[passed], starts[passed], sizes[passed]
-                raw, ends = data.tobytes(), starts + sizes + length - 1
-                contents = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                at = base + starts - cuts[rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[pa.array(key[low + rows]) for key in keys],
-                        pa.array(at),
-                        pa.array(hashes[passed].view(np.int64)),
-                        pa.array(contents, pa.binary()),
-                    ],
-                    ["h", "g", "id", "at", "bucket", "content"],
-                )
+            ids = batch.column("id").to_numpy()
+            for rows, _, buckets, contents in passing(batch):
+                columns = [pa.array(ids[rows]), pa.array(buckets), pa.array(contents, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "bucket", "content"])
 
-    return run
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in small(batches, 4096):
+            keys = [batch.column(c).to_numpy() for c in ("h", "id")]
+            for rows, at, buckets, contents in passing(batch):
+                # As Spark's own function hashes bytes.
+                c = np.array([xxh64_intdigest(x, 42) for x in contents], np.uint64)
+                hit = in_bitmap(marked.value, c)
+                columns = [pa.array(key[rows[hit]]) for key in keys]
+                columns += [pa.array(x[hit]) for x in (at, buckets, c.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "id", "at", "bucket", "c"])
+
+    return places if marked else whole
 
 
 class SuffixArray:
@@ -464,10 +481,8 @@ def merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for spans in batch.column("spans"):
             pairs = [(s >> 32, s & 0xFFFFFFFF) for s in spans.as_py()]
             blobs.append(np.array(merged(pairs), "<u4").tobytes())
-        columns = [batch.column(c) for c in ("h", "g", "id")]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(blobs, pa.binary())], ["h", "g", "id", "spans"]
-        )
+        columns = [batch.column("h"), batch.column("id"), pa.array(blobs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["h", "id", "spans"])
 
 
 def kept_bytes(with_kept: bool):
@@ -498,6 +513,13 @@ def kept_bytes(with_kept: bool):
     return run
 
 
+def described(different: DataFrame) -> DataFrame:
+    """Stretches with the hash and the size of their content."""
+    return different.withColumn("c", F.xxhash64("content")).withColumn(
+        "n", F.octet_length("content").cast("bigint")
+    )
+
+
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -532,7 +554,6 @@ def remove_repeats(
         F.xxhash64(text).alias("h"),
         F.xxhash64(F.lit(1), text).alias("g"),
     )
-    key = ["h", "g", "id"]
     long = texts.filter(F.octet_length("t") >= length)
     classes = materialize(
         long.groupBy("h", "g").agg(
@@ -542,32 +563,26 @@ def remove_repeats(
     )
     copies = materialize(classes.filter("copied < last").select("h", "g", "copied"), "copies")
     n_bytes = classes.agg(F.sum("n")).first()[0] or 0
-    filled = repeated_filter(long, n_bytes, length, gram, bits)
-    table = docs.sparkSession.sparkContext.broadcast(filled)
-    found = (
-        long.select(*key, "t")
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    repeated = broadcast(repeated_filter(long, n_bytes, length, gram, bits))
+    different = (
+        long.select("id", "t")
         .mapInArrow(
-            repeated_stretches(length, gram, bits, table),
-            "h bigint, g bigint, id bigint, at bigint, bucket bigint, content binary",
+            repeated_stretches(length, gram, bits, repeated),
+            "id bigint, bucket bigint, content binary",
         )
-        .withColumn("c", F.xxhash64("content"))
-    )
-    places = materialize(found.drop("content"), "places")
-    different = found.groupBy("bucket", "content").agg(
-        F.min("id").alias("first"), F.max("id").alias("last")
-    )
-    different = materialize(
-        different.withColumn("c", F.xxhash64("content")).withColumn(
-            "n", F.octet_length("content").cast("bigint")
-        ),
-        "stretches",
+        .groupBy("bucket", "content")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
     )
+    # Mostly text: a fifth smaller than with the default codec.
+    path = new_location(docs.sparkSession, "stretches")
+    different.write.option("compression", "zstd").parquet(path)
+    different = docs.sparkSession.read.schema(different.schema).parquet(path)
     crowded = different.groupBy("bucket").count().filter(F.col("count") > crowd).select("bucket")
     crowded = materialize(crowded, "crowded")
     usual = join_lookup(different, crowded, ["bucket"], "left_anti", written=True)
     marks = (
-        spread(usual, "bucket")
-        .sortWithinPartitions("bucket")
+        described(spread(usual, "bucket").sortWithinPartitions("bucket"))
         .mapInArrow(
             shared_spans(length, block),
             "bucket bigint, c bigint, first bigint, n bigint, spans array<bigint>",
@@ -575,25 +590,33 @@ def remove_repeats(
     )
     if not crowded.isEmpty():
         many = join_lookup(different, crowded, ["bucket"], "left_semi", written=True)
-        marks = marks.union(crowd_spans(many, length))
+        marks = marks.union(crowd_spans(described(many), length))
     marks = materialize(marks, "marks")
-    # Of equal texts only those with the smallest id keep anything.
-    places = join_lookup(places, copies, ["h", "g"], "left", written=True)
-    places = places.filter("copied is null or copied = id").drop("copied")
+    marked = broadcast(bitmap(marks, "c", MARKED_BITS))
+    places = long.select("h", "id", "t").mapInArrow(
+        repeated_stretches(length, gram, bits, repeated, marked),
+        "h bigint, id bigint, at bigint, bucket bigint, c bigint",
+    )
     hits = join_lookup(places, marks, ["bucket", "c"], written=True)
     shift = F.shiftleft("at", 32) + F.col("at")
     span = F.when(F.col("id") > F.col("first"), F.array(shift + F.col("n"))).otherwise(
         F.transform("spans", lambda s: s + shift)
     )
-    spans = hits.select(*key, F.explode(span).alias("span")).groupBy(*key)
+    # A text with a given id is told by one of its hashes.
+    spans = hits.select("h", "id", F.explode(span).alias("span")).groupBy("h", "id")
     spans = spans.agg(F.collect_set("span").alias("spans"))
-    spans = spans.mapInArrow(merged_spans, "h bigint, g bigint, id bigint, spans binary")
-    whole = join_lookup(long.select(*key), copies, ["h", "g"], written=True)
-    whole = whole.filter("id > copied").select(*key, F.lit(None).cast("binary").alias("spans"))
-    removed = spans.withColumn("whole", F.lit(False)).union(
-        whole.distinct().withColumn("whole", F.lit(True))
+    spans = spans.mapInArrow(merged_spans, "h bigint, id bigint, spans binary")
+    # Of equal texts only those with the smallest id keep anything.
+    whole = join_lookup(long.select("h", "g", "id"), copies, ["h", "g"], written=True)
+    whole = whole.filter("id > copied").select("h", "id").distinct()
+    removed = (
+        spans.withColumn("whole", F.lit(False))
+        .unionByName(whole.withColumn("whole", F.lit(True)), allowMissingColumns=True)
+        .groupBy("h", "id")
+        .agg(F.max("spans").alias("spans"), F.max("whole").alias("whole"))
     )
-    rows = join_lookup(texts, materialize(removed, "removed"), key, "left", written=True)
+    removed = materialize(removed, "removed")
+    rows = join_lookup(texts, removed, ["h", "id"], "left", written=True)
     kind = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     return rows.select("doc_id", "t", "spans", "whole").mapInArrow(

@@ -132,3 +132,13 @@ def test_empty_table(spark):
     assert R.remove_repeats(documents(spark, ["a"]).limit(0)).count() == 0
     one = R.remove_repeats(documents(spark, [None])).first()
     assert tuple(one) == (0, 0, 0, 0, hashlib.sha256(b"").hexdigest())
+
+
+def test_content_hash_is_spark_s_own(spark):
+    from pyspark.sql import functions as F
+    from xxhash import xxh64_intdigest
+
+    data = [bytes(range(n % 256)) * (n // 100 + 1) for n in range(0, 400, 13)]
+    frame = spark.createDataFrame([(bytearray(x),) for x in data], "x binary")
+    got = frame.select(F.xxhash64("x").alias("h"), "x").collect()
+    assert all(r["h"] % 2**64 == xxh64_intdigest(bytes(r["x"]), 42) for r in got)
