@@ -13,7 +13,6 @@ from stockflow.operators import notify as N
 from stockflow.operators.forest_anomalies import grouped_anomalies, record_anomalies
 from stockflow.operators.metrics import stock_metrics
 from stockflow.operators.post_process import post_process
-from stockflow.operators.series import attach_actuals
 from stockflow.operators.zscore import zscore_anomalies
 from stockflow.plans.arima import arima_forecast
 from stockflow.plans.forecasts import (
@@ -24,6 +23,7 @@ from stockflow.plans.forecasts import (
 from stockflow.schemas import ANOMALIES, FORECASTS, INVENTORY, METRICS, NOTIFICATIONS
 from stockflow.session import materialize
 from stockflow.sources.readers import read_events, read_table
+from stockflow.sources.updates import fill_stored_actuals
 from stockflow.sources.writers import replace, replace_model
 
 MODELS = {
@@ -78,7 +78,8 @@ def run_model(spark: SparkSession, store: Store, model_name: str) -> None:
 
 def fill_actuals(spark: SparkSession, store: Store) -> None:
     """Fill missing actual quantities from the stored metrics, per store, category
-    and time. ``All`` is matched with the sum over all stores or categories."""
+    and time. ``All`` is matched with the sum over all stores or categories. Only
+    files of the forecast table with something to fill are rewritten."""
     metrics = read_table(spark, store.path("metrics"), METRICS)
     keys = ["store_location", "category", "forecast_timestamp"]
     seen = metrics.select(
@@ -92,8 +93,7 @@ def fill_actuals(spark: SparkSession, store: Store) -> None:
         F.col("total_quantity").alias("actual_quantity"),
     )
     overall = seen.withColumn("store_location", F.lit(ALL))
-    forecasts = read_table(spark, store.path("forecasts"), FORECASTS)
-    replace_model(attach_actuals(forecasts, seen.unionByName(overall), keys), store.path("forecasts"))
+    fill_stored_actuals(spark, store.path("forecasts"), seen.unionByName(overall), keys)
 
 
 def detect_anomalies(spark: SparkSession, store: Store) -> None:

@@ -734,3 +734,12 @@ ORACLES["route_questions"] = chain(
 ORACLES["stream_dedup"] = chain(
     LINES, final="SELECT DISTINCT product_id, event_timestamp, store_location FROM inv"
 )
+
+# The same rows by another way.
+for _other, _name in {
+    "ingest_indexed": "ingest_new_rows",
+    "apply_overrides_stored": "apply_overrides",
+    "attach_actuals_stored": "attach_actuals",
+    "stream_dedup_by_state": "stream_dedup",
+}.items():
+    ORACLES[_other] = ORACLES[_name]

@@ -31,10 +31,16 @@ from stockflow.plans.forecasts import (
     boosted_forecast,
     trend_seasonal_forecast,
 )
-from stockflow.schemas import INVENTORY
+from stockflow.plans.grouped_forecasts import trend_seasonal_by_store
+from stockflow.schemas import FORECASTS, INVENTORY
 from stockflow.session import materialize, new_location
 from stockflow.sources import adapters as A
+from stockflow.sources.key_index import new_rows_indexed
+from stockflow.sources.readers import read_table
+from stockflow.sources.updates import fill_stored_actuals, override_stored
+from stockflow.sources.writers import append, replace_model
 from stockflow.streaming import jobs as J
+from stockflow.streaming.state import unique_events_by_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +143,16 @@ def ingest_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     return new_rows(lines.select(*INVENTORY.names), stored)
 
 
+@query("ingest_indexed")
+def ingest_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same against a stored table whose files are found by their keys."""
+    lines = materialize(A.inventory_lines(spark, folder), "lines")
+    path = new_location(spark, "inventory")
+    append(lines.filter(F.col("line_status") == "F"), path, INVENTORY)
+    fresh, _ = new_rows_indexed(lines.select(*INVENTORY.names), path)
+    return fresh
+
+
 @query("publish_json")
 def publish_json(spark: SparkSession, folder: str) -> DataFrame:
     return as_messages(A.inventory_lines(spark, folder))
@@ -166,6 +182,16 @@ def override_sampled(spark: SparkSession, folder: str) -> DataFrame:
     return apply_overrides(lines, outlier_overrides(_sampled(lines)))
 
 
+@query("apply_overrides_stored")
+def override_stored_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on a stored table, of which only touched files are rewritten."""
+    path = new_location(spark, "inventory")
+    append(A.inventory_lines(spark, folder), path, INVENTORY)
+    stored = read_table(spark, path, INVENTORY)
+    override_stored(spark, path, outlier_overrides(_sampled(stored)))
+    return read_table(spark, path, INVENTORY)
+
+
 @query("overridden_rows")
 def overridden_rows(spark: SparkSession, folder: str) -> DataFrame:
     changed = override_sampled(spark, folder)
@@ -259,6 +285,17 @@ def attach_actuals(spark: SparkSession, folder: str) -> DataFrame:
     return _day_ahead(spark, folder)
 
 
+@query("attach_actuals_stored")
+def attach_actuals_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on a stored forecast table, of which only touched files are rewritten."""
+    hourly = _written_hours(spark, folder)
+    path = new_location(spark, "forecasts")
+    replace_model(A.day_ahead_forecasts(hourly), path)
+    keys = ["store_location", "category", "forecast_timestamp"]
+    fill_stored_actuals(spark, path, A.observed_quantities(hourly), keys)
+    return read_table(spark, path, FORECASTS).select(*FORECASTS.names)
+
+
 @query("predicted_vs_actual")
 def predicted_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     return R.predicted_vs_actual(_day_ahead(spark, folder))
@@ -311,6 +348,12 @@ def trend_and_season(spark: SparkSession, folder: str) -> DataFrame:
     return timed(forecast, "forecast_timestamp", "event_timestamp")
 
 
+@query("trend_seasonal_by_store")
+def trend_and_season_by_store(spark: SparkSession, folder: str) -> DataFrame:
+    forecast = trend_seasonal_by_store(_event_hours(spark, folder), "window_start")
+    return timed(forecast, "forecast_timestamp", "event_timestamp")
+
+
 # --- anomalies --------------------------------------------------------------
 
 
@@ -467,10 +510,21 @@ def stream_hourly_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rounded(hourly, 8, "avg_price"), 2, "total_stock_value")
 
 
-@query("stream_dedup")
-def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+def _line_stream(spark: SparkSession, folder: str) -> DataFrame:
     lines = J.read_file_stream(spark, f"{folder}/lineitem.parquet*", A.LINEITEM_SCHEMA, files=1)
     dimensions = [A.table(spark, folder, name) for name in ("part", "supplier", "nation")]
-    events = A.lines_as_inventory(lines, *dimensions)
-    unique = J.streamed_unique_events(events, new_location(spark, "unique"))
+    return A.lines_as_inventory(lines, *dimensions)
+
+
+@query("stream_dedup")
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    unique = J.streamed_unique_events(_line_stream(spark, folder), new_location(spark, "unique"))
+    return unique.select("product_id", "event_timestamp", "store_location")
+
+
+@query("stream_dedup_by_state")
+def stream_dedup_by_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from keyed state, without reading what is stored."""
+    events = _line_stream(spark, folder).select(*INVENTORY.names)
+    unique = unique_events_by_state(events, new_location(spark, "unique"))
     return unique.select("product_id", "event_timestamp", "store_location")

@@ -13,6 +13,7 @@ WITHOUT_SQL = {
     "gbt_forecast",
     "iforest_baseline_forecast",
     "trend_seasonal_forecast",
+    "trend_seasonal_by_store",
     "iforest_group_anomalies",
     "iforest_record_anomalies",
 }
