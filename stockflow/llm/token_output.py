@@ -33,6 +33,7 @@ END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
 CACHED_WORDS = 300_000  # of each of two generations; about 130 MiB for each worker process
+LONGEST = 64  # characters of words that are remembered
 # Latin letters, and ASCII marks but the apostrophe: contractions follow a rule of their own.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 MARKS = r"!-&(-/:-@\[-`{-~"
@@ -42,7 +43,8 @@ class Recent(dict):
     """Answers of a function of one text, asked once for each of the last texts.
 
     When a generation is full it becomes the old one, in which texts are looked
-    up before the function is asked; what was in the old one by then goes.
+    up before the function is asked; what was in the old one by then goes. Long
+    texts are not remembered.
     """
 
     def __init__(self, answer: Callable[[str], object], most: int, old: dict | None = None) -> None:
@@ -52,7 +54,8 @@ class Recent(dict):
         found = self.old.get(text)
         if found is None:
             found = self.answer(text)
-        self[text] = found
+        if len(text) <= LONGEST:
+            self[text] = found
         return found
 
     def turned(self) -> Recent:
@@ -93,8 +96,8 @@ class WordEncoder:
         self.inner = Recent(self.piece, most // 10)  # runs inside of words
         self.cut = re.compile(r" (?=\S)")
         # Runs as the pre-tokenizer cuts them.
-        run = f"[{LETTERS}]+|[0-9]+|[{MARKS}]+"
-        self.run, self.runs = re.compile(run), re.compile(f"(?:{run})+")
+        self.run = re.compile(f"[{LETTERS}]+|[0-9]+|[{MARKS}]+")
+        self.runs = re.compile(f"[{LETTERS}0-9{MARKS}]+")
         # White space but the space and the newline.
         self.odd = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
         # The byte-level alphabet: printable bytes stand for themselves.
@@ -108,13 +111,16 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of one text."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def piece(self, text: str) -> bytes:
-        """The same for a text that the pre-tokenizer leaves whole."""
+    def piece_ids(self, text: str) -> list[int]:
+        """Ids of a text that the pre-tokenizer leaves whole."""
         if text.isascii():
             shown = text.replace(" ", self.space)
         else:
             shown = text.encode().decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        return [t.id for t in self.tokenize(shown)]
+
+    def piece(self, text: str) -> bytes:
+        return array("I", self.piece_ids(text)).tobytes()
 
     def word(self, word: str) -> bytes:
         if plain_letters(word):
