@@ -15,7 +15,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain, count, product
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import small
-from stockflow.llm.token_output import LETTERS, MARKS, WordEncoder, per_process, plain_letters
+from stockflow.llm.token_output import (
+    LETTERS,
+    LONGEST,
+    MARKS,
+    WordEncoder,
+    per_process,
+    plain_letters,
+)
 from stockflow.operators.joins import join_lookup
 from stockflow.session import materialize
 
@@ -57,9 +64,6 @@ def links_of(
     a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]
 ) -> Iterator[tuple[int, int]]:
     """Pairs of tokens of one group whose bytes overlap."""
-    if len(a) == 1 or len(b) == 1:
-        yield from product(a, b)
-        return
     i = j = 0
     end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
     while True:
@@ -92,64 +96,92 @@ class Aligner:
         shown = [self.pieces.id_to_piece(n) for n in range(self.pieces.get_piece_size())]
         self.bytes_b = [piece_bytes(piece) for piece in shown]
         self.sizes_b = [len(b) for b in self.bytes_b]
+        self.starts_b = [piece.startswith("▁") for piece in shown]
+        self.names = [str(n) for n in range(max(len(self.sizes_a), len(shown)))]
         # Letters and the marks behind them never share a token of the first; where
         # they share none of the second either, both are aligned for themselves.
         shared = re.compile(f"[{LETTERS}][{MARKS}]")
-        whole = any(shared.search(piece) for piece in shown if not piece.startswith("<"))
-        self.tail = None if whole else re.compile(f"([{LETTERS}]+)([{MARKS}]+)")
+        self.apart = not any(shared.search(p) for p in shown if not p.startswith("<"))
+        self.marks = "".join(c for c in map(chr, range(128)) if re.match(f"[{MARKS}]", c))
         self.tails: dict[str, tuple | None] = {}
         self.most = most
         self.known: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
         self.cut = re.compile(r"(?<=\S) (?=\S)")
 
-    def ids(self, piece: str) -> list[int]:
-        """The first tokenizer's ids of a piece behind its space."""
-        if plain_letters(piece):
-            return array("I", self.words.piece(" " + piece)).tolist()
-        if self.words.runs.fullmatch(piece):
-            return array("I", self.words.known[piece]).tolist()
-        return array("I", self.words.bare(" " + piece)).tolist()
-
-    def align(self, piece: str, b: list[int]) -> tuple[int, int, int, str, bytes] | None:
-        """Numbers of tokens and groups, the groups as text, and the linked pairs;
-        nothing if the second tokenizer's ids ``b`` do not give back the bytes."""
+    def second_ids(self, words: list[str]) -> Iterator[list[int]]:
+        """The second tokenizer's ids of words of letters, encoded as one text.
+
+        Each word's first token begins with the space before it, no other does.
+        """
+        ids = self.pieces.encode(" ".join(words), num_threads=1) if words else []
+        cuts = [spot for spot, token in enumerate(ids) if self.starts_b[token]]
+        if len(cuts) != len(words):
+            yield from self.pieces.encode(words, num_threads=1)
+            return
+        for low, high in zip(cuts, [*cuts[1:], len(ids)]):
+            yield ids[low:high]
+
+    def other(self, piece: str) -> tuple | None:
+        """The alignment of a piece that is more than letters and marks; nothing if
+        the second tokenizer's ids do not give back the bytes."""
+        b = self.pieces.encode(piece, num_threads=1)
         if b"".join(map(self.bytes_b.__getitem__, b)) != b" " + piece.encode():
             return None
-        return self.aligned(self.ids(piece), b)
+        runs = self.words.runs.fullmatch(piece)
+        a = self.words.word(piece) if runs else self.words.bare(" " + piece)
+        return self.aligned(array("I", a).tolist(), b)
 
-    def marks(self, tail: str) -> tuple:
+    def tail(self, marks: str) -> tuple:
         """The alignment of marks behind letters, which have no space before them."""
-        if tail not in self.tails:
+        if marks not in self.tails:
             if len(self.tails) >= self.most // 10:
                 self.tails.clear()
             # Behind a letter, since the second tokenizer puts a space in front.
-            first, *b = self.pieces.encode("x" + tail, num_threads=1)
-            self.tails[tail] = self.aligned(array("I", self.words.piece(tail)).tolist(), b)
-        return self.tails[tail]
+            _, *b = self.pieces.encode("x" + marks, num_threads=1)
+            self.tails[marks] = self.aligned(self.words.piece_ids(marks), b)
+        return self.tails[marks]
 
     def aligned(self, a: list[int], b: list[int]) -> tuple[int, int, int, str, bytes]:
+        """Numbers of tokens and groups, the groups as text, and the linked pairs."""
+        names = self.names
         ends_a, ends_b = ends(a, self.sizes_a), ends(b, self.sizes_b)
         common = sorted(ends_a.keys() & ends_b.keys())
-        if len(common) == len(a) == len(b):
-            links = [x * SHIFT + y for x, y in zip(a, b)]
-            groups = ";".join([f"{x}|{y}" for x, y in zip(a, b)])
-            return len(a), len(b), len(a), groups, array("Q", links).tobytes()
+        if len(common) == 1 and (len(a) == 1 or len(b) == 1):
+            group = f"{','.join([names[x] for x in a])}|{','.join([names[y] for y in b])}"
+            links = [x * SHIFT + y for x in a for y in b]
+            return len(a), len(b), 1, group, array("Q", links).tobytes()
         links, groups = [], []
         i = k = 0
         for end in common:
             j, m = ends_a[end], ends_b[end]
-            own, other = a[i:j], b[k:m]
-            groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-            links += [x * SHIFT + y for x, y in links_of(own, other, self.sizes_a, self.sizes_b)]
+            if j == i + 1 and m == k + 1:
+                groups.append(f"{names[a[i]]}|{names[b[k]]}")
+                links.append(a[i] * SHIFT + b[k])
+            else:
+                own, other = a[i:j], b[k:m]
+                sides = (",".join([names[x] for x in side]) for side in (own, other))
+                groups.append("|".join(sides))
+                pairs = links_of(own, other, self.sizes_a, self.sizes_b)
+                links += [x * SHIFT + y for x, y in pairs]
             i, k = j, m
         return len(a), len(b), len(common), ";".join(groups), array("Q", links).tobytes()
 
+    def remembered(self, piece: str) -> bool:
+        """Whether the piece is known, brought on from the old generation if need be."""
+        if piece in self.known:
+            return True
+        if piece in self.old:
+            self.known[piece] = self.old[piece]
+            return True
+        return False
+
     def text(self, text: str | None) -> list[tuple] | None:
         """The alignments of a text's pieces in order, nothing if it has no tokens.
 
         Two generations of pieces are remembered; what no text asks for while one
-        fills up goes. New pieces are encoded together.
+        fills up goes, and long pieces go with their text. New words are encoded
+        together.
         """
         if len(self.known) >= self.most:
             self.known, self.old = {}, self.known
@@ -158,28 +190,32 @@ class Aligner:
         if not text:
             return None
         known, pieces = self.known, self.cut.split(text)
-        new, tailed = set(), []
+        words, tailed, long = set(), [], []
         for piece in set(pieces).difference(known):
-            if piece in self.old:
-                known[piece] = self.old[piece]
-            elif self.tail and (parts := self.tail.fullmatch(piece)):
-                tailed.append((piece, *parts.groups()))
+            if self.remembered(piece):
+                continue
+            if plain_letters(piece):
+                words.add(piece)
+            elif self.apart and plain_letters(word := piece.rstrip(self.marks)):
+                tailed.append((piece, word))
+                if not self.remembered(word):
+                    words.add(word)
             else:
-                new.add(piece)
-        for _, word, _ in tailed:
-            if word not in known:
-                if word in self.old:
-                    known[word] = self.old[word]
-                else:
-                    new.add(word)
-        new = list(new)
-        for piece, ids in zip(new, self.pieces.encode(new, num_threads=1) if new else ()):
-            known[piece] = self.align(piece, ids)
-        for piece, word, tail in tailed:
-            one, two = known[word], self.marks(tail)
+                known[piece] = self.other(piece)
+            if len(piece) > LONGEST:
+                long.append(piece)
+        words = list(words)
+        for word, b in zip(words, self.second_ids(words), strict=True):
+            known[word] = self.aligned(self.words.piece_ids(" " + word), b)
+        for piece, word in tailed:
+            one, two = known[word], self.tail(piece[len(word) :])
             counts = (x + y for x, y in zip(one[:3], two[:3]))
             known[piece] = (*counts, f"{one[3]};{two[3]}", one[4] + two[4])
+            if len(word) > LONGEST:
+                long.append(word)
         found = list(map(known.__getitem__, pieces))
+        for piece in long:
+            known.pop(piece, None)
         return None if None in found else found
 
 

@@ -73,7 +73,13 @@ def test_no_piece_crosses_a_word():
 
 
 def test_letters_share_no_piece_with_marks():
-    assert ALIGNER.tail is not None
+    assert ALIGNER.apart
+
+
+def test_long_pieces_are_not_remembered():
+    aligner = A.Aligner(*PATHS)
+    text = "x" * 500 + " " + "日" * 90 + " " + "y" * 300 + "!? z"
+    assert aligner.text(text) and set(aligner.known) == {"z"}
 
 
 def test_packed_pairs_round_trip():
