@@ -1,20 +1,24 @@
 """Secret scan: fixed patterns, and a randomness test battery for other strings.
 
-Strings of encoding characters with digits are tested for randomness in the
-alphabet they seem to be written in: uniformity of the symbols (chi-squared),
-runs above and below the middle, and correlation of neighbours. How often
-ordinary long words of about the same length look as random gives each string
-its p-value, with made-up ones where the texts have few; those that pass at the false-discovery rate asked for are added.
-Everything is built from column expressions.
+Strings of encoding characters are tested for randomness in the alphabet they
+seem to be written in: uniformity of the symbols (chi-squared), runs above and
+below the middle, and correlation of neighbours. A string that the three tests
+together do not reject as random gets as its p-value how often ordinary text of
+its length and alphabet has symbols as even as its own; that follows from the
+chi-squared statistic's distribution for the repetition of letters in ordinary
+text. Those that pass at the false-discovery rate asked for, over all strings,
+are added. The same rule holds for any number of strings. Everything is built
+from column expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import ROW, numbered
-from stockflow.operators.joins import join_lookup
 from stockflow.session import materialize
 
 # Fixed patterns; the keywords of the first match in either case.
@@ -46,21 +50,10 @@ ALPHABETS = {
         "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     ),
 }
-STEP, STEPS = 0.25, 400  # of the scale on which strings are compared
-BANDS = 6  # of lengths; each holds strings up to half as long again
-GROWTH = 1.5
-MADE = 1000  # ordinary strings made for each band whose own words are fewer
-COMMON = (
-    "the of and to in is was for with that from this have not are which by on at "
-    "one all their there when who will more been would about other into time only "
-    "some could these two may then first any like now such our over even most made "
-    "after also did many before must through back years where much your way well "
-    "down should because each just those people how too little state good very make "
-    "world still own see men work long get here between both life being under never "
-    "day same another know while last might us great old year off come since against "
-    "go came right used take three version number system value name file list index "
-    "count table result default config request response message string"
-).split()
+# Chance that two letters of ordinary text are equal (index of coincidence of English).
+REPEATED = 0.0667
+REJECTED = 16.27  # of the three tests together: one of 1,000 random strings has more
+STEP, STEPS = 100, 4000  # in which the logarithms of p-values are counted
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -92,7 +85,7 @@ def located(rows: DataFrame) -> DataFrame:
 
 
 def tested(strings: DataFrame) -> DataFrame:
-    """``strings`` with ``step``, their place on the scale from random (0) up."""
+    """``strings`` with ``step``, minus the logarithm of their p-value in ``STEP`` steps."""
     name = F.lit("base64")
     for known, (pattern, _) in reversed(list(ALPHABETS.items())[:-1]):
         name = F.when(F.col("match").rlike(pattern), known).otherwise(name)
@@ -139,78 +132,38 @@ def tested(strings: DataFrame) -> DataFrame:
     z_serial = F.col("product") / ((n - 1) * (k * k - 1) / 12) * F.sqrt(n - 1)
     far = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0))
     far = far + z_runs * z_runs + z_serial * z_serial
-    band = F.floor(F.log(F.char_length("match") / LEAST) / F.log(F.lit(GROWTH)))
-    return strings.withColumns(
-        {
-            "step": F.least(F.floor(far / STEP), F.lit(STEPS)).cast("int"),
-            "band": F.least(F.greatest(band, F.lit(0)), F.lit(BANDS - 1)).cast("int"),
-        }
-    )
-
-
-def ordinary(spark: SparkSession) -> DataFrame:
-    """Strings of common words joined in four ways, ``MADE`` in each length band."""
-    rows = spark.range(MADE * BANDS)
-
-    def drawn(below, *salt: Column | str) -> Column:
-        return F.pmod(F.xxhash64("id", *salt), F.lit(below))
-
-    low = F.ceil(LEAST * F.pow(F.lit(GROWTH), F.col("id") % BANDS)).cast("int")
-    length = low + drawn(1 << 20, F.lit("length")) * low * (GROWTH - 1) / (1 << 20)
-    most = int(LEAST * GROWTH**BANDS)
-    common = F.array(*[F.lit(w) for w in COMMON])
-    words = F.transform(
-        F.sequence(F.lit(1), F.lit(most // 2)),
-        lambda i: F.element_at(common, (drawn(len(COMMON), i) + 1).cast("int")),
-    )
-    rows = rows.select(
-        words.alias("w"), length.cast("int").alias("size"), drawn(4, F.lit("way")).alias("way")
-    )
-    text = (
-        F.when(F.col("way") == 0, F.array_join("w", "_"))
-        .when(F.col("way") == 1, F.array_join("w", "-"))
-        .when(F.col("way") == 2, F.array_join(F.transform("w", F.initcap), ""))
-        .otherwise(F.array_join("w", ""))
-    )
-    return rows.select(text.substr(F.lit(1), F.col("size")).alias("match"))
+    # Of ordinary text the statistic has a distribution with this shift.
+    shift = (n - 1) * F.greatest(k * REPEATED - 1, F.lit(0.0))
+    z = (F.col("chi") - F.col("free") - shift) / F.sqrt(2 * F.col("free") + 4 * shift)
+    # Where the alphabet is as repetitive as ordinary text nothing can be told.
+    p = F.when((far > REJECTED) | (shift <= 0), 1.0).otherwise(normal_share(z))
+    step = F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEP)
+    return strings.withColumn("step", F.least(step, F.lit(STEPS)).cast("int"))
+
+
+def normal_share(z: Column) -> Column:
+    """Share of a standard normal distribution below ``z`` (Zelen and Severo 1964)."""
+    t = 1 / (1 + 0.2316419 * F.abs(z))
+    terms = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+    series = F.lit(0.0)
+    for term in reversed(terms):
+        series = (series + term) * t
+    tail = F.exp(-z * z / 2) / math.sqrt(2 * math.pi) * series
+    return F.when(z < 0, tail).otherwise(1 - tail)
 
 
 def discoveries(strings: DataFrame, rate: float) -> DataFrame:
-    """Strings with digits that look random at the false-discovery rate.
-
-    A string's p-value is the share of words without digits of its length band
-    that lie as near to random. A band with fewer than ``MADE`` such words has
-    made ones besides.
-    """
-    with_digits = F.col("match").rlike("[0-9]")
-    none = F.lit(0).cast("bigint")
-    own = strings.groupBy("band", "step").agg(
-        F.sum((~with_digits).cast("bigint")).alias("words"),
-        F.sum(with_digits.cast("bigint")).alias("strings"),
-    )
-    made = tested(ordinary(strings.sparkSession)).groupBy("band", "step").count()
-    counts = own.withColumn("made", none).union(
-        made.select("band", "step", none, none, "count")
-    )
-    counts = counts.groupBy("band", "step").agg(
-        *[F.sum(c).alias(c) for c in ("words", "strings", "made")]
-    )
-    counts = materialize(counts, "steps")
-    # At most BANDS x STEPS rows from here to the threshold.
-    upto = Window.partitionBy("band").orderBy("step")
-    whole = Window.partitionBy("band")
-    few = F.sum("words").over(whole) < MADE
-    counts = counts.withColumn("null", F.col("words") + F.when(few, F.col("made")).otherwise(0))
-    counts = counts.withColumns({"upto": F.sum("null").over(upto), "n": F.sum("null").over(whole)})
-    p = (F.col("upto") + 1) / (F.col("n") + 1)
-    counts = counts.withColumn("p", p).filter("strings > 0")
-    tested_strings = counts.agg(F.coalesce(F.sum("strings"), F.lit(0))).first()[0]
-    ranked = counts.groupBy("p").agg(F.sum("strings").alias("strings"))
-    ranked = ranked.withColumn("rank", F.sum("strings").over(Window.orderBy("p")))
-    passing = ranked.filter(F.col("p") * tested_strings <= rate * F.col("rank"))
-    most = passing.agg(F.max("p")).first()[0]
-    chosen = counts.filter(F.col("p") <= (most if most is not None else -1.0))
-    return join_lookup(strings.filter(with_digits), chosen.select("band", "step"), ["band", "step"])
+    """Strings that look random at the false-discovery rate (Benjamini and Hochberg),
+    from the numbers of strings by the step of their p-value."""
+    counts = materialize(strings.groupBy("step").agg(F.count("*").alias("n")), "steps")
+    # At most STEPS rows from here to the threshold.
+    upto = Window.orderBy(F.desc("step"))
+    ranked = counts.withColumn("rank", F.sum("n").over(upto))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # The largest p-value of a step stands for all of it.
+    p = F.pow(F.lit(10.0), -F.col("step") / STEP)
+    least = ranked.filter(p * total <= rate * F.col("rank")).agg(F.min("step")).first()[0]
+    return strings.filter(F.col("step") >= (STEPS + 1 if least is None else least))
 
 
 def scan_secrets(
@@ -239,7 +192,7 @@ def scan_secrets(
         (F.col("kind") != "assign") | (value >= VALUE_CHARACTERS)
     )
     strings = materialize(tested(matches.filter("kind = 'random'")), "tested")
-    added = discoveries(strings.select(ROW, "kind", "start", "end", "match", "band", "step"), rate)
+    added = discoveries(strings.select(ROW, "kind", "start", "end", "step"), rate)
     order = F.when(F.col("kind") == "random", 3)
     for place, kind in enumerate(KINDS[:-1]):
         order = order.when(F.col("kind") == kind, place)

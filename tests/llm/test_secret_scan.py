@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from stockflow.llm.secret_scan import scan_secrets
+from stockflow.llm.secret_scan import normal_share, scan_secrets
 from tests.llm.cases import documents, sentence
 
 KEY = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password")
@@ -66,13 +66,39 @@ def test_main_path_is_native(spark, capsys):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-@pytest.mark.parametrize("few", [0, 5])
-def test_few_ordinary_words_of_a_length(spark, few):
-    """Random strings are found however few words without digits are as long."""
+def added_of(spark, texts):
+    got = {r["doc_id"]: r["spans"] for r in scan_secrets(documents(spark, texts)).collect()}
+    return [texts[i][s["start"] : s["end"]] for i in got for s in got[i] if s["kind"] == "random"]
+
+
+LONG = "version_10_of_the_long_file_name_number_12_of_the_other_list"
+
+
+@pytest.mark.parametrize("few", [0, 5, 998, 999, 1000, 1001])
+def test_any_number_of_ordinary_words(spark, few):
+    """Random strings are found however many ordinary words are as long."""
     rng = random.Random(9)
     secrets = [base64.b64encode(rng.randbytes(45)).decode().replace("/", "_") for _ in range(40)]
-    texts = [f"before {s} after" for s in secrets] + ["-" * 60] * few
-    texts += ["version_10_of_the_long_file_name_number_12_of_the_other_list"] * 10
-    got = {r["doc_id"]: r["spans"] for r in scan_secrets(documents(spark, texts)).collect()}
-    added = [texts[i][s["start"] : s["end"]] for i in got for s in got[i] if s["kind"] == "random"]
-    assert set(added) <= set(secrets) and len(added) >= 36
+    texts = [f"before {s} after" for s in secrets]
+    texts += ["_".join(rng.choices(LONG.split("_"), k=12))[:60] for _ in range(few)] + [LONG] * 10
+    added = added_of(spark, texts)
+    assert set(added) <= set(secrets) and len(added) >= 39
+
+
+def test_letters_alone(spark):
+    rng = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choices(letters, k=60)) for _ in range(40)]
+    words = ["".join(rng.choices(("Tion", "er", "Ing", "an", "The", "st", "Re"), k=20)) for _ in range(60)]
+    added = added_of(spark, [f"key {k}" for k in keys] + [f"the {w} word" for w in words])
+    assert set(added) <= set(keys) and len(added) >= 38
+
+
+def test_normal_share(spark):
+    from math import erf, sqrt
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(-60, 61).select((F.col("id") / 10).alias("z"))
+    for r in rows.select("z", normal_share(F.col("z")).alias("p")).collect():
+        assert r["p"] == pytest.approx((1 + erf(r["z"] / sqrt(2))) / 2, abs=1e-7)
