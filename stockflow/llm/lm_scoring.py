@@ -28,7 +28,8 @@ FOLDS, HELD_OUT = 7, 2
 FILTER_BITS = 28  # bits of a filter whose size is not given
 PROBES = 3  # bits of an n-gram and level
 BITS_AN_ENTRY = 10  # of a segment, for every n-gram and level
-MOST_SHARDS = 1 << 12  # segments of the filter at most
+SHARD_BYTES = 1 << 23  # of text for each segment of the filter
+MOST_SHARDS = 1 << 16  # segments of the filter at most
 STRENGTH = 50.0  # weight of the word's own probability against the pair's
 TABLE = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MiB
 PIECE = 1 << 24  # bytes of text that are counted and scored together
@@ -259,7 +260,7 @@ def scored(shared, strength: float):
     a piece's rows, from the levels of its n-grams."""
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        model: Model = shared.value
+        model = Model(*shared.value)
         texts = rows["texts"].combine_chunks().flatten()
         seq, sizes = read(Splitter(NOT_SPACE), texts)
         row = np.repeat(np.arange(len(sizes)), sizes)
@@ -326,8 +327,13 @@ def train(pieces: DataFrame) -> tuple[Model, DataFrame, int]:
     word counts (piece -1) and levels of each piece's n-grams, and the count from
     which on words are in the model's table."""
     spark = pieces.sparkSession
-    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = min(1 << max(wanted - 1, 63).bit_length(), MOST_SHARDS)
+    # By the size of the texts, not by a setting: segments, and so the filter's
+    # errors, are the same in every session. Several make a task.
+    size = F.aggregate(
+        "texts", F.lit(0).cast("bigint"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0))
+    )
+    n_bytes = pieces.agg(F.sum(size)).first()[0] or 0
+    shards = min(1 << max(n_bytes // SHARD_BYTES, 63).bit_length(), MOST_SHARDS)
     parts = pieces.select("piece", "outs", "texts").mapInArrow(
         counted(shards), "piece bigint, kind int, shard int, keys binary, n binary"
     )
@@ -394,7 +400,8 @@ def score_texts(
     )
     pieces = materialize(pieces, "pieces")
     model, counts, least = train(pieces)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: executors need no class of this package to read them.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     answers = counts.filter("piece >= 0").select("piece", "kind", "shard", "levels")
     found = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(
         scored(shared, strength),

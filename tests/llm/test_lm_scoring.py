@@ -107,3 +107,16 @@ def test_pieces_do_not_change_scores(spark, monkeypatch):
     for r in L.score_texts(docs).collect():
         assert r["n_known"] == whole[r["doc_id"]]["n_known"]
         assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"])
+
+
+def test_scores_do_not_depend_on_a_setting(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    name, found = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(name)
+    try:
+        for partitions in ("4", "64"):
+            spark.conf.set(name, partitions)
+            found.append({r["doc_id"]: r["score"] for r in L.score_texts(docs).collect()})
+    finally:
+        spark.conf.set(name, before)
+    assert found[0] == pytest.approx(found[1], rel=1e-12)
