@@ -304,14 +304,16 @@ def fit(
 
 def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row and ``logit``; null texts count as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, model.slots()))
+    # Plain arrays: executors need no class of this package to read them.
+    shared = docs.sparkSession.sparkContext.broadcast((tuple(model), model.slots()))
     # A text that is kept crosses to Python once.
     rows = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
     at = rows.columns.index(text_col)
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, slots = shared.value
+        values, slots = shared.value
+        fitted = Model(*values)
         splitter = splitter_for(fitted.shapes)
         for batch in small(batches, 2048):
             logits = fitted.logits(batch.column(at), splitter, slots)
