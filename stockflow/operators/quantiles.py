@@ -42,13 +42,14 @@ def kth_smallest(
     @cache
     def cells(low: float, high: float, rows: int) -> list:
         inside = values.filter(F.col("v").between(low, high))
-        if rows <= small:
+        # Halves, since the range of doubles is wider than a double; infinite
+        # values are cells of their own.
+        bottom, top = max(low, -LARGEST) / 2, min(high, LARGEST) / 2
+        if rows <= small or top <= bottom:
+            # Where halves do not differ, no more than a few values lie between.
             cell = F.col("v")
         else:
-            # Halves, since the range of doubles is wider than a double; infinite
-            # values are cells of their own.
-            bottom, top = max(low, -LARGEST) / 2, min(high, LARGEST) / 2
-            share = (F.col("v") / 2 - bottom) / (top - bottom) if top > bottom else F.lit(0.0)
+            share = (F.col("v") / 2 - bottom) / (top - bottom)
             cell = F.least(F.floor(share * BINS), F.lit(BINS - 1))
             cell = F.when(F.col("v") > LARGEST, BINS).when(F.col("v") < -LARGEST, -1).otherwise(cell)
         counted = inside.groupBy(cell.alias("cell")).agg(

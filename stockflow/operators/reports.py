@@ -9,6 +9,7 @@ from stockflow.functions.numbers import decode_little_endian, nan_to_null
 from stockflow.functions.timestamps import parse_lenient
 from stockflow.operators.metrics import require_columns
 from stockflow.operators.quantiles import exact_percentiles
+from stockflow.session import materialize
 
 
 def value_by_store(metrics: DataFrame) -> DataFrame:
@@ -21,25 +22,29 @@ def value_by_store(metrics: DataFrame) -> DataFrame:
 
 def turnover_over_time(metrics: DataFrame) -> DataFrame:
     """Turnover points by time, unknown times last."""
-    return _by_time(metrics, "event_timestamp").select("event_timestamp", "turnover_rate")
+    return _by_time(metrics, "event_timestamp", "turnover_rate")
 
 
-def _by_time(df: DataFrame, time: str) -> DataFrame:
-    # All columns follow as tie-breakers, so that the rows of one hot
+def _by_time(df: DataFrame, time: str, value: str) -> DataFrame:
+    """Two columns in the order of the first, written once before they are sorted:
+    a range sort reads its input twice."""
+    # A hash of the whole row breaks ties, so that the rows of one hot
     # timestamp still split over several ranges.
-    ties = [c for c in df.columns if c != time]
-    return df.orderBy(F.asc_nulls_last(time), *ties)
+    rows = df.select(time, value, F.xxhash64(*df.columns).alias("__tie"))
+    rows = materialize(rows, "points")
+    return rows.orderBy(F.asc_nulls_last(time), value, "__tie").select(time, value)
 
 
 def stock_pivot(metrics: DataFrame, stores: list[str] | None = None) -> DataFrame:
     """Category by store matrix of stock value, 0 where nothing is stored.
 
-    Without ``stores`` the store columns are looked up first; Spark bounds
-    their number by ``spark.sql.pivotMaxValues``.
+    The sums are written once, so that looking up the store columns, whose number
+    Spark bounds by ``spark.sql.pivotMaxValues``, does not evaluate the source.
     """
     kept = metrics.filter(F.col("store_location").isNotNull() & F.col("category").isNotNull())
-    grouped = kept.groupBy("category").pivot("store_location", stores)
-    return grouped.agg(F.sum("total_stock_value")).na.fill(0.0)
+    sums = kept.groupBy("category", "store_location").agg(F.sum("total_stock_value").alias("value"))
+    grouped = materialize(sums, "pivot").groupBy("category").pivot("store_location", stores)
+    return grouped.agg(F.first("value", ignorenulls=True)).na.fill(0.0)
 
 
 def quantity_price_points(metrics: DataFrame) -> DataFrame:
@@ -64,9 +69,7 @@ def preview(events: DataFrame, order: list[str], rows: int = 10) -> DataFrame:
 
 
 def predicted_over_time(forecasts: DataFrame) -> DataFrame:
-    return _by_time(forecasts, "forecast_timestamp").select(
-        "forecast_timestamp", "predicted_quantity"
-    )
+    return _by_time(forecasts, "forecast_timestamp", "predicted_quantity")
 
 
 def predicted_vs_actual(forecasts: DataFrame) -> DataFrame:

@@ -37,9 +37,12 @@ def boosted_forecast(metrics: DataFrame, time: str = "event_timestamp") -> DataF
         .agg(F.avg("total_quantity").alias("label"), F.count("*").cast("double").alias("weight"))
     )
     assemble = VectorAssembler(inputCols=names, outputCol="features")
+    daily = materialize(daily, "daily")
+    if daily.isEmpty():
+        return no_forecast(metrics, MODEL_BOOSTED, time)
     model = GBTRegressor(
         maxIter=100, maxDepth=6, stepSize=0.3, maxBins=128, seed=SEED, weightCol="weight"
-    ).fit(assemble.transform(materialize(daily, "daily")))
+    ).fit(assemble.transform(daily))
     days = horizon(metrics, time=time)
     future = assemble.transform(days.select("*", *date_parts(F.col("forecast_timestamp"))))
     return forecast_rows(
@@ -51,6 +54,17 @@ def boosted_forecast(metrics: DataFrame, time: str = "event_timestamp") -> DataF
     )
 
 
+def no_forecast(metrics: DataFrame, model_name: str, time: str) -> DataFrame:
+    """What a model returns where there is no history: no rows."""
+    return forecast_rows(
+        horizon(metrics, time=time).filter(F.lit(False)),
+        model_name,
+        forecast_time=F.col("forecast_timestamp"),
+        predicted=F.lit(None),
+        event_time=F.col("last_timestamp"),
+    )
+
+
 def baseline_forecast(
     metrics: DataFrame,
     contamination: float = BASELINE_CONTAMINATION,
@@ -88,11 +102,15 @@ SEASONS = [  # period in days, Fourier order, history needed, coarsest spacing a
 
 
 def trend_seasonal_forecast(metrics: DataFrame, time: str = "event_timestamp") -> DataFrame:
-    """Piecewise-linear trend plus seasons fitted to the global quantity series."""
-    series = materialize(
-        global_series(metrics, time).withColumn("seconds", _seconds(F.col("event_timestamp"))),
-        "series",
-    )
+    """Piecewise-linear trend plus seasons fitted to the global quantity series.
+
+    Times without any quantity do not count; without others there are no rows.
+    """
+    known = global_series(metrics, time).filter(F.col("quantity").isNotNull())
+    series = known.withColumn("seconds", _seconds(F.col("event_timestamp")))
+    series = materialize(series, "series")
+    if series.isEmpty():
+        return no_forecast(metrics, MODEL_TREND, time)
     first, last, n, scale, spacing = _history(series)
     seasons = [
         (period, order)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from stockflow.fixed_values import ISO_Z
 from stockflow.functions.timestamps import parse_lenient, render
-from stockflow.operators.metrics import decode_messages, parse_events
+from stockflow.operators.metrics import decode_messages, parse_events, require_columns
 from stockflow.operators.reports import of_model
 from stockflow.schemas import FORECASTS, INVENTORY, INVENTORY_CSV
 
@@ -34,8 +34,18 @@ def read_catalog_table(spark: SparkSession, name: str, schema: T.StructType) ->
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Exported CSV events in the inventory layout, times brought to ISO form."""
-    rows = spark.read.schema(INVENTORY_CSV).option("header", True).csv(path)
+    """Exported CSV events in the inventory layout, times brought to ISO form.
+
+    Columns are found by the names in the header, in any order; others are not
+    read. A missing column, or files with different headers, are an error.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    header = require_columns(reader.csv(path), INVENTORY_CSV.names).columns
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    rows = reader.schema(texts).option("enforceSchema", False).csv(path)
+    rows = rows.select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in INVENTORY_CSV.fields]
+    )
     time = render(parse_lenient(F.col("event_timestamp")), ISO_Z)
     return (
         rows.withColumnRenamed("store_id", "store_location")

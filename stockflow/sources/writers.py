@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,8 @@ def replace(df: DataFrame, path: str) -> None:
 
 
 def swap(spark: SparkSession, fresh: str, path: str) -> None:
-    """Give the folder ``fresh`` the name ``path``; what was there goes."""
+    """Give the folder ``fresh`` the name ``path``; what was there goes, and comes
+    back should the new one not get its name."""
     jvm = spark.sparkContext._jvm
     source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -46,7 +48,13 @@ def swap(spark: SparkSession, fresh: str, path: str) -> None:
     had = system.exists(target)
     if had and not system.rename(target, old):
         raise OSError(f"{path} cannot be renamed")
-    if not system.rename(source, target):
+    try:
+        moved = system.rename(source, target)
+    except Py4JJavaError:
+        moved = False
+    if not moved:
+        if had and not system.exists(target):
+            system.rename(old, target)
         raise OSError(f"{fresh} cannot be renamed")
     if had:
         system.delete(old, True)

@@ -172,3 +172,14 @@ def test_baseline_ignores_outliers(spark):
     found = baseline_forecast(df).collect()
     assert len(found) == 7
     assert found[0]["predicted_quantity"] == pytest.approx(51, abs=1)
+
+
+def test_missing_quantities_and_no_history(spark):
+    values = [100 + i for i in range(60)]
+    df = metrics(spark, a=values)
+    holes = df.unionByName(spark.createDataFrame([("a", hour(70), None), ("a", None, 5)], KIND))
+    for model in (trend_seasonal_forecast, boosted_forecast):
+        assert model(holes).count() == 7
+        for nothing in (df.limit(0), spark.createDataFrame([("a", None, 5), ("b", hour(1), None)], KIND)):
+            found = model(nothing)
+            assert found.columns == FORECASTS.names and found.count() == 0

@@ -175,3 +175,10 @@ def test_kth_smallest_of_wide_infinite_and_nan_values(spark, small):
     kept = sorted(v for v in values if v is not None and v == v)
     found = kth_smallest(df, "v", lambda n: list(range(n)), small)
     assert [found[k].value for k in range(len(kept))] == kept
+
+
+def test_kth_smallest_of_neighbouring_tiny_values(spark):
+    tiny = 5e-324
+    df = spark.createDataFrame([(v * tiny,) for v in (3, 4) for _ in range(10)], "v double")
+    found = kth_smallest(df, "v", lambda n: [0, 9, 10, 19], 5)
+    assert [found[r][:3] for r in (0, 9, 10, 19)] == [(3 * tiny, 0, 10)] * 2 + [(4 * tiny, 10, 10)] * 2

@@ -89,6 +89,36 @@ def test_csv_export_is_brought_to_the_layout(spark, tmp_path):
     assert parse_events(found).filter("ts is null").isEmpty()
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "any.csv"
+    path.write_text(
+        "product_id,store_id,extra,price,event_timestamp,quantity,category\n"
+        "P1,S1,x,9.5,2025-01-01 10:00:00,3,Toys\nP2,S2,y,oops,2025-01-01 11:00:00,many,Toys\n"
+    )
+    assert rows(readers.read_csv(spark, str(path))) == [
+        ("P1", 3, 9.5, "2025-01-01T10:00:00Z", "S1", "Toys"),
+        ("P2", None, None, "2025-01-01T11:00:00Z", "S2", "Toys"),
+    ]
+    (tmp_path / "less.csv").write_text("product_id,price\nP1,1.0\n")
+    with pytest.raises(ValueError):
+        readers.read_csv(spark, str(tmp_path / "less.csv"))
+    other = tmp_path / "two"
+    other.mkdir()
+    for name, header in ("a", "product_id,store_id"), ("b", "store_id,product_id"):
+        rest = "price,event_timestamp,quantity,category"
+        (other / f"{name}.csv").write_text(f"{header},{rest}\nP1,S1,9.5,2025-01-01 10:00:00,3,Toys\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(other)).collect()
+
+
+def test_the_old_table_comes_back_if_the_new_one_cannot_take_its_place(spark, two, tmp_path):
+    path = str(tmp_path / "t")
+    writers.append(two, path, INVENTORY)
+    with pytest.raises(OSError):
+        writers.swap(spark, str(tmp_path / "not there"), path)
+    assert rows(readers.read_table(spark, path, INVENTORY)) == rows(two)
+
+
 def test_labelled_events_round_trip(spark, two, tmp_path):
     labelled = two.withColumn("is_anomaly", F.lit(True))
     writers.append(labelled, str(tmp_path / "l"), LABELLED_INVENTORY)
