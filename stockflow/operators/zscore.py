@@ -39,8 +39,13 @@ def with_zscore(
 def zscore_anomalies(forecasts: DataFrame, threshold: float = Z_THRESHOLD) -> DataFrame:
     """Forecast rows whose score exceeds the threshold, in the anomaly layout."""
     require_columns(forecasts, [*FORECAST_KEY, "predicted_quantity"])
+    return flagged(with_zscore(forecasts), threshold)
+
+
+def flagged(scored: DataFrame, threshold: float = Z_THRESHOLD) -> DataFrame:
+    """Scored rows beyond the threshold, in the anomaly layout."""
     # Rounded, so that a score of exactly the threshold is never tipped over it.
-    flagged = with_zscore(forecasts).filter(F.round(F.abs("z_score"), 9) > threshold)
+    beyond = scored.filter(F.round(F.abs("z_score"), 9) > threshold)
     quantity = float_text(F.col("predicted_quantity"))
     description = F.concat(
         F.lit("Predicted Quantity: "),
@@ -48,8 +53,8 @@ def zscore_anomalies(forecasts: DataFrame, threshold: float = Z_THRESHOLD) -> Da
         F.lit(", Z-Score: "),
         two_decimals(F.col("z_score")),
     )
-    actual = F.col("actual_quantity") if "actual_quantity" in forecasts.columns else F.lit(None)
-    return flagged.select(
+    actual = F.col("actual_quantity") if "actual_quantity" in scored.columns else F.lit(None)
+    return beyond.select(
         "model_name",
         "store_location",
         "category",

@@ -741,5 +741,19 @@ for _other, _name in {
     "apply_overrides_stored": "apply_overrides",
     "attach_actuals_stored": "attach_actuals",
     "stream_dedup_by_state": "stream_dedup",
+    "zscore_anomalies_by_batch": "zscore_anomalies",
 }.items():
     ORACLES[_other] = ORACLES[_name]
+
+ORACLES["forecast_summary_sketched"] = chain(
+    *FORECASTS,
+    final="""
+    SELECT model_name, measure, count(v) AS count, min(v) AS min, max(v) AS max,
+           true AS p25_within, true AS p50_within, true AS p75_within, true AS times_within
+    FROM (SELECT model_name, 'predicted_quantity' AS measure,
+                 CAST(predicted_quantity AS DOUBLE) AS v FROM day_ahead
+          UNION ALL
+          SELECT model_name, 'actual_quantity', CAST(actual_quantity AS DOUBLE) FROM day_ahead)
+    GROUP BY 1, 2
+    """,
+)

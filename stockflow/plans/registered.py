@@ -21,10 +21,19 @@ from stockflow.operators.ingest import (
     next_batch_number,
     product_batch_id,
 )
+from stockflow.operators.moments import judge_new, table_of, with_stored_zscore
 from stockflow.operators.moving_average import moving_average
 from stockflow.operators.post_process import post_process, turnover_rate
 from stockflow.operators.sampling import apply_overrides, outlier_overrides, sample_exact
-from stockflow.operators.zscore import with_zscore, zscore_anomalies
+from stockflow.operators.sketches import (
+    MEASURES,
+    RANK_ERROR,
+    TIMES_ERROR,
+    merged_sketches,
+    read_sketches,
+    run_sketches,
+)
+from stockflow.operators.zscore import GROUP, flagged, with_zscore, zscore_anomalies
 from stockflow.plans.arima import arima_forecast
 from stockflow.plans.forecasts import (
     baseline_forecast,
@@ -313,6 +322,41 @@ def forecast_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(summary, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+@query("forecast_summary_sketched")
+def forecast_summary_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of single days merged over all days, and whether what they say lies
+    within their errors: shares of rows below each quartile, and distinct times."""
+    forecasts = _day_ahead(spark, folder)
+    day = F.substring("forecast_timestamp", 1, 10)
+    forecasts = materialize(forecasts.withColumn("day", day), "forecasts")
+    daily = materialize(run_sketches(forecasts, ["model_name", "day"]), "sketches")
+    found = read_sketches(merged_sketches(daily, ["model_name"]))
+    rows = forecasts.select(
+        "model_name",
+        "forecast_timestamp",
+        F.explode(
+            F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("v")) for m in MEASURES])
+        ).alias("m"),
+    ).select("model_name", "forecast_timestamp", "m.*")
+    checked = rows.join(F.broadcast(found), ["model_name", "measure"])  # two rows a model
+    within = [
+        (
+            (F.count_if(F.col("v") < F.col(p)) <= (share + RANK_ERROR) * F.count("v"))
+            & (F.count_if(F.col("v") <= F.col(p)) >= (share - RANK_ERROR) * F.count("v"))
+        ).alias(f"{p}_within")
+        for p, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    times = F.count_distinct("forecast_timestamp")
+    close = F.abs(F.first("unique_timestamps") - times) <= TIMES_ERROR * times
+    return checked.groupBy("model_name", "measure").agg(
+        F.first("count").alias("count"),
+        F.first("min").alias("min"),
+        F.first("max").alias("max"),
+        *within,
+        close.alias("times_within"),
+    )
+
+
 @query("decode_le_bytes")
 def decode_le_bytes(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
@@ -372,6 +416,18 @@ def zscore_flags(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_zscore(spark, folder), 6, "score")
 
 
+@query("zscore_anomalies_by_batch")
+def zscore_flags_of_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows from the stored figures of four batches."""
+    forecasts = materialize(A.stand_in_forecasts(_written_hours(spark, folder)), "forecasts")
+    batch = F.pmod(F.xxhash64(*forecasts.columns), F.lit(4))
+    path = new_location(spark, "figures")
+    for number in range(4):
+        judge_new(spark, forecasts.filter(batch == number), path)
+    figures = read_table(spark, path, table_of(GROUP))
+    return rounded(flagged(with_stored_zscore(forecasts, figures)), 6, "score")
+
+
 @query("flagged_per_group")
 def flagged_per_group(spark: SparkSession, folder: str) -> DataFrame:
     scored = with_zscore(A.stand_in_forecasts(_event_hours(spark, folder)))
