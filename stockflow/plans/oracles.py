@@ -742,6 +742,7 @@ for _other, _name in {
     "attach_actuals_stored": "attach_actuals",
     "stream_dedup_by_state": "stream_dedup",
     "zscore_anomalies_by_batch": "zscore_anomalies",
+    "decode_le_bytes_by_version": "decode_le_bytes",
 }.items():
     ORACLES[_other] = ORACLES[_name]
 

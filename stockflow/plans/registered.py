@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockflow.fixed_values import NOT_AVAILABLE, PIPELINE
 from stockflow.functions.numbers import decode_little_endian, encode_little_endian
@@ -44,6 +45,7 @@ from stockflow.plans.grouped_forecasts import trend_seasonal_by_store
 from stockflow.schemas import FORECASTS, INVENTORY
 from stockflow.session import materialize, new_location
 from stockflow.sources import adapters as A
+from stockflow.sources import versions as V
 from stockflow.sources.key_index import new_rows_indexed
 from stockflow.sources.readers import read_table
 from stockflow.sources.updates import fill_stored_actuals, override_stored
@@ -366,6 +368,21 @@ def decode_le_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(decode_little_endian(F.col("actual_quantity")).alias("actual_quantity"))
 
 
+@query("decode_le_bytes_by_version")
+def decode_by_version(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a table whose first half holds bytes and whose second numbers."""
+    number = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
+    lines = A.table(spark, folder, "lineitem")
+    odd = F.col("l_linenumber") % 2 == 1
+    stored = lines.filter(odd).select(encode_little_endian(number).alias("actual_quantity"))
+    path = new_location(spark, "quantities")
+    V.create(spark, path, stored.schema)
+    V.append_version(stored, path)
+    V.change_column_type(spark, path, "actual_quantity", T.LongType())
+    V.append_version(lines.filter(~odd).select(number.alias("actual_quantity")), path)
+    return V.read_versions(spark, path)
+
+
 @query("arima_forecast")
 def arima(spark: SparkSession, folder: str) -> DataFrame:
     forecast = arima_forecast(_event_hours(spark, folder), "window_start")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.operators.ingest import as_messages, new_rows
-from stockflow.operators.joins import first_per_key, join_lookup
+from stockflow.operators.joins import first_per_key
 from stockflow.operators.metrics import PRODUCT_KEY, decode_messages, with_stock_value
 from stockflow.schemas import EVENT_KEY, INVENTORY
 from stockflow.session import materialize, remove, scratch
@@ -208,10 +208,8 @@ def streamed_unique_events(
         with scratch():
             first = materialize(first_per_key(batch, keys, rest), "first")
             stored = read_batches(spark, path, schema).filter(F.col("batch") != number)
-            known = join_lookup(
-                stored.select(*keys), first.select(*keys), keys, "left_semi", null_safe=True
-            )
-            fresh = join_lookup(first, known.distinct(), keys, "left_anti", null_safe=True)
+            # Pruned to the micro-batch's range of time, where that is part of the key.
+            fresh = new_rows(first, stored, keys)
             batch_folders(path)(fresh.select(*schema.names), number)
 
     drain(events, write, checkpoint or progress_of(path))
