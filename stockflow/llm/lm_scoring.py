@@ -322,17 +322,12 @@ def word_counts(least: int, below: int | None):
     return run
 
 
-def train(pieces: DataFrame) -> tuple[Model, DataFrame, int]:
-    """The model of the pieces' training rows without its filter, the table of
-    word counts (piece -1) and levels of each piece's n-grams, and the count from
-    which on words are in the model's table."""
-    spark = pieces.sparkSession
+def train(pieces: DataFrame, n_bytes: int) -> tuple[Model, DataFrame, int]:
+    """The model of the training rows of pieces of ``n_bytes`` without its filter,
+    the table of word counts (piece -1) and levels of each piece's n-grams, and
+    the count from which on words are in the model's table."""
     # By the size of the texts, not by a setting: segments, and so the filter's
     # errors, are the same in every session. Several make a task.
-    size = F.aggregate(
-        "texts", F.lit(0).cast("bigint"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0))
-    )
-    n_bytes = pieces.agg(F.sum(size)).first()[0] or 0
     shards = min(1 << max(n_bytes // SHARD_BYTES, 63).bit_length(), MOST_SHARDS)
     parts = pieces.select("piece", "outs", "texts").mapInArrow(
         counted(shards), "piece bigint, kind int, shard int, keys binary, n binary"
@@ -399,7 +394,8 @@ def score_texts(
         f"piece bigint, ids array<{kind}>, outs array<boolean>, texts array<string>",
     )
     pieces = materialize(pieces, "pieces")
-    model, counts, least = train(pieces)
+    n_bytes = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    model, counts, least = train(pieces, n_bytes)
     # Plain arrays: executors need no class of this package to read them.
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     answers = counts.filter("piece >= 0").select("piece", "kind", "shard", "levels")
