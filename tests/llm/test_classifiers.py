@@ -114,3 +114,68 @@ def test_sparse_sites_stay_near_the_mean(spark):
     few = [v for k, v in site.items() if k not in ("good", "bad")]
     assert site["bad"] < min(few) and max(few) < site["good"]
     assert strength(0.0, 1.0, 10.0, 0.2) > strength(5.0, 1.0, 30.0, 0.2)
+
+
+def test_site_scores_against_all_rows(spark):
+    """Posteriors of hosts and paths by plain sums over lists."""
+    rng = random.Random(6)
+    texts = [" ".join(sentence(rng, 12, 60)) for _ in range(240)]
+    sources = [rng.choice(["a", "b", "c", f"s{i}", None]) for i in range(240)]
+    langs = [rng.choice(["x", "y", None]) for _ in range(240)]
+    rows = [(i, t, g, s, 0) for i, (t, s, g) in enumerate(zip(texts, sources, langs))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = [(i, int(s in ("a", None)) if rng.random() < 0.9 else rng.randrange(2), 0) for i, s in enumerate(sources)]
+    found = {r["doc_id"]: r for r in score_quality(docs, spark.createDataFrame(labels, LABELS)).collect()}
+    p = [found[i]["text_score"] for i in range(240)]
+    hosts, paths = {}, {}
+    for i, key in enumerate(zip(sources, langs)):
+        hosts.setdefault(key[0], []).append(p[i])
+        paths.setdefault(key, []).append(p[i])
+    n, mean = len(p), sum(p) / len(p)
+    variance = mean * (1 - mean)
+    rate = {h: sum(x) / len(x) for h, x in hosts.items()}
+    far = sum(len(x) * (rate[h] - mean) ** 2 for h, x in hosts.items())
+    free = n - sum(len(x) ** 2 for x in hosts.values()) / n - (len(hosts) - 1)
+    strong = strength(far, variance * (len(hosts) - 1), free, variance)
+    host_mean = {h: (sum(x) + strong * mean) / (len(x) + strong) for h, x in hosts.items()}
+    far = expected = weight = 0.0
+    for (h, _), x in paths.items():
+        inside, left = rate[h] * (1 - rate[h]), 1 - len(x) / len(hosts[h])
+        far += len(x) * (sum(x) / len(x) - rate[h]) ** 2
+        expected += inside * left
+        weight += inside * len(x) * left
+    path_strong = strength(far, expected, weight - expected, 1.0)
+    for i, key in enumerate(zip(sources, langs)):
+        site = sum(paths[key]) - p[i] + path_strong * host_mean[key[0]]
+        site /= len(paths[key]) - 1 + path_strong
+        assert found[i]["site_score"] == pytest.approx(site, rel=1e-9)
+        odds = math.log(p[i] / (1 - p[i])) + math.log(site / (1 - site)) - math.log(mean / (1 - mean))
+        assert found[i]["score"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
+
+
+@pytest.mark.parametrize("penalty", [0.0, 3.0])
+def test_penalised_fit_is_the_minimum(penalty):
+    """The fitted weights against the gradient of the whole objective, written densely."""
+    import pyarrow as pa
+
+    from stockflow.llm.text_model import Sparse, fit
+
+    rng = np.random.default_rng(8)
+    own = rng.random((200, 12)) < 0.3
+    other = own.copy()
+    other[:, [2, 3]] = own[:, [3, 2]]  # two groups change places
+    y = (rng.random(200) < 1 / (1 + np.exp(1.5 * own[:, 0] - 2.0 * own[:, 2]))).astype(float)
+
+    def sparse(dense):
+        return Sparse.of(pa.array([np.flatnonzero(r).astype(np.int32).tobytes() for r in dense], pa.binary()), 12)
+
+    weights, intercept = fit(sparse(own), sparse(other), y, penalty, 0.01, 20_000)
+    p = 1 / (1 + np.exp(-(own @ weights + intercept)))
+    change = (own.astype(float) - other) @ weights
+    pairs = max((own.any(1)).sum(), 1)
+    slope = own.T @ (p - y) / 200 + 0.01 * weights
+    slope += 2 * penalty / pairs * (own.astype(float) - other).T @ change
+    assert np.abs(slope).max() < 1e-4 and abs((p - y).mean()) < 1e-4
+    if penalty:
+        plain, _ = fit(sparse(own), sparse(other), y, 0.0, 0.01, 20_000)
+        assert abs(weights[2] - weights[3]) < 0.5 * abs(plain[2] - plain[3])
