@@ -32,7 +32,7 @@ from stockflow.session import new_location
 END = 0  # id appended to every document
 BLOCK = 1 << 14  # ids of a block
 CHUNK = 1 << 17  # ids after which a chunk is closed
-CACHED_WORDS = 300_000  # of each of two generations; about 130 MiB for each worker process
+CACHED_WORDS = 200_000  # of each of two generations; about 60 MiB for each worker process
 LONGEST = 64  # characters of words that are remembered
 # Latin letters, and ASCII marks but the apostrophe: contractions follow a rule of their own.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -137,6 +137,10 @@ class WordEncoder:
         ids = self.known[first] if rest else self.piece(" " + first)
         return ids + b"".join(map(self.inner.__getitem__, rest))
 
+    def rest(self) -> None:
+        """Keep one generation only, while the process waits for its next task."""
+        self.known.old, self.inner.old = {}, {}
+
     def encode(self, text: str) -> bytes:
         self.known, self.inner = self.known.turned(), self.inner.turned()
         if any(token in text for token in self.special):
@@ -251,6 +255,7 @@ def written_chunks(path: str, block: int, chunk: int, bits: bool, level: int):
                     ids.clear()
         if docs:
             yield row(kind)
+        encoder.rest()
 
     return run
 
