@@ -28,11 +28,11 @@ FOLDS, HELD_OUT = 7, 2
 FILTER_BITS = 28  # bits of a filter whose size is not given
 PROBES = 3  # bits of an n-gram and level
 BITS_AN_ENTRY = 10  # of a segment, for every n-gram and level
-SHARD_BYTES = 1 << 23  # of text for each segment of the filter
+SHARD_BYTES = 1 << 22  # of text for each segment of the filter
 MOST_SHARDS = 1 << 16  # segments of the filter at most
 STRENGTH = 50.0  # weight of the word's own probability against the pair's
 TABLE = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MiB
-PIECE = 1 << 23  # bytes of text that are counted and scored together
+PIECE = 1 << 22  # bytes of text that are counted and scored together
 
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end, which also stands before the first word
 PAIR = np.uint64(0x14057B7EF767814F)
