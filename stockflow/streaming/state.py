@@ -15,22 +15,27 @@ from stockflow.streaming.jobs import batch_folders, drain, progress_of, read_bat
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 _PICK = "__pick"
 _SPOT = "__spot"
 
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB; the setting is put back."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    """Streams started inside keep their state in RocksDB, all of an executor's stores
+    within one bound of memory; the settings are put back."""
+    settings = {PROVIDER: ROCKSDB, BOUNDED: "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 class FirstOfKey(StatefulProcessor):
@@ -65,16 +70,34 @@ def one_per_key(keys: list[str]):
     return run
 
 
+def few_per_key(events: DataFrame, keys: list[str]) -> DataFrame:
+    """``events`` with a pick, less most copies of keys that are frequent."""
+    schema = events.withColumn(_PICK, F.lit(0).cast("bigint")).schema
+    picked = events.withColumn(_PICK, F.xxhash64(*events.columns))
+    return picked.mapInArrow(one_per_key(keys), schema)
+
+
+def unique_events(events: DataFrame, keys: list[str] = EVENT_KEY) -> DataFrame:
+    """The stream's first row per key; the keys that were met are Spark's own state.
+
+    Of several rows in the micro-batch that brings a key, the first to reach the
+    state stays. Null key parts are equal. A key is looked up and stored inside
+    Spark, without a call into Python for each.
+    """
+    return few_per_key(events, keys).dropDuplicates(keys).drop(_PICK)
+
+
 def first_events(events: DataFrame, keys: list[str] = EVENT_KEY) -> DataFrame:
     """The stream's first row per key, with a value state for each key.
 
     Of several rows in the micro-batch that brings a key, the one with the
     smallest hash of all columns stays. Null key parts are equal. The stream has
     to be started under ``rocksdb_state``; its state lives in its checkpoint.
+    Every key is a call into Python, about a millisecond: for many keys, and
+    where any row of a key will do, ``unique_events`` does it without.
     """
-    schema = events.withColumn(_PICK, F.lit(0).cast("bigint")).schema
-    picked = events.withColumn(_PICK, F.xxhash64(*events.columns))
-    combined = picked.mapInArrow(one_per_key(keys), schema)
+    combined = few_per_key(events, keys)
+    schema = combined.schema
     first = combined.groupBy(*keys).transformWithState(
         FirstOfKey(), outputStructType=schema, outputMode="append", timeMode="none"
     )
@@ -93,5 +116,5 @@ def unique_events_by_state(
     """
     spark = events.sparkSession
     with rocksdb_state(spark):
-        drain(first_events(events, keys), batch_folders(path), checkpoint or progress_of(path))
+        drain(unique_events(events, keys), batch_folders(path), checkpoint or progress_of(path))
     return read_batches(spark, path, events.schema).drop("batch")

@@ -78,3 +78,31 @@ def test_empty_source(spark, tmp_path):
     put(spark, str(tmp_path / "in"), 0, [])
     found = S.unique_events_by_state(stream(spark, str(tmp_path / "in")), str(tmp_path / "out"))
     assert found.filter(F.lit(True)).count() == 0
+
+
+def test_keys_are_kept_without_a_call_into_python_for_each(spark, tmp_path):
+    source, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    data = events(random.Random(4), 80)
+    put(spark, source, 0, data[:50])
+    put(spark, source, 1, data[50:])
+    S.unique_events_by_state(stream(spark, source), str(tmp_path / "out"), checkpoint=progress)
+    operators = spark.read.format("state-metadata").load(progress).select("operatorName")
+    assert {r[0] for r in operators.collect()} == {"dedupe"}
+    with S.rocksdb_state(spark):
+        state = spark.read.format("statestore").load(progress).select("key.*")
+        assert rows(state) == sorted({(d[0], d[3], d[4]) for d in data}, key=repr)
+    assert spark.conf.get(S.BOUNDED, None) != "true"
+
+
+def test_one_row_of_each_arrow_batch_reaches_the_state(spark, tmp_path):
+    put(spark, str(tmp_path / "in"), 0, [("hot", 1, 1.0, "t", "s", "c")] * 5000)
+    seen = []
+    query = (
+        S.few_per_key(stream(spark, str(tmp_path / "in")), KEY)
+        .writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .foreachBatch(lambda batch, number: seen.append(batch.count()))
+        .start()
+    )
+    query.awaitTermination()
+    assert sum(seen) == 1
