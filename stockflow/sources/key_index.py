@@ -1,10 +1,14 @@
 """Stored keys by file: Bloom filters kept beside a table, so that looking for a
 batch of keys opens only the files that may hold one.
 
-``<table>/_keys`` holds one row per data file: its name, the range of a column
-(the event time) and a Bloom filter of the file's keys, about ten bits each.
-Spark's readers skip folders that begin with an underscore. Files that the
-index does not know are added the next time it is asked.
+``<table>/_keys`` holds one row per data file: its name, its number of rows, the
+range of a column (the event time) and the number of its blocks.
+``<table>/_key_blocks`` holds a Bloom filter for each block of a file's keys, about
+ten bits each; the hash of a key tells its block, so that no filter, and no group
+it is made from, grows with the file. Rows of ``_keys`` without blocks hold the
+filter of the whole file, as they were once written. Spark's readers skip folders
+that begin with an underscore. Files that the index does not know are added the
+next time it is asked.
 """
 
 from __future__ import annotations
@@ -33,8 +37,18 @@ INDEX = T.StructType(
         T.StructField("low", T.StringType()),
         T.StructField("high", T.StringType()),
         T.StructField("bloom", T.BinaryType()),
+        T.StructField("blocks", T.LongType()),
     ]
 )
+BLOCKS = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("blocks", T.LongType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("bloom", T.BinaryType()),
+    ]
+)
+BLOCK_ROWS = 1 << 16  # rows of a file for each of its blocks
 KEY_BITS = 10  # of the filter for each key of a file
 PROBES = 5
 MOST_PROBED = 1 << 20  # keys of a batch that are broadcast (8 MiB) to be looked up in the filters
@@ -44,6 +58,10 @@ def index_path(table: str) -> str:
     return f"{table.rstrip('/')}/_keys"
 
 
+def blocks_path(table: str) -> str:
+    return f"{table.rstrip('/')}/_key_blocks"
+
+
 def key_hash(keys: list[str]) -> Column:
     """One hash for each key; null parts are values like others."""
     return F.xxhash64(*[F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("-")) for k in keys])
@@ -77,23 +95,25 @@ def may_hold(filled: bytes, hashes: np.ndarray) -> bool:
     return bool(passed.any())
 
 
-def filter_of_file(group: pa.Table) -> pa.Table:
-    """The index row of one file, whose keys are as many as a file holds."""
-    hashes = np.unique(group.column("h").to_numpy()).view(np.uint64)
-    times = group.column("time").combine_chunks()
-    known = times.drop_null()
-    low, high = (min(known.to_pylist()), max(known.to_pylist())) if len(known) else (None, None)
-    if times.null_count:  # a file with a missing time may match any range
-        low, high = None, None
-    return pa.table(
-        {
-            "file": group.column("file")[:1],
-            "rows": pa.array([len(group)], pa.int64()),
-            "low": pa.array([low], pa.string()),
-            "high": pa.array([high], pa.string()),
-            "bloom": pa.array([bloom(hashes)], pa.binary()),
-        }
+def filter_of_block(group: pa.Table) -> pa.Table:
+    """The filter of the different hashes of one block, which BLOCK_ROWS bounds."""
+    hashes = group.column("h").to_numpy().view(np.uint64)
+    row = group.select(["file_number", "block"])[:1]
+    return row.append_column("bloom", pa.array([bloom(hashes)], pa.binary()))
+
+
+def block_filters(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The filters of all blocks of ``files``, whose rows are ``rows``.
+
+    Copies of a key fold before they are dealt out by block.
+    """
+    numbers = F.broadcast(files.select("file", "file_number", "blocks"))
+    hashes = rows.join(numbers, "file").select(
+        "file_number", F.pmod("h", "blocks").alias("block"), "h"
     )
+    filters = spread(hashes.distinct(), "file_number", "block").groupBy("file_number", "block")
+    filters = filters.applyInArrow(filter_of_block, "file_number long, block long, bloom binary")
+    return filters.join(numbers, "file_number").select(*BLOCKS.names)
 
 
 def file_name() -> Column:
@@ -131,12 +151,26 @@ def refresh(
         rows = read_files(spark, missing, schema).select(
             file_name().alias("file"), F.col(time).alias("time"), key_hash(keys).alias("h")
         )
-        found = spread(rows, "file").groupBy("file").applyInArrow(filter_of_file, INDEX)
-        found = materialize(found, "filters")
-        # A file without rows has no filter row of its own.
-        written = {row["file"] for row in found.select("file").collect()}
-        rest = [(f, 0, None, None, None) for f in missing if f not in written]
-        append(found.union(spark.createDataFrame(rest, INDEX)), index_path(table), INDEX)
+        # A file with a missing time may match any range.
+        ranged = rows.groupBy("file").agg(
+            F.count("*").alias("rows"),
+            F.when(F.count("time") == F.count("*"), F.min("time")).alias("low"),
+            F.when(F.count("time") == F.count("*"), F.max("time")).alias("high"),
+        )
+        numbers = spark.createDataFrame(list(enumerate(missing)), "file_number long, file string")
+        found = numbers.join(ranged, "file", "left").select(
+            "file_number",
+            "file",
+            F.coalesce("rows", F.lit(0)).alias("rows"),  # of a file without rows
+            "low",
+            "high",
+            F.lit(None).cast("binary").alias("bloom"),
+            F.ceil(F.coalesce("rows", F.lit(0)) / BLOCK_ROWS).alias("blocks"),
+        )
+        found = materialize(found, "files")
+        # A file is known once its row is there, after its blocks.
+        append(block_filters(rows.drop("time"), found), blocks_path(table), BLOCKS)
+        append(found, index_path(table), INDEX)
         discard(found)
     current = spark.createDataFrame([(f,) for f in files], "file string")
     index = read_table(spark, index_path(table), INDEX)
@@ -144,33 +178,44 @@ def refresh(
 
 
 def files_that_may_hold(
-    index: DataFrame, arriving: DataFrame, keys: list[str], time: str, most: int = MOST_PROBED
+    index: DataFrame,
+    blocks: DataFrame,
+    arriving: DataFrame,
+    keys: list[str],
+    time: str,
+    most: int = MOST_PROBED,
 ) -> list[str]:
     """Files of ``index`` that may hold a key of ``arriving``.
 
     Files outside the batch's range of ``time`` go first, then those whose
-    filter no key passes. Beyond ``most`` keys the range alone decides.
+    filters no key passes. Beyond ``most`` keys the range alone decides.
     """
     spark = index.sparkSession
-    low, high, missing = arriving.agg(
-        F.min(time), F.max(time), F.count_if(F.col(time).isNull())
-    ).first()
+    hashes = arriving.select(time, key_hash(keys).alias("h"))
+    low, high, about = hashes.agg(F.min(time), F.max(time), F.approx_count_distinct("h")).first()
     near = index.filter("rows > 0")
     in_range = F.col("low").isNull() | ((F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high)))
     if low is None:
         in_range = F.col("low").isNull()
     near = near.filter(in_range)  # rows without a time are in files without a range
-    hashes = arriving.select(key_hash(keys).alias("h")).distinct()
-    if hashes.limit(most + 1).count() > most:
+    hashes = hashes.select("h").distinct()
+    if about > 2 * most or hashes.limit(most + 1).count() > most:
         return sorted(row["file"] for row in near.select("file").collect())
-    held = spark.sparkContext.broadcast(hashes.toArrow()["h"].to_numpy().view(np.uint64))
+    held = spark.sparkContext.broadcast(hashes.toArrow()["h"].to_numpy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            passed = [may_hold(b.as_py(), held.value) for b in batch.column("bloom")]
+            passed = []
+            for row in batch.select(["blocks", "block", "bloom"]).to_pylist():
+                here = held.value[np.mod(held.value, row["blocks"]) == row["block"]]
+                passed.append(may_hold(row["bloom"], here.view(np.uint64)))
             yield batch.select(["file"]).filter(pa.array(passed, pa.bool_()))
 
-    found = near.select("file", "bloom").mapInArrow(run, "file string")
+    whole = near.filter("blocks is null").select(
+        "file", F.lit(1).alias("blocks"), F.lit(0).alias("block"), "bloom"
+    )
+    filters = join_lookup(blocks, near.select("file"), ["file"], "left_semi").union(whole)
+    found = filters.mapInArrow(run, "file string").distinct()
     return sorted(row["file"] for row in found.collect())
 
 
@@ -188,8 +233,8 @@ def new_rows_indexed(
     """
     spark = incoming.sparkSession
     index = refresh(spark, table, schema, keys, time)
-    arriving = materialize(incoming.select(*keys).distinct(), "arriving")
-    files = files_that_may_hold(index, arriving, keys, time)
+    blocks = read_table(spark, blocks_path(table), BLOCKS)
+    files = files_that_may_hold(index, blocks, incoming.select(*keys), keys, time)
     stored = read_files(spark, files, schema)
     return new_rows(incoming, stored, keys, prune_on=time, **options), files
 

@@ -97,3 +97,45 @@ def test_no_table_yet(spark, tmp_path):
     batch = spark.createDataFrame(events(random.Random(4), 5, null=0), INVENTORY)
     found, files = K.new_rows_indexed(batch, str(tmp_path / "none"))
     assert rows(found) == rows(batch) and files == []
+
+
+def test_filters_and_their_groups_do_not_grow_with_the_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK_ROWS", 500)
+    path = str(tmp_path / "t")
+    data = [(f"P{i}", 1, 1.0, "2025-01-01T08:00:00Z", "Oslo", "c") for i in range(12_000)]
+    # Copies of a key are one key of its block, and a file of one key has one block with any.
+    table_of(spark, path, [data + data[:1] * 3000, data[7:8] * 2000])
+    fresh, files = K.new_rows_indexed(spark.createDataFrame([("Z", *data[0][1:]), data[7]], INVENTORY), path)
+    assert [r[0] for r in rows(fresh)] == ["Z"] and len(files) == 2
+    blocks = readers.read_table(spark, K.blocks_path(path), K.BLOCKS).collect()
+    counts = {}
+    for row in blocks:
+        counts.setdefault((row["file"], row["blocks"]), []).append(row["block"])
+        assert len(row["bloom"]) <= 1024  # 8,192 bits: at most 819 keys
+    assert sorted((n, len(set(found)), len(found)) for (_, n), found in counts.items()) == [(4, 1, 1), (30, 30, 30)]
+
+
+@pytest.mark.parametrize("blocked", [False, True])
+def test_rows_of_an_index_by_file_stay_in_use(spark, tmp_path, blocked):
+    path = str(tmp_path / "t")
+    table_of(spark, path, [[(f"P{i}", 1, 1.0, "2025", "Oslo", "c") for i in range(40)]])
+    (file,) = K.stored_files(spark, path, INVENTORY)
+    if not blocked:
+        stored = readers.read_table(spark, path, INVENTORY)
+        hashes = stored.select(K.key_hash(EVENT_KEY).alias("h")).toArrow()["h"].to_numpy().view(np.uint64)
+        old = spark.createDataFrame([(file, 40, "2025", "2025", K.bloom(hashes))], "file string, rows long, low string, high string, bloom binary")
+        old.write.parquet(K.index_path(path))
+    batch = [("P7", 1, 1.0, "2025", "Oslo", "c"), ("Z", 1, 1.0, "2025", "Oslo", "c")]
+    fresh, files = K.new_rows_indexed(spark.createDataFrame(batch, INVENTORY), path)
+    assert [r[0] for r in rows(fresh)] == ["Z"] and files == [file]
+    assert K.new_rows_indexed(spark.createDataFrame(batch[1:], INVENTORY), path)[1] == []
+    blocks = readers.read_table(spark, K.blocks_path(path), K.BLOCKS)
+    assert blocks.count() == (1 if blocked else 0)
+
+
+def test_a_file_without_rows_is_known(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table_of(spark, path, [[], [("P1", 1, 1.0, "2025", "Oslo", "c")]])
+    index = K.refresh(spark, path)
+    assert sorted((r["rows"], r["blocks"]) for r in index.collect()) == [(0, 0), (1, 1)]
+    assert K.refresh(spark, path).count() == readers.read_table(spark, K.index_path(path), K.INDEX).count() == 2
