@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.functions.text import batch_number
-from stockflow.operators.joins import join_lookup
+from stockflow.operators.joins import BROADCAST_BYTES, join_lookup, measured_bytes, row_bytes
 from stockflow.schemas import EVENT_KEY, INVENTORY
 from stockflow.session import materialize
 
@@ -23,22 +23,35 @@ def new_rows(
     """Incoming rows whose key is not stored yet; null key parts match nulls.
 
     The stored side, which may be huge, is read only within the incoming range
-    of ``prune_on`` (pushed to the scan), and filtered by the incoming keys: as
-    long as those fit a broadcast it is never shuffled. Copies inside the
+    of ``prune_on`` (pushed to the scan). As long as the incoming keys fit a
+    broadcast it is filtered by them and never shuffled; beyond that each side is
+    dealt out by key, the stored one as its different keys. Copies inside the
     incoming batch stay unless ``dedupe_within`` is set.
     """
-    if dedupe_within:
-        incoming = incoming.dropDuplicates(keys)
-    arriving = materialize(incoming.select(*keys).distinct(), "arriving")
     stored = existing.select(*keys)
+    batch = incoming.select(*keys)
+    low, high, different, size = batch.agg(
+        F.min(prune_on) if prune_on in keys else F.lit(None),
+        F.max(prune_on) if prune_on in keys else F.lit(None),
+        F.approx_count_distinct(F.xxhash64(*keys)) / F.nullif(F.count("*"), F.lit(0)),
+        F.sum(row_bytes(batch)),
+    ).first()
     if prune_on in keys:
-        low, high = arriving.agg(F.min(prune_on), F.max(prune_on)).first()
         in_range = F.col(prune_on).between(F.lit(low), F.lit(high))
         stored = stored.filter(in_range | F.col(prune_on).isNull())
-    known = join_lookup(
-        stored, arriving, keys, "left_semi", null_safe=True, written=True, **lookup
-    ).distinct()
-    return join_lookup(incoming, known, keys, "left_anti", null_safe=True, **lookup)
+    limit = lookup.get("broadcast_bytes", BROADCAST_BYTES)
+    if (size or 0) * (different or 0) <= limit:
+        arriving = materialize(batch.distinct(), "arriving")
+        stored = join_lookup(
+            stored, arriving, keys, "left_semi", null_safe=True, written=True, **lookup
+        )
+        known = {}
+    else:
+        known = {"size": measured_bytes(stored)}  # with copies: at least that of the keys
+    fresh = join_lookup(
+        incoming, stored.distinct(), keys, "left_anti", null_safe=True, **known, **lookup
+    )
+    return fresh.dropDuplicates(keys) if dedupe_within else fresh
 
 
 def as_messages(events: DataFrame) -> DataFrame:

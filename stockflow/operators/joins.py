@@ -8,7 +8,7 @@ partitions, their few lookup rows repeated for each.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +17,12 @@ from stockflow.session import materialize
 BROADCAST_BYTES = 32 * 1024 * 1024
 FREQUENT_SHARE = 0.002
 _KEY = "__key"
+_HASH = "__hash"
 _SALT = "__salt"
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size of ``df``, from its actual rows."""
+def row_bytes(df: DataFrame) -> Column:
+    """Upper estimate of the in-memory size of each row of ``df``."""
     width = F.lit(0)
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType | T.BinaryType):
@@ -31,7 +32,12 @@ def measured_bytes(df: DataFrame) -> int:
             width = width + F.coalesce(F.octet_length(text), F.lit(0)) + 32
         else:
             width = width + 16
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return width.cast("bigint")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of the in-memory size of ``df``, from its actual rows."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def frequent_keys(df: DataFrame, keys: list[str], share: float = FREQUENT_SHARE) -> list[int]:
@@ -52,17 +58,21 @@ def join_lookup(
     *,
     null_safe: bool = False,
     written: bool = False,
+    size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``big`` to ``lookup``, which must have one row per key.
 
     ``how`` is inner, left, left_semi or left_anti. With ``null_safe`` a null
     key part matches a null key part. The lookup side is evaluated once, here,
-    unless it is a ``written`` table already.
+    unless it is a ``written`` table already, or its ``size`` has been measured
+    and only the join reads it.
     """
-    if not written:
-        lookup = materialize(lookup, "lookup")
-    fits = measured_bytes(lookup) <= broadcast_bytes
+    if size is None:
+        if not written:
+            lookup = materialize(lookup, "lookup")
+        size = measured_bytes(lookup)
+    fits = size <= broadcast_bytes
     columns = big.columns + [
         c for c in lookup.columns if c not in keys and how not in ("left_semi", "left_anti")
     ]
@@ -71,10 +81,13 @@ def join_lookup(
         big, lookup = _spread_frequent(big, lookup, keys)
         on.append(_SALT)
     if null_safe:
-        # Structs compare field by field with null equal to null.
-        big = big.withColumn(_KEY, F.struct(*on))
-        lookup = lookup.withColumn(_KEY, F.struct(*on)).drop(*on)
-        on = [_KEY]
+        # Structs compare field by field with null equal to null. Behind a hash a sort
+        # rarely compares them.
+        key, hashed = F.struct(*on), F.xxhash64(*on)
+        big = big.withColumns({_KEY: key, _HASH: hashed})
+        lookup = lookup.withColumns({_KEY: key, _HASH: hashed}).drop(*on)
+        on = [_KEY] if fits else [_HASH, _KEY]
+        lookup = lookup.drop(_HASH) if fits else lookup
     if fits:
         lookup = F.broadcast(lookup)
     return big.join(lookup, on, how).select(*columns)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stockflow.operators import joins
+from stockflow.operators import ingest, joins
 from stockflow.operators.ingest import new_rows, next_batch_number, product_batch_id
 from stockflow.operators.quantiles import exact_percentiles, kth_smallest
 from stockflow.operators.sampling import apply_overrides, outlier_overrides, sample_exact
@@ -103,6 +103,32 @@ def test_first_load_takes_everything(spark):
     assert new_rows(incoming, inventory(spark)).count() == 2
 
 
+def test_large_batches_are_dealt_out_once(spark, monkeypatch):
+    data = [(f"P{i}" if i % 9 else None, i, 1.0, f"2025-01-{i % 28 + 1:02}", "Oslo", "c") for i in range(300)]
+    data += [("hot", 1, 1.0, None, "s", "c")] * 200 + [("warm", 1, 1.0, "2025-01-03", None, "c")] * 200
+    incoming = spark.createDataFrame(data, INVENTORY).repartition(5)
+    existing = spark.createDataFrame(data[:150] * 2 + data[300:500], INVENTORY).repartition(3)
+    written = []
+    for module in (ingest, joins):
+        keep = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, label, keep=keep: written.append(label) or keep(df, label))
+    found = new_rows(incoming, existing, broadcast_bytes=0)
+    # No key of either side is written first, and a sort meets the hash before the key.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert written == [] and plan.count("Join") == 1 and "__hash" in plan
+    known = {(d[0], d[3], d[4]) for d in data[:150] + data[300:500]}
+    expected = [d for d in data if (d[0], d[3], d[4]) not in known]
+    assert rows(found) == sorted(expected, key=repr) and ("warm", 1, 1.0, "2025-01-03", None, "c") in expected
+
+
+@SIZES
+def test_no_new_rows_of_an_empty_batch(spark, broadcast_bytes):
+    nothing = spark.createDataFrame([], INVENTORY)
+    stored = spark.createDataFrame([("P", 1, 1.0, "t", "s", "c")], INVENTORY)
+    assert new_rows(nothing, stored, broadcast_bytes=broadcast_bytes).count() == 0
+    assert new_rows(nothing, stored, prune_on="", broadcast_bytes=broadcast_bytes).count() == 0
+
+
 def test_next_batch_number(spark):
     ids = spark.createDataFrame([("P001-B3",), ("P002-B12",), ("P9",), (None,)], "product_id string")
     assert next_batch_number(ids).first()[0] == 13
