@@ -36,7 +36,7 @@ CROWD = 1 << 14  # different stretches of one hash beyond which its windows are
 CHUNK = 1 << 20  # bytes of text hashed at once
 PIECE = 1 << 20  # hashes that a task combines before it hands them on
 BLOCK = 1 << 22  # bytes of stretches whose suffixes are sorted at once
-LONGEST = 1 << 12  # windows of a stretch
+LONGEST = 1 << 6  # windows of a stretch, or as many as a window has bytes
 NO_ID = -(1 << 63)  # stands for a null id, which comes before all others
 
 _ODD = 0x9E3779B97F4A7C15
@@ -112,11 +112,14 @@ def stretches(data: np.ndarray, cuts: np.ndarray, length: int, gram: int):
     first[beyond[(beyond >= 0) & (beyond < n)]] = True
     starts = np.flatnonzero(first)
     sizes = np.diff(starts, append=n)
-    long = -(-sizes // LONGEST)
+    # Only text that repeats itself makes longer ones. Short pieces of it are mostly
+    # equal, and bound how many bytes two suffixes have in common.
+    most = max(LONGEST, length)
+    long = -(-sizes // most)
     if len(long) and long.max() > 1:
         turn = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
-        starts = np.repeat(starts, long) + turn * LONGEST
-        sizes = np.minimum(np.repeat(sizes, long) - turn * LONGEST, LONGEST)
+        starts = np.repeat(starts, long) + turn * most
+        sizes = np.minimum(np.repeat(sizes, long) - turn * most, most)
     rows = np.searchsorted(cuts, starts, "right") - 1
     inside = starts + length <= cuts[rows + 1]
     starts = starts[inside]

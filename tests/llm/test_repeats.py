@@ -99,6 +99,22 @@ def test_stretches_hold_every_window_once(length, gram, monkeypatch):
     ]
 
 
+def test_text_that_repeats_itself_folds():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = ["s onhe. I" * rng.randrange(10, 800) + "x" * rng.randrange(9) for _ in range(150)]
+    different, sizes = set(), 0
+    for _, _, data, cuts in R.chunks(pa.array(texts), 50):
+        for _, start, n, _ in zip(*R.stretches(data, cuts, 50, 20)):
+            different.add(data[start : start + n + 49].tobytes())
+            sizes += n
+    assert sizes == sum(len(t) - 49 for t in texts)
+    # A suffix has at most that many bytes in common with another one.
+    assert max(map(len, different)) < 128
+    assert sum(map(len, different)) < sum(map(len, texts)) / 5
+
+
 def corpus(rng):
     passages = ["".join(rng.choices("abcdef ", k=rng.randrange(20, 160))) for _ in range(12)]
     texts = [None, "", "x" * 49, "y" * 5000, "y" * 4000 + "z"]
