@@ -24,6 +24,8 @@ SAMPLE_ROWS = 40_000  # labelled rows a model is trained on, at most about this
 FEATURES = 8192  # features a model keeps, those with the largest z-scores
 LEAST_Z = 4.0
 LEAST_ROWS = 4  # sampled rows that a feature must occur in
+SPLIT_ROWS = 512  # texts whose features a task holds at once
+COUNTED_ROWS = 2048  # the same where it counts them
 SLOT_BITS = 22
 _ROW = np.uint64(0x9FB21C651E98DF25)
 
@@ -122,77 +124,69 @@ def labelled_texts(
     return texts.join(F.broadcast(labels), "id").select("y", "t")
 
 
-def features_of(swap=None, shapes: bool = False):
-    """Task function: features of each text, and of its counterfactual if any."""
+def features_of(
+    batches: Iterator[pa.RecordBatch], swap, shapes: bool, rows: int
+) -> Iterator[tuple[pa.Array, list[np.ndarray], dict[int, np.ndarray]]]:
+    """Labels, features of each text, and by row those of its counterfactual where
+    that differs: texts that mention nothing are their own."""
+    splitter = splitter_for(shapes)
+    for batch in small(batches, rows):
+        texts = batch.column(1)
+        own, at, swapped = feature_sets(texts, splitter), [], []
+        if swap:
+            for i, text in enumerate(texts):
+                plain = text.as_py() or ""
+                other = swap(plain)
+                if other != plain:
+                    at.append(i)
+                    swapped.append(other)
+        moved = feature_sets(pa.array(swapped, pa.string()), splitter)
+        yield batch.column(0), own, dict(zip(at, moved, strict=True))
+
+
+def feature_counts(swap, shapes: bool):
+    """Task function: rows and positive rows of each feature, and the features that
+    a counterfactual takes from a text or gives it."""
+
+    def counted(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        joined = np.concatenate(values) if values else np.zeros(0, np.uint64)
+        return np.unique(joined, return_counts=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = splitter_for(shapes)
-        for batch in small(batches):
-            texts = batch.column(1)
-            own = feature_sets(texts, splitter)
-            # Null for texts that mention nothing: those are their own counterfactual.
-            other: list[bytes | None] = [None] * len(own)
-            if swap:
-                plain = [t or "" for t in texts.to_pylist()]
-                swapped = [swap(t) for t in plain]
-                at = [i for i, (a, b) in enumerate(zip(plain, swapped, strict=True)) if a != b]
-                moved = feature_sets(pa.array([swapped[i] for i in at], pa.string()), splitter)
-                for i, keys in zip(at, moved, strict=True):
-                    other[i] = keys.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), packed(own), pa.array(other, pa.binary())],
-                ["y", "own", "other"],
-            )
+        for labels, own, other in features_of(batches, swap, shapes, COUNTED_ROWS):
+            keys, n = counted(own)
+            some, count = counted([k for k, y in zip(own, labels.to_pylist(), strict=True) if y])
+            positive = np.zeros(len(keys), np.int64)
+            positive[np.searchsorted(keys, some)] = count
+            moved = counted([np.setxor1d(own[i], keys) for i, keys in other.items()])[0]
+            none = np.zeros(len(moved), np.int64)
+            for columns in ((keys, positive, n, False), (moved, none, none, True)):
+                hashes, positives, all_, swapped = columns
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes.view(np.int64)),
+                        pa.array(positives),
+                        pa.array(all_),
+                        pa.array(np.full(len(hashes), swapped)),
+                    ],
+                    ["feature", "positive", "n", "swapped"],
+                )
 
     return run
 
 
-def feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small(batches, 2048):
-        if not batch.num_rows:
-            continue
-        own = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column("own")]
-        other = [
-            np.frombuffer(b.as_buffer(), np.uint64) if b.is_valid else a
-            for a, b in zip(own, batch.column("other"), strict=True)
-        ]
-        y = np.repeat(batch.column("y").to_numpy(), [len(k) for k in own])
-        keys, at = np.unique(np.concatenate(own), return_inverse=True)
-        moved = [np.setxor1d(a, b) for a, b in zip(own, other, strict=True)]
-        moved = np.unique(np.concatenate(moved)).astype(np.int64)
-        for hashes, positive, all_, swapped in (
-            (keys.astype(np.int64), np.bincount(at, y, len(keys)), np.bincount(at), False),
-            (moved, np.zeros(len(moved)), np.zeros(len(moved)), True),
-        ):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes),
-                    pa.array(positive.astype(np.int64)),
-                    pa.array(all_.astype(np.int64)),
-                    pa.array(np.full(len(hashes), swapped)),
-                ],
-                ["feature", "positive", "n", "swapped"],
-            )
-
-
-def kept_features(chosen):
+def kept_features(chosen, swap, shapes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def places(blob) -> np.ndarray:
-            keys = np.frombuffer(blob.as_buffer(), np.uint64)
+        def places(keys: np.ndarray) -> np.ndarray:
             at = np.searchsorted(chosen.value, keys)
             at[at == len(chosen.value)] = 0
-            return at[chosen.value[at] == keys].astype(np.int32) if len(at) else at
+            return at[chosen.value[at] == keys].astype(np.int32)
 
-        for batch in small(batches):
-            pairs = zip(batch.column("own"), batch.column("other"), strict=True)
-            both = [(places(a), places(b) if b.is_valid else None) for a, b in pairs]
+        for labels, own, other in features_of(batches, swap, shapes, SPLIT_ROWS):
+            kept = [places(keys) for keys in own]
+            moved = [places(other[i]) if i in other else keys for i, keys in enumerate(kept)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("y"),
-                    packed([a for a, _ in both]),
-                    packed([a if b is None else b for a, b in both]),
-                ],
-                ["y", "own", "other"],
+                [labels, packed(kept), packed(moved)], ["y", "own", "other"]
             )
 
     return run
@@ -215,17 +209,15 @@ def train(
     the model is a constant.
     """
     spark = sample.sparkSession
-    rows = sample.select("y", "t").mapInArrow(
-        features_of(swap, shapes), "y int, own binary, other binary"
-    )
-    rows = materialize(rows, "features")
+    # The texts, which two passes read: their features are several times as large.
+    rows = materialize(sample.select("y", "t"), "sample")
     n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     rate = (positive + 0.5) / (n + 1)
     if not 0 < positive < n:
         base = float(np.log(rate / (1 - rate)))
         return Model(np.zeros(1, np.uint64), np.zeros(1), base)
     counts = rows.mapInArrow(
-        feature_counts, "feature bigint, positive bigint, n bigint, swapped boolean"
+        feature_counts(swap, shapes), "feature bigint, positive bigint, n bigint, swapped boolean"
     )
     counts = counts.groupBy("feature").agg(
         F.sum("positive").alias("positive"), F.sum("n").alias("n"), F.max("swapped").alias("swapped")
@@ -237,7 +229,9 @@ def train(
     if not len(features):
         return Model(np.zeros(1, np.uint64), np.zeros(1), float(np.log(rate / (1 - rate))))
     shared = spark.sparkContext.broadcast(features)
-    table = rows.mapInArrow(kept_features(shared), "y int, own binary, other binary")
+    table = rows.mapInArrow(
+        kept_features(shared, swap, shapes), "y int, own binary, other binary"
+    )
     table = (table if swap else table.drop("other")).toArrow()
     y = table["y"].to_numpy().astype(float)
     own = Sparse.of(table["own"], len(features))

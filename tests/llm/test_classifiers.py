@@ -179,3 +179,25 @@ def test_penalised_fit_is_the_minimum(penalty):
     if penalty:
         plain, _ = fit(sparse(own), sparse(other), y, 0.0, 0.01, 20_000)
         assert abs(weights[2] - weights[3]) < 0.5 * abs(plain[2] - plain[3])
+
+
+def test_the_sample_is_stored_as_text(spark, monkeypatch):
+    from stockflow.llm import text_model as T
+
+    stored, write = {}, T.materialize
+    monkeypatch.setattr(
+        T, "materialize", lambda df, label: stored.setdefault(label, write(df, label))
+    )
+    docs, labels, n = biased(spark)
+    score_toxicity(docs, labels)
+    # A text's features, of 8 bytes each, would be several times as large.
+    texts = docs.filter(f"doc_id < {n}").select("text").collect()
+    texts = sum(len(r[0].encode()) for i, r in enumerate(texts) if not held(i))
+    size = sum(
+        len(v.encode() if isinstance(v, str) else v or b"")
+        for table in stored.values()
+        for row in table.collect()
+        for v in row
+        if not isinstance(v, int)
+    )
+    assert 0 < size <= texts
