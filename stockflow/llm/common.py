@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.session import materialize
 
 ROW = "__row"
+WORDS_A_CHUNK = 1 << 14  # of a Bloom filter: 64 KiB
 
 
 def numbered(df: DataFrame, label: str) -> DataFrame:
@@ -35,11 +37,34 @@ def packed(values: list[np.ndarray]) -> pa.Array:
     return pa.array([v.tobytes() for v in values], pa.binary())
 
 
+def filled_chunks(width: int):
+    """Task function: the chunks of a Bloom filter from its words, compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word = batch.column("word").to_numpy()
+            found = batch.column("set").to_numpy().astype(np.uint32)
+            for chunk in np.unique(word // width).tolist():
+                own = word // width == chunk
+                if chunk not in chunks:
+                    chunks[chunk] = np.zeros(width, np.uint32)
+                chunks[chunk][word[own] % width] = found[own]
+        for chunk, words in chunks.items():
+            blob = zstandard.compress(words.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([blob], pa.binary())], ["chunk", "words"]
+            )
+
+    return run
+
+
 def bitmap(keys: DataFrame, column: str, bits: int, probes: int = 1) -> np.ndarray:
     """Bloom filter of ``2 ** bits`` bits with ``probes`` bits for each 64-bit key.
 
     Its size does not depend on the number of keys; with many keys it lets
-    more strangers through, so whoever uses it has to join afterwards.
+    more strangers through, so whoever uses it has to join afterwards. The
+    driver gets it as compressed chunks.
     """
     turned = [
         F.shiftleft(F.col(column), 13 * turn).bitwiseOR(
@@ -54,10 +79,14 @@ def bitmap(keys: DataFrame, column: str, bits: int, probes: int = 1) -> np.ndarr
         .select(F.shiftrightunsigned("h", 64 - bits).alias("slot"))
         .groupBy(F.shiftright("slot", 5).alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("set"))
-        .toArrow()
     )
     filled = np.zeros(1 << (bits - 5), np.uint32)
-    filled[words["word"].to_numpy()] = words["set"].to_numpy().astype(np.uint32)
+    width = min(WORDS_A_CHUNK, len(filled))
+    parts = words.repartition(F.floor(F.col("word") / width))
+    table = parts.mapInArrow(filled_chunks(width), "chunk bigint, words binary").toArrow()
+    for chunk, blob in zip(table["chunk"], table["words"], strict=True):
+        own = np.frombuffer(zstandard.decompress(blob.as_py()), np.uint32)
+        filled[chunk.as_py() * width :][:width] = own
     return filled
 
 

@@ -234,6 +234,7 @@ def decontaminate(
         ),
         "words",
     )
+    known.destroy()
     met = counted.filter(F.octet_length("records") > 0).select(ROW, "records")
     met = met.mapInArrow(unpacked(width), f"{ROW} bigint, at bigint, f bigint, doc_words binary")
     # Items with the same surroundings are compared once.

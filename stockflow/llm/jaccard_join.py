@@ -347,11 +347,13 @@ def jaccard_groups(
         ),
         "prefixes",
     )
+    levels.destroy()
     shared = tokens.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     shared = materialize(shared.filter("low != high").select("token"), "shared")
     filled = spark.sparkContext.broadcast(bitmap(shared, "token", FILTER_BITS, PROBES))
     near = tokens.mapInArrow(passing(filled), tokens.schema).join(shared, "token", "left_semi")
     near = materialize(near.distinct(), "near")
+    filled.destroy()
     discard(tokens, shared)
     active = near.groupBy("class").agg(F.count("*").alias("shared"), F.max("least").alias("least"))
     active = active.filter("shared >= least").select("class")
@@ -376,6 +378,7 @@ def jaccard_groups(
     )
     sets = sets.groupBy("class").agg(F.any_value("tokens").alias("tokens"))
     sets = materialize(sets.join(known, "class"), "sets")
+    chosen.destroy()
 
     # Groups: classes that link with the same leader.
     zero, one = F.lit(0), F.lit(1)
