@@ -13,6 +13,7 @@ order of shingles, and rare ones come first in this order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ CELLS_A_ROW = 1 << 16
 LEVELS = 8  # levels of frequency for each doubling
 FILTER_BITS, PROBES = 26, 4  # Bloom filters of shingles and classes met: 8 MiB each
 GROUP_TOKENS = 1 << 18  # shingles of a group's part, summed over its members
+LOOKUP_BYTES = 8 << 20  # of a broadcast table; the driver holds it several times over
 QUERIES_A_PART = 2048  # classes held against one part at a time
 
 
@@ -328,6 +330,7 @@ def jaccard_groups(
     if not 0 < percent <= 100:
         raise ValueError("percent lies within 1 and 100")
     spark = docs.sparkSession
+    lookup = partial(join_lookup, broadcast_bytes=LOOKUP_BYTES)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     rows = numbered(
@@ -371,7 +374,7 @@ def jaccard_groups(
         F.ceil(F.count("*") / QUERIES_A_PART).alias("splits")
     )
     others = materialize(others, "splits")
-    known = join_lookup(pairs, others, ["leader"], "left", written=True)
+    known = lookup(pairs, others, ["leader"], "left", written=True)
     known = known.join(others.toDF("class", "leads"), "class", "left")
     sets = texts.select("t").mapInArrow(
         chosen_sets(shingle, chosen), "class bigint, tokens binary"
@@ -410,13 +413,13 @@ def jaccard_groups(
         "members",
     )
     parts = member.groupBy("group").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("parts"))
-    member = join_lookup(member, parts, ["group"])
+    member = lookup(member, parts, ["group"])
     part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
     member = materialize(member.select("class", "group", "root", part.alias("part")), "parts")
 
     # Which classes meet which groups, by the shingles of their prefixes.
     first = met
-    met = join_lookup(met.select("token", "class", "n", "in_index"), member, ["class"])
+    met = lookup(met.select("token", "class", "n", "in_index"), member, ["class"])
     met = materialize(met, "met")
     discard(first)
     index = met.filter("in_index").groupBy("token", "group", "part")
@@ -436,10 +439,10 @@ def jaccard_groups(
         F.ceil(F.count("*") / QUERIES_A_PART).cast("int").alias("splits")
     )
     splits = materialize(splits, "splits")
-    queries = join_lookup(asked, splits, ["group", "part"], written=True).select(
+    queries = lookup(asked, splits, ["group", "part"], written=True).select(
         "class", "group", "part", turn("class", F.col("splits")).alias("turn"), zero.alias("role")
     )
-    held = join_lookup(member, splits, ["group", "part"], written=True).select(
+    held = lookup(member, splits, ["group", "part"], written=True).select(
         "class",
         "group",
         "part",
@@ -447,7 +450,7 @@ def jaccard_groups(
         one.alias("role"),
     )
     # A class may ask many groups; its set is joined to all its rows at once.
-    wanted = join_lookup(queries.union(held), sets.select("class", "tokens"), ["class"], written=True)
+    wanted = lookup(queries.union(held), sets.select("class", "tokens"), ["class"], written=True)
     links = wanted.groupBy("group", "part", "turn").applyInArrow(
         opened(percent), "a bigint, b bigint"
     )
@@ -462,8 +465,8 @@ def jaccard_groups(
     classes = materialize(classes.filter("rows > 1 or root is not null"), "classes")
     key = F.coalesce("root", "class").alias("root")
     least = classes.groupBy(key).agg(F.min("least").alias("component_id"))
-    named = join_lookup(classes.select("class", key), least, ["root"]).drop("root")
-    out = join_lookup(sized, named, ["class"], "left")
+    named = lookup(classes.select("class", key), least, ["root"]).drop("root")
+    out = lookup(sized, named, ["class"], "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),

@@ -7,6 +7,7 @@ from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from stockflow.llm import common as C
+from stockflow.llm import jaccard_join as J
 from stockflow.llm.decontamination import decontaminate
 from stockflow.llm.jaccard_join import jaccard_groups
 
@@ -52,3 +53,16 @@ def test_filters_go_once_they_are_used(spark, monkeypatch):
     # Nothing lazy reads them.
     assert sorted(r.component_id for r in groups.collect()) == [1, 1, 3]
     assert sorted(r.n_hit for r in found.collect()) == [0, 13, 13]
+
+
+def test_large_lookups_of_the_join_are_not_broadcast(spark, monkeypatch):
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join(words[n % 3 :]) for n in range(9)] + ["some other words", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = sorted(map(tuple, jaccard_groups(docs).collect()))
+    monkeypatch.setattr(J, "LOOKUP_BYTES", 0)
+    groups = jaccard_groups(docs)
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    assert sorted(map(tuple, groups.collect())) == expected
+    assert [r[2] for r in expected] == [0] * 9 + [9, 10]
