@@ -20,9 +20,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import ROW, held_out, numbered, packed
+from stockflow.llm.common import ROW, held_out, numbered, packed, small
 from stockflow.llm.words import NOT_SPACE, Splitter, Words, mix
-from stockflow.session import discard, materialize
+from stockflow.session import arrow_batches, discard, materialize
 
 FOLDS, HELD_OUT = 7, 2
 FILTER_BITS = 28  # bits of a filter whose size is not given
@@ -33,6 +33,8 @@ MOST_SHARDS = 1 << 16  # segments of the filter at most
 STRENGTH = 50.0  # weight of the word's own probability against the pair's
 TABLE = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MiB
 PIECE = 1 << 22  # bytes of text that are counted and scored together
+BATCH = 1 << 22  # bytes of rows that the JVM hands to Python at once
+BATCHES = 8  # in which a piece's n-grams of a kind go back
 
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end, which also stands before the first word
 PAIR = np.uint64(0x14057B7EF767814F)
@@ -54,16 +56,32 @@ def pairs(seq: np.ndarray) -> np.ndarray:
         return mix(before * np.uint64(0x9E3779B97F4A7C15) + seq) ^ PAIR
 
 
+def compressed(batches: list[pa.RecordBatch]) -> bytes:
+    """Rows as an Arrow stream with zstandard buffers."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, batches[0].schema, options=options) as stream:
+        for batch in batches:
+            stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def opened(blob: pa.BinaryScalar) -> list[pa.ChunkedArray]:
+    """Ids, whether held out, and texts of a piece's rows."""
+    return pa.ipc.open_stream(blob.as_buffer()).read_all().columns
+
+
 def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: rows of about ``PIECE`` bytes of text as lists in one row."""
+    """Task function: rows of about ``PIECE`` bytes of text as one compressed value.
+
+    The JVM holds a piece several times over when it is written, read, sorted or
+    handed to Python, so it only gets to see it compressed.
+    """
     number = TaskContext.get().partitionId() << 32
 
     def flushed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        ends = pa.array([0, rows.num_rows], pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, c.combine_chunks()) for c in rows.columns]
         return pa.RecordBatch.from_arrays(
-            [pa.array([number]), *lists], ["piece", "ids", "outs", "texts"]
+            [pa.array([number]), pa.array([compressed(held)], pa.binary())], ["piece", "rows"]
         )
 
     held: list[pa.RecordBatch] = []
@@ -86,13 +104,14 @@ def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flushed(held)
 
 
-def read(splitter: Splitter, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def read(splitter: Splitter, texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all texts, and how many each has."""
-    parts = list(splitter.split(texts))
-    sizes = [np.diff(p.ends, prepend=0) + 1 for p in parts]
-    none = np.zeros(0, np.int64)
-    seq = np.concatenate([tokens(p) for p in parts] or [none.astype(np.uint64)])
-    return seq, np.concatenate([none, *sizes])
+    seq, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for chunk in texts.chunks:
+        for part in splitter.split(chunk):
+            seq.append(tokens(part))
+            sizes.append(np.diff(part.ends, prepend=0) + 1)
+    return np.concatenate(seq), np.concatenate(sizes)
 
 
 def counted(shards: int):
@@ -108,14 +127,14 @@ def counted(shards: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 piece = batch.column("piece")[at].as_py()
-                seq, sizes = read(splitter, batch.column("texts")[at].values)
-                outs = batch.column("outs")[at].values.to_numpy(zero_copy_only=False)
-                train = np.repeat(~outs.astype(bool), sizes)
+                _, outs, texts = opened(batch.column("rows")[at])
+                seq, sizes = read(splitter, texts)
+                train = np.repeat(~outs.to_numpy().astype(bool), sizes)
                 for kind in (1, 2):
                     keys, place = np.unique(seq if kind == 1 else pairs(seq), return_inverse=True)
                     n = np.bincount(place[train], minlength=len(keys)).astype(np.uint32)
                     cuts = np.searchsorted(keys, edges)
-                    yield pa.RecordBatch.from_arrays(
+                    found = pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(shards, piece)),
                             pa.array(np.full(shards, kind, np.int32)),
@@ -125,6 +144,7 @@ def counted(shards: int):
                         ],
                         ["piece", "kind", "shard", "keys", "n"],
                     )
+                    yield from small(iter([found]), -(-shards // BATCHES))
 
     return run
 
@@ -261,7 +281,7 @@ def scored(shared, strength: float):
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         model = Model(*shared.value)
-        texts = rows["texts"].combine_chunks().flatten()
+        ids, outs, texts = opened(rows["rows"][0])
         seq, sizes = read(Splitter(NOT_SPACE), texts)
         row = np.repeat(np.arange(len(sizes)), sizes)
         found = found.sort_by([("kind", "ascending"), ("shard", "ascending")])
@@ -285,8 +305,8 @@ def scored(shared, strength: float):
         n = len(sizes)
         return pa.table(
             {
-                "doc_id": rows["ids"].combine_chunks().flatten(),
-                "held_out": rows["outs"].combine_chunks().flatten(),
+                "doc_id": ids,
+                "held_out": outs,
                 "n_tokens": pa.array(sizes.astype(np.int64)),
                 "known": pa.array(np.bincount(row, hit[at], n).astype(np.int64)),
                 "logs": pa.array(np.bincount(row, value[at], n)),
@@ -329,7 +349,7 @@ def train(pieces: DataFrame, n_bytes: int) -> tuple[Model, DataFrame, int]:
     # By the size of the texts, not by a setting: segments, and so the filter's
     # errors, are the same in every session. Several make a task.
     shards = min(1 << max(n_bytes // SHARD_BYTES, 63).bit_length(), MOST_SHARDS)
-    parts = pieces.select("piece", "outs", "texts").mapInArrow(
+    parts = pieces.mapInArrow(
         counted(shards), "piece bigint, kind int, shard int, keys binary, n binary"
     )
     found = parts.groupBy("kind", "shard").applyInArrow(
@@ -389,32 +409,29 @@ def score_texts(
         F.col(text_col).cast("string").alias("t"),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    pieces = rows.mapInArrow(
-        in_pieces,
-        f"piece bigint, ids array<{kind}>, outs array<boolean>, texts array<string>",
-    )
-    pieces = materialize(pieces, "pieces")
-    n_bytes = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    model, counts, least = train(pieces, n_bytes)
-    # Plain arrays: executors need no class of this package to read them.
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
-    answers = counts.filter("piece >= 0").select("piece", "kind", "shard", "levels")
-    found = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(
-        scored(shared, strength),
-        f"doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, logs double, "
-        "score double, rare binary",
-    )
-    found = numbered(found, "scores")
-    discard(pieces)
-    rare = found.filter(F.octet_length("rare") > 0).select(ROW, "rare")
-    rare = rare.mapInArrow(rare_words, f"{ROW} bigint, word bigint")
-    others = counts.filter("piece = -1").select("keys", "n").mapInArrow(
-        word_counts(1, least), "word bigint, n bigint"
-    )
-    rare = rare.join(others, "word").groupBy(ROW)
-    rare = rare.agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
-    rare = materialize(rare, "rare")
-    discard(counts)
+    with arrow_batches(docs.sparkSession, BATCH):
+        pieces = materialize(rows.mapInArrow(in_pieces, "piece bigint, rows binary"), "pieces")
+        n_bytes = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        model, counts, least = train(pieces, n_bytes)
+        # Plain arrays: executors need no class of this package to read them.
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+        answers = counts.filter("piece >= 0").select("piece", "kind", "shard", "levels")
+        found = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(
+            scored(shared, strength),
+            f"doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, logs double, "
+            "score double, rare binary",
+        )
+        found = numbered(found, "scores")
+        discard(pieces)
+        rare = found.filter(F.octet_length("rare") > 0).select(ROW, "rare")
+        rare = rare.mapInArrow(rare_words, f"{ROW} bigint, word bigint")
+        others = counts.filter("piece = -1").select("keys", "n").mapInArrow(
+            word_counts(1, least), "word bigint, n bigint"
+        )
+        rare = rare.join(others, "word").groupBy(ROW)
+        rare = rare.agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
+        rare = materialize(rare, "rare")
+        discard(counts)
     none = F.lit(0)
     size = F.lit(float(model.n + model.types + 1))
     return found.join(rare, ROW, "left").select(

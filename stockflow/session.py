@@ -68,6 +68,21 @@ def scratch() -> Iterator[None]:
         discard(*_SCOPES.pop())
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Jobs started inside hand rows to Python in batches of about ``n_bytes``, or of
+    one row, unless the session has a bound of its own; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing will read again."""
     for table in tables:

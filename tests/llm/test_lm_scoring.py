@@ -120,3 +120,25 @@ def test_scores_do_not_depend_on_a_setting(spark):
     finally:
         spark.conf.set(name, before)
     assert found[0] == pytest.approx(found[1], rel=1e-12)
+
+
+def test_neither_the_jvm_nor_python_gets_much_at_once(spark, monkeypatch):
+    """Texts reach Python in small batches, and leave it compressed."""
+    words, before = " ".join(sentence(random.Random(6), 40_000, 10**6)), L.in_pieces
+    docs = spark.range(60, numPartitions=1).selectExpr("id as doc_id", f"'{words}' as text")
+
+    def in_pieces(batches):
+        def handed():
+            for batch in batches:
+                assert batch.nbytes < 2 << 22, f"{batch.nbytes} bytes in a batch"
+                yield batch
+
+        for piece in before(handed()):
+            assert piece.nbytes < 3 << 20, f"{piece.nbytes} bytes in a piece"
+            yield piece
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    setting = spark.conf.get(name, None)
+    monkeypatch.setattr(L, "in_pieces", in_pieces)
+    assert {r["n_tokens"] for r in L.score_texts(docs).collect()} == {40_001}
+    assert spark.conf.get(name, None) == setting
